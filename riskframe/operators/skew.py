@@ -12,8 +12,8 @@ BROADCAST_BYTES = 8 << 20  # a lookup table is broadcast only below this measure
 TRACKED_ITEMS = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
-    """Keys (NULL included) that hold at least ``share`` of the rows.
+def hot_key_counts(df: DataFrame, key: str, share: float | None = None) -> dict:
+    """Keys (NULL included) that hold at least ``share`` of the rows, with estimated counts.
 
     One mergeable sketch aggregate, no shuffle of the keys. The default share is a quarter of an
     even partition's load; the result holds at most ``TRACKED_ITEMS`` keys and only steers the
@@ -25,7 +25,12 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
         F.count(F.lit(1)).alias("n"),
         F.expr(f"approx_top_k(`{key}`, {top}, {2 * max(top, TRACKED_ITEMS)})").alias("items"),
     ).first()
-    return [i["item"] for i in row["items"] or [] if i["count"] >= share * row["n"]]
+    items = row["items"] or []
+    return {i["item"]: i["count"] for i in items if i["count"] >= share * row["n"]}
+
+
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
+    return list(hot_key_counts(df, key, share))
 
 
 def is_one_of(column: Column, keys: list) -> Column:
