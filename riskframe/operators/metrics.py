@@ -130,8 +130,7 @@ def top_rows(df: DataFrame, score: str, k: int, key: str = "TransactionID") -> D
         return df.orderBy(*order).limit(k)
     flipped = df.withColumn("_flipped", -F.col(score).cast("double"))
     order = total_order(flipped, "_flipped", key)
-    n = flipped.count()
-    cut = order_cuts(flipped, order, [min(k, n)], n)[min(k, n)]
+    (cut,) = order_cuts(flipped, order, lambda _: [k])
     return slice_rows(flipped, order, end=cut).drop("_flipped")
 
 

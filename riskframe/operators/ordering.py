@@ -119,7 +119,7 @@ def select_ranks(
     for start in range(0, len(names), COLUMNS_PER_JOB):
         part = names[start : start + COLUMNS_PER_JOB]
         frame = df.select(*[keys[n].alias(f"k{i}") for i, n in enumerate(part)])
-        found = _select(frame, lambda alias, n, p=part: ranks(p[int(alias[1:])], n), leaf_rows)
+        found = _select(frame, lambda alias, n, _, p=part: ranks(p[int(alias[1:])], n), leaf_rows)
         out.update({part[int(alias[1:])]: result for alias, result in found.items()})
     return out
 
@@ -129,12 +129,13 @@ def _select(frame, ranks, leaf_rows):
         *[
             F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
             for c in frame.columns
-        ]
+        ],
+        F.count(F.lit(1)).alias("rows"),
     ).first()
     out = {c: (edge[c].n, {}) for c in frame.columns}
     open_: list[_Search] = []
     for c in frame.columns:
-        for rank in sorted(set(ranks(c, edge[c].n))):
+        for rank in sorted(set(ranks(c, edge[c].n, edge["rows"]))):
             if not 0 <= rank < edge[c].n:
                 raise ValueError(f"rank {rank} outside 0..{edge[c].n - 1}")
             open_.append(_Search(c, rank, edge[c].lo, edge[c].hi, 0, edge[c].n))
@@ -293,30 +294,39 @@ class Cut:
 
 
 def order_cuts(
-    df: DataFrame, order: Sequence[Column], ranks: Sequence[int], n_rows: int
-) -> dict[int, Cut]:
-    """The cut after the first ``rank`` rows, for each rank; missing keys sort last."""
+    df: DataFrame, order: Sequence[Column], ranks: Callable[[int], Sequence[int]]
+) -> list[Cut]:
+    """The cuts after the first ``rank`` rows for the ranks that ``ranks(rows)`` names.
+
+    Missing keys sort last. The rows are counted by the scan that starts the search.
+    """
+    wanted: list[int] = []
     cuts: dict[int, Cut] = {}
-    inner = []
-    for rank in sorted(set(ranks)):
-        if rank <= 0:
-            cuts[rank] = Cut(())
-        elif rank >= n_rows:
-            cuts[rank] = Cut((), all_before=True)
-        else:
-            inner.append(rank)
-    if inner:
-        cuts.update(_descend(df, list(order), 0, {r: r for r in inner}, ()))
-    return cuts
 
+    def inner(rows: int) -> dict[int, int]:
+        wanted.extend(ranks(rows))
+        for rank in wanted:
+            if rank <= 0:
+                cuts[rank] = Cut(())
+            elif rank >= rows:
+                cuts[rank] = Cut((), all_before=True)
+        return {r: r for r in wanted if 0 < r < rows}
 
-def _descend(df, order, level, ranks, prefix):
-    """``ranks`` maps each wanted rank to its position among the rows at ``prefix``."""
+    cuts.update(_descend(df, list(order), 0, inner, ()))
+    return [cuts[rank] for rank in wanted]
+
+
+def _descend(df, order, level, ranks_of, prefix):
+    """``ranks_of(rows)`` maps each wanted rank to its position among the rows at ``prefix``."""
     cuts: dict[int, Cut] = {}
     key = order[level]
-    n, hits = select_ranks(
-        df, {"k": key}, lambda _, n: [p for p in ranks.values() if p < n]
-    )["k"]
+    ranks: dict[int, int] = {}
+
+    def positions(alias: str, n: int, rows: int) -> list[int]:
+        ranks.update(ranks_of(rows))
+        return [p for p in ranks.values() if p < n]
+
+    n, hits = _select(df.select(key.alias("k")), positions, LEAF_ROWS)["k"]
     deeper: dict = {}
     for rank, position in ranks.items():
         hit = hits.get(position) or Located(None, n, 0)
@@ -330,7 +340,7 @@ def _descend(df, order, level, ranks, prefix):
         same = df.where(key.isNull() if value is None else key == F.lit(value))
         if level + 1 < len(order):
             nested = {rank: position for rank, (position, _) in inner.items()}
-            cuts.update(_descend(same, order, level + 1, nested, path))
+            cuts.update(_descend(same, order, level + 1, lambda _, r=nested: r, path))
         else:
             for rank, (position, equal) in inner.items():
                 cuts[rank] = Cut(path, spare=position, equal=equal or same.count())

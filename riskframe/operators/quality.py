@@ -149,15 +149,14 @@ def sample_exact(df: DataFrame, frac: float, seed: int = 42, key: str = KEY) ->
 
     The cut is found by rank selection, so the sample is a filter and no rows are sorted.
     """
-    n = df.count()
     if key in df.columns:
         order = [hash52(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed))]
         order += total_order(df, key)
     else:
         order = [F.shiftright(F.xxhash64(F.lit(seed), content_keys(df)[0]), 12)]
         order += content_keys(df)
-    size = round(frac * n)
-    return slice_rows(df, order, end=order_cuts(df, order, [size], n)[size])
+    (cut,) = order_cuts(df, order, lambda n: [round(frac * n)])
+    return slice_rows(df, order, end=cut)
 
 
 def sample_bernoulli(df: DataFrame, frac: float, seed: int = 42) -> DataFrame:

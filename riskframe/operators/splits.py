@@ -21,14 +21,13 @@ def temporal_train_test_split(
 
     Rows without a time come last. The cut is exact, so train never holds a later row than test.
     """
-    n = df.count()
+
+    def ends(n: int) -> list[int]:
+        last = int(n * (1 - test_size))
+        return [int(n * (1 - test_size - validation_size)), last] if validation_size > 0 else [last]
+
     order = total_order(df, time_col, id_col)
-    if validation_size > 0:
-        ends = [int(n * (1 - test_size - validation_size)), int(n * (1 - test_size))]
-    else:
-        ends = [int(n * (1 - test_size))]
-    found = order_cuts(df, order, ends, n)
-    edges = [None] + [found[e] for e in ends] + [None]
+    edges = [None, *order_cuts(df, order, ends), None]
     return tuple(slice_rows(df, order, lo, hi) for lo, hi in zip(edges, edges[1:]))
 
 
@@ -56,12 +55,17 @@ def walk_forward_validation(
     One scan: each row finds its segment between the cuts and is repeated for that segment's
     memberships.
     """
-    n = df.count()
-    plan = walk_forward_plan(n, n_splits, test_size)
+    plan: list[tuple[int, int]] = []
+    ranks: list[int] = []
+
+    def edges(n: int) -> list[int]:
+        plan.extend(walk_forward_plan(n, n_splits, test_size))
+        ranks.extend(sorted({r for pair in plan for r in pair}))
+        return ranks
+
     order = total_order(df, time_col, id_col)
-    ranks = sorted({r for pair in plan for r in pair})
-    cuts = order_cuts(df, order, ranks, n)
-    rows = with_segment(df, order, [cuts[r] for r in ranks], "_segment")
+    cuts = order_cuts(df, order, edges)
+    rows = with_segment(df, order, cuts, "_segment")
     starts = [0] + ranks
     members = []
     for at in starts:
