@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.operators.ordering import exact_quantiles
 from riskframe.session import materialise
 
 NODES = (
@@ -46,15 +47,26 @@ class IsolationForest:
             "forest",
         )
         model = IsolationForestModel(nodes, features, rows, 0.0)
-        ask = F.percentile_approx("s", 1.0 - self.contamination, 100_000)
-        model.threshold = df.select(model.score().alias("s")).agg(ask.alias("t")).first()["t"]
+        # scored once and written (one number per row); the quantile is exact
+        scores = materialise(df.select(model.score().alias("s")), "anomaly")
+        model.threshold = exact_quantiles(scores, {"s": F.col("s")}, [1.0 - self.contamination])[
+            "s"
+        ][0]
         return model
 
     def _draw(self, vectors: DataFrame, n: int, rows: int) -> DataFrame:
         """(tree, x): ``rows`` rows per tree, without repeats inside a tree."""
         if n >= self.trees * self.sample_rows * 4:
             # enough rows for samples of their own: one bounded random draw, dealt out in turn
-            pool = vectors.orderBy(F.rand(self.seed)).limit(self.trees * rows)
+            # (thinned first, so that tasks send few rows to the sort)
+            wanted = self.trees * rows
+            share = (wanted + 6 * math.sqrt(wanted)) / n
+            pool = (
+                vectors.withColumn("u", F.rand(self.seed))
+                .where(F.col("u") < share)
+                .orderBy("u")
+                .limit(wanted)
+            )
             dealt = F.pmod(F.monotonically_increasing_id(), F.lit(self.trees)).cast("int")
             return pool.select(dealt.alias("tree"), "x")
         # a small table (bounded by the test above): a draw of its own for each tree

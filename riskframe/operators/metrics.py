@@ -22,7 +22,7 @@ from riskframe.operators.ordering import (
 )
 from riskframe.operators.quality import _as_rows
 
-TOP_ROWS = 10_000  # largest top-k that a bounded sort may hold
+TOP_ROWS = 1_000  # largest top-k for which every task may send its own k best rows
 
 
 def confusion_matrix(

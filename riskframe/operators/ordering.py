@@ -1,9 +1,9 @@
 """Exact global order without a one-task window.
 
 * ``select_ranks`` finds the values at given ranks of any number of columns. Each round takes
-  approximate quantiles as pivots, counts exactly around them, and keeps only the interval that
-  holds the wanted rank. Pivots that hit the rank end the search, so a value that fills a third
-  of the table cannot stall it. The driver sees pivots and counts only.
+  approximate quantiles of a few rows as pivots, counts all rows exactly around them, and keeps
+  only the interval that holds the wanted rank. Pivots that hit the rank end the search, so a
+  value that fills a third of the table cannot stall it. The driver sees pivots and counts only.
 * ``order_cuts`` does the same for a lexicographic order (time, id, ...), which turns every split
   by position into a plain filter.
 * ``running_sums`` gives running totals in key order, per range bucket plus bucket offsets.
@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 
 from riskframe.session import materialise, shuffle_width
 
-LEAF_ROWS = 1 << 16  # an interval of at most this many rows is sorted inside one aggregate
+LEAF_ROWS = 1 << 17  # an interval of at most this many rows is sorted inside one aggregate
 PRECISION = 2000  # accuracy of the pivots
+PIVOT_ROWS = 1 << 20  # pivots and bounds are read from about this many rows
 COLUMNS_PER_JOB = 32  # keeps the aggregate expressions of wide tables small
 SINGLE_BUCKET_ROWS = 200_000  # below this a global order is one bucket
 STRING_BOUNDS = 256
@@ -203,26 +204,39 @@ def _count_of(values: Column, value: Column) -> Column:
     return F.size(F.filter(values, lambda v: v == value))
 
 
+def some_rows(rows: int) -> Column:
+    """Predicate that keeps about ``PIVOT_ROWS`` of ``rows`` rows.
+
+    Quantile sketches of all tasks meet in one task, so they must stay small. What is read from
+    these rows only places pivots and bucket bounds; no result depends on the choice.
+    """
+    return F.lit(True) if rows <= PIVOT_ROWS else F.rand(42) < PIVOT_ROWS / rows
+
+
 def _narrow(frame: DataFrame, searches: list[_Search]):
     brackets: dict[tuple, list[_Search]] = {}
     for s in searches:
         brackets.setdefault(s.bracket, []).append(s)
     near = _narrowed(frame, searches)
+    thinned = near.withColumn("_u", F.rand(42))
     asks = []
     for i, group in enumerate(brackets.values()):
         probs = set()
         for s in group:
             p = (s.rank - s.below) / s.rows
-            probs |= {min(1.0, max(0.0, p + d / PRECISION)) for d in (-2, 0, 2)}
+            probs |= {min(1.0, max(0.0, p + d / PRECISION)) for d in (-4, 0, 4)}
+        picked = _inside(group[0])
+        if group[0].rows > PIVOT_ROWS:
+            picked = picked & (F.col("_u") < PIVOT_ROWS / group[0].rows)
         asks.append(
             F.percentile_approx(
-                F.when(_inside(group[0]), F.col(group[0].name)), sorted(probs), PRECISION
+                F.when(picked, F.col(group[0].name)), sorted(probs), PRECISION
             ).alias(f"p{i}")
         )
-    row = near.agg(*asks).first()
+    row = thinned.agg(*asks).first()
     pivots = []
     for i, group in enumerate(brackets.values()):
-        chosen = set(row[f"p{i}"])
+        chosen = set(row[f"p{i}"] or [])
         s = group[0]
         if isinstance(s.lo, int) and isinstance(s.hi, int):
             # BIGINT pivots pass through DOUBLE; halving ends the search beyond 2^53 too
@@ -360,7 +374,19 @@ def before(order: Sequence[Column], cut: Cut) -> Column:
 
 
 def not_before(order: Sequence[Column], cut: Cut) -> Column:
-    return ~F.coalesce(before(order, cut), F.lit(False))
+    """The opposite of ``before``, missing keys included, in a form that scans can push down."""
+    if not cut.path:
+        return F.lit(not cut.all_before)
+    cond = None
+    for key, value in reversed(list(zip(order, cut.path))):
+        if value is None:
+            after, same = F.lit(False), key.isNull()
+            reached = same
+        else:
+            after, same = (key > F.lit(value)) | key.isNull(), key == F.lit(value)
+            reached = (key >= F.lit(value)) | key.isNull()
+        cond = reached if cond is None else after | (same & cond)
+    return cond
 
 
 def _at(order: Sequence[Column], cut: Cut) -> Column:
@@ -402,7 +428,7 @@ def with_segment(
     """Number of cuts at or before each row, in one scan; ``cuts`` in ascending order."""
     segment = F.lit(0)
     for cut in cuts:
-        segment = segment + not_before(order, cut).cast("int")
+        segment = segment + F.coalesce(not_before(order, cut), F.lit(False)).cast("int")
     shared: dict[tuple, list[int]] = {}
     for i, cut in enumerate(cuts):
         if cut.spare:
@@ -426,16 +452,15 @@ def with_segment(
 def range_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
     """Inner bucket bounds per DOUBLE column: approximate quantiles, none for small tables."""
     parts = shuffle_width(df.sparkSession)
-    probs = [i / parts for i in range(1, parts)]
-    asks = [F.count(F.lit(1)).alias("n")]
-    if probs:
-        asks += [
-            F.percentile_approx(F.col(c).cast("double"), probs, 10 * parts).alias(f"b{i}")
-            for i, c in enumerate(columns)
-        ]
-    row = df.agg(*asks).first()
-    if row["n"] <= SINGLE_BUCKET_ROWS or not probs:
+    n = df.count()
+    if n <= SINGLE_BUCKET_ROWS or parts == 1:
         return {c: [] for c in columns}
+    probs = [i / parts for i in range(1, parts)]
+    row = (
+        df.where(some_rows(n))
+        .agg(*[F.percentile_approx(c, probs, 10 * parts).alias(f"b{i}") for i, c in enumerate(columns)])
+        .first()
+    )
     return {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(columns)}
 
 

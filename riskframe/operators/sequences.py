@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from riskframe.operators.ordering import numeric_key, with_buckets
+from riskframe.operators.ordering import numeric_key, some_rows, with_buckets
 from riskframe.operators.skew import hot_key_counts, hot_keys, is_one_of
 from riskframe.session import materialise
 
@@ -69,7 +69,8 @@ class SequenceBuilder:
 def _bounds(rows: DataFrame, column: str, parts: int) -> tuple[list[float], list]:
     """Approximate quantile bounds of a column, with hot values fenced into their own bucket."""
     probs = [i / parts for i in range(1, parts)]
-    found = rows.agg(F.percentile_approx(column, probs, 10 * parts).alias("b")).first()["b"]
+    near = rows.where(some_rows(rows.count()))
+    found = near.agg(F.percentile_approx(column, probs, 10 * parts).alias("b")).first()["b"]
     hot = [v for v in hot_keys(rows, column, 2.0 / parts) if v is not None]
     return sorted({float(b) for b in found or []} | {float(v + d) for v in hot for d in (0, 1)}), hot
 

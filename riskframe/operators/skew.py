@@ -5,28 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.ordering import content_keys
+from riskframe.operators.ordering import PIVOT_ROWS, content_keys, some_rows
 from riskframe.session import shuffle_width
 
 BROADCAST_BYTES = 8 << 20  # a lookup table is broadcast only below this measured size
-TRACKED_ITEMS = 10_000
 
 
 def hot_key_counts(df: DataFrame, key: str, share: float | None = None) -> dict:
     """Keys (NULL included) that hold at least ``share`` of the rows, with estimated counts.
 
-    One mergeable sketch aggregate, no shuffle of the keys. The default share is a quarter of an
-    even partition's load; the result holds at most ``TRACKED_ITEMS`` keys and only steers the
-    physical layout, never the result.
+    Read from about a million rows: at most ``1 / share`` keys, which steer the physical layout
+    only, never the result. The default share is a quarter of an even partition's load.
     """
     share = share or max(0.25 / shuffle_width(df.sparkSession), 1e-3)
-    top = min(TRACKED_ITEMS, int(1 / share) + 1)
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(`{key}`, {top}, {2 * max(top, TRACKED_ITEMS)})").alias("items"),
-    ).first()
-    items = row["items"] or []
-    return {i["item"]: i["count"] for i in items if i["count"] >= share * row["n"]}
+    n = df.count()
+    if n == 0:
+        return {}
+    rate = min(1.0, PIVOT_ROWS / n)
+    picked = df.select(key) if rate == 1.0 else df.select(key).where(some_rows(n))
+    heavy = (
+        picked.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= share * n * rate)
+        .collect()  # at most 1 / share keys
+    )
+    return {r[0]: int(r["n"] / rate) for r in heavy}
 
 
 def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:

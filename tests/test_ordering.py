@@ -19,7 +19,9 @@ def hot_frame(spark, n=3000, seed=1):
 
 
 @pytest.mark.parametrize("leaf", [8, 100, 1 << 16])
-def test_select_ranks(spark, leaf):
+@pytest.mark.parametrize("pivot_rows", [50, 1 << 20])
+def test_select_ranks(spark, monkeypatch, leaf, pivot_rows):
+    monkeypatch.setattr(ordering, "PIVOT_ROWS", pivot_rows)
     rows, df = hot_frame(spark)
     found = ordering.select_ranks(
         df,
@@ -99,6 +101,17 @@ def test_walk_forward_inside_copies(spark):
         assert counts[i, "train"] == start and counts[i, "test"] == end - start
 
 
+def test_cuts_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr(
+        "id as TransactionID", "id * 7 as TransactionDT", "'x' as wide"
+    ).write.parquet(path)
+    for part in splits.temporal_train_test_split(spark.read.parquet(path)):
+        plan = part.select("TransactionID")._jdf.queryExecution().toString()
+        assert "PushedFilters: [" in plan and "TransactionDT" in plan.split("PushedFilters: [")[1][:80]
+        assert "wide" not in plan.split("ReadSchema")[1]
+
+
 def test_missing_times_come_last(spark):
     df = spark.createDataFrame(
         [(1, None), (2, 10), (3, 5), (4, None), (5, 7)], "TransactionID bigint, TransactionDT bigint"
