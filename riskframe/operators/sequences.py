@@ -22,6 +22,7 @@ CARD, TIME, AMOUNT, KEY, LABEL = (
 )
 CHUNK_ROWS = 1_000_000
 MAX_CHUNKS = 10_000
+HOT_SHARE = 1e-4  # cards below this share of the rows are sorted whole
 
 
 class SequenceBuilder:
@@ -81,7 +82,7 @@ def _with_chunks(df: DataFrame, by: str, keys: list[str], chunk_rows: int):
     Rows of hot cards are cut along the order ``keys``: by the first key, below its hot values by
     the second, and below hot (first, second) pairs by a written row number.
     """
-    counts = hot_key_counts(df, by)
+    counts = hot_key_counts(df, by, HOT_SHARE)
     hot = [k for k, c in counts.items() if k is not None and c > chunk_rows]
     if not hot:
         return df.withColumn("_chunk", F.lit(None).cast("array<int>")), hot, keys

@@ -11,29 +11,33 @@ from riskframe.session import shuffle_width
 BROADCAST_BYTES = 8 << 20  # a lookup table is broadcast only below this measured size
 
 
-def hot_key_counts(df: DataFrame, key: str, share: float | None = None) -> dict:
-    """Keys (NULL included) that hold at least ``share`` of the rows, with estimated counts.
+def hot_key_shares(df: DataFrame, key: str, share: float) -> tuple[int, dict]:
+    """(rows, keys that hold at least ``share`` of them with their estimated share).
 
-    Read from about a million rows: at most ``1 / share`` keys, which steer the physical layout
-    only, never the result. The default share is a quarter of an even partition's load.
+    Missing keys count as one key. Read from about a million rows: at most ``1 / share`` keys,
+    which steer the physical layout only, never the result.
     """
-    share = share or max(0.25 / shuffle_width(df.sparkSession), 1e-3)
     n = df.count()
     if n == 0:
-        return {}
-    rate = min(1.0, PIVOT_ROWS / n)
-    picked = df.select(key) if rate == 1.0 else df.select(key).where(some_rows(n))
+        return 0, {}
+    picked = df.select(key).where(some_rows(n)) if n > PIVOT_ROWS else df.select(key)
+    seen = min(n, PIVOT_ROWS)
     heavy = (
         picked.groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= share * n * rate)
+        .where(F.col("n") >= share * seen)
         .collect()  # at most 1 / share keys
     )
-    return {r[0]: int(r["n"] / rate) for r in heavy}
+    return n, {r[0]: r["n"] / seen for r in heavy}
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
-    return list(hot_key_counts(df, key, share))
+def hot_key_counts(df: DataFrame, key: str, share: float) -> dict:
+    n, shares = hot_key_shares(df, key, share)
+    return {k: int(s * n) for k, s in shares.items()}
+
+
+def hot_keys(df: DataFrame, key: str, share: float) -> list:
+    return list(hot_key_shares(df, key, share)[1])
 
 
 def is_one_of(column: Column, keys: list) -> Column:
@@ -48,38 +52,47 @@ def spread(df: DataFrame, pieces: int) -> Column:
     return F.pmod(content_keys(df)[0] + F.spark_partition_id(), F.lit(pieces)).cast("int")
 
 
+def salt_tiers(shares: dict, width: int) -> dict[int, list]:
+    """Number of pieces -> hot keys; a piece is at most about a quarter of an even partition."""
+    tiers: dict[int, list] = {}
+    for key, share in shares.items():
+        pieces = 2
+        while pieces < min(width, 4 * share * width):
+            pieces *= 4
+        tiers.setdefault(min(pieces, width), []).append(key)
+    return tiers
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     how: str = "left",
-    pieces: int | None = None,
     null_safe: bool = False,
     share: float | None = None,
 ) -> DataFrame:
-    """Equi join on ``key``; hot keys of ``left`` are salted and repeated on ``right``."""
-    hot = hot_keys(left, key, share)
-    if not null_safe:
-        hot = [k for k in hot if k is not None]
-    salted_l, salted_r = left, right
-    pieces = pieces or shuffle_width(left.sparkSession)
-    if hot and pieces > 1:
-        every = F.sequence(F.lit(0), F.lit(pieces - 1))
-        salted_l = left.withColumn(
-            "_salt", F.when(is_one_of(F.col(key), hot), spread(left, pieces)).otherwise(F.lit(0))
-        )
-        salted_r = right.withColumn(
-            "_salt",
-            F.explode(F.when(is_one_of(F.col(key), hot), every).otherwise(F.array(F.lit(0)))),
-        )
-    else:
-        salted_l = left.withColumn("_salt", F.lit(0))
+    """Equi join on ``key``: the rows of hot keys of ``left`` are cut into pieces, for each of
+    which ``right`` repeats its rows of that key.
+
+    Missing keys of ``left`` are cut too; unless ``null_safe`` they match nothing.
+    """
+    width = shuffle_width(left.sparkSession)
+    share = share or max(0.25 / width, 1e-3)
+    shares = hot_key_shares(left, key, share)[1] if width > 1 else {}
+    salt, repeats = F.lit(0), F.lit(1)
+    for pieces, keys in salt_tiers(shares, width).items():
+        salt = F.when(is_one_of(F.col(key), keys), spread(left, pieces)).otherwise(salt)
+        matched = keys if null_safe else [k for k in keys if k is not None]
+        repeats = F.when(is_one_of(F.col(key), matched), F.lit(pieces)).otherwise(repeats)
+    salted_l = left.withColumn("_salt", salt)
+    salted_r = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), repeats - 1)))
+    if not shares:
         salted_r = right.withColumn("_salt", F.lit(0))
     salted_r = salted_r.withColumnsRenamed({key: "_right_key", "_salt": "_right_salt"})
-    match = F.col(key).eqNullSafe(F.col("_right_key")) if null_safe else (
+    same = F.col(key).eqNullSafe(F.col("_right_key")) if null_safe else (
         F.col(key) == F.col("_right_key")
     )
-    joined = salted_l.join(salted_r, match & (F.col("_salt") == F.col("_right_salt")), how)
+    joined = salted_l.join(salted_r, same & (F.col("_salt") == F.col("_right_salt")), how)
     return joined.drop("_salt", "_right_key", "_right_salt")
 
 

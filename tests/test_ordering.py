@@ -170,6 +170,14 @@ def test_salted_join_equals_plain_join(spark, null_safe):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_salt_tiers_follow_the_share():
+    tiers = skew.salt_tiers({"a": 0.33, "b": 0.001, None: 0.3}, 1000)
+    assert sorted((p, sorted(map(str, k))) for p, k in tiers.items()) == [
+        (8, ["b"]),
+        (1000, ["None", "a"]),
+    ]
+
+
 def test_salt_spreads_copies(spark):
     df = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"))
     assert df.select(skew.spread(df, 8).alias("s")).distinct().count() == 8
