@@ -166,43 +166,44 @@ class IsolationForestModel:
 
 
 def _scorer(nodes: DataFrame, sample_rows: int):
-    """Batched scoring function over the flattened trees."""
+    """Batched scoring function over the flattened trees.
+
+    A leaf points to itself and its threshold is infinite, so every row takes the same number of
+    steps through every tree.
+    """
     table = nodes.orderBy("tree", "node").toPandas()  # bounded by trees * 2 * sample_rows
     sizes = table.groupby("tree").size().to_numpy()
     base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     shift = np.repeat(base, sizes)
+    children = np.stack([table["left_child"] + shift, table["right_child"] + shift], axis=1)
+    leaf = table["feature"].to_numpy() < 0
     packed = nodes.sparkSession.sparkContext.broadcast(
         {
             "root": base.astype(np.int32),
-            "feature": table["feature"].to_numpy(np.int32),
-            "threshold": table["threshold"].to_numpy(),
-            "left": (table["left_child"].to_numpy() + shift).astype(np.int32),
-            "right": (table["right_child"].to_numpy() + shift).astype(np.int32),
+            "feature": np.where(leaf, 0, table["feature"]).astype(np.int32),
+            "threshold": np.where(leaf, np.inf, table["threshold"]),
+            "child": children.astype(np.int32).ravel(),
             "path": table["path"].to_numpy(),
         }
     )
     n = sample_rows
+    steps = max(1, math.ceil(math.log2(max(2, n))))
     usual = 1.0 if n <= 2 else 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
 
     @F.pandas_udf("double")
     def walk(vectors: pd.Series) -> pd.Series:
-        if len(vectors) == 0:
-            return pd.Series([], dtype=float)
         t = packed.value
         out = np.empty(len(vectors))
-        for start in range(0, len(vectors), 2048):
-            x = np.stack(vectors.iloc[start : start + 2048].to_numpy())
-            at = np.tile(t["root"], (len(x), 1))
-            row = np.arange(len(x))[:, None]
-            while True:
-                feature = t["feature"][at]
-                if (feature < 0).all():
-                    break
-                leaf = feature < 0
-                value = x[row, np.where(leaf, 0, feature)]
-                step = np.where(value <= t["threshold"][at], t["left"][at], t["right"][at])
-                at = np.where(leaf, at, step)
-            out[start : start + 2048] = np.exp2(-t["path"][at].mean(axis=1) / usual)
+        for start in range(0, len(vectors), 1024):
+            x = np.stack(vectors.iloc[start : start + 1024].to_numpy())
+            rows, width = x.shape
+            flat = x.ravel()
+            offset = (np.arange(rows, dtype=np.int32) * width)[:, None]
+            at = np.broadcast_to(t["root"], (rows, len(t["root"])))
+            for _ in range(steps):
+                value = flat.take(offset + t["feature"].take(at))
+                at = t["child"].take(2 * at + (value > t["threshold"].take(at)))
+            out[start : start + 1024] = np.exp2(-t["path"].take(at).mean(axis=1) / usual)
         return pd.Series(out)
 
     return walk

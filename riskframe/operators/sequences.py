@@ -119,7 +119,7 @@ def trailing(
     by: str = CARD,
     time: str = TIME,
     key: str = KEY,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add columns over each row's last ``length`` rows of the same card (itself included).
 
@@ -132,7 +132,7 @@ def trailing(
     base = df.withColumns(
         {"_t": numeric_key(df, time), "_i": numeric_key(df, key)}
     ).withColumn("_alone", F.when(F.col(by).isNull(), F.col("_i")))
-    rows, hot, order = _with_chunks(base, by, ["_t", "_i"], chunk_rows)
+    rows, hot, order = _with_chunks(base, by, ["_t", "_i"], chunk_rows or CHUNK_ROWS)
     sort = [F.asc_nulls_last(c) for c in order]
     if hot and length > 1:
         last = Window.partitionBy(by, "_chunk").orderBy(*[F.desc_nulls_first(c) for c in order])

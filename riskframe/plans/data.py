@@ -131,7 +131,15 @@ def basic_stats(spark, sf):
     return rounded(quality.basic_stats(merged_documents(spark, sf), "toxic"), "fraud_rate")
 
 
-@query("dtype_counts")
+@query(
+    "dtype_counts",
+    """SELECT CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+                ELSE lower(column_type) END AS data_type,
+              CAST(count(*) AS BIGINT) AS n_columns
+       FROM (DESCRIBE SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+             FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+       GROUP BY 1""",
+)
 def dtype_counts(spark, sf):
     return quality.dtype_counts(merged_documents(spark, sf))
 
@@ -151,9 +159,7 @@ def sample_exact(spark, sf):
     return sample.select("TransactionID", "TransactionAmt")
 
 
-@query(
-    "sample_bernoulli",
-)
+@query("sample_bernoulli")
 def sample_bernoulli(spark, sf):
     return quality.sample_bernoulli(views.transactions(spark, sf), 0.1)
 

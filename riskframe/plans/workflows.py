@@ -10,7 +10,7 @@ from riskframe.operators import metrics, models
 from riskframe.operators.drift import DriftDetector
 from riskframe.operators.features import DROPPED, FeatureEngineer
 from riskframe.operators.splits import temporal_train_test_split
-from riskframe.session import materialise
+from riskframe.session import balanced, materialise
 from riskframe.sources.transactions import TransactionLoader
 
 KEY, LABEL = "TransactionID", "isFraud"
@@ -35,7 +35,7 @@ def _prepared(engineer: FeatureEngineer, df: DataFrame) -> DataFrame:
     """Numeric features beside id and label, written once; the manifest is enforced."""
     ready = engineer.prepare_for_model(engineer.transform(df), keep=(KEY, LABEL))
     engineer.check_features(ready.columns)
-    return materialise(ready, "prepared")
+    return balanced(materialise(ready, "prepared"))
 
 
 def _basic(scored: DataFrame, score: str = models.PROBABILITY) -> dict:

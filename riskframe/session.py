@@ -37,3 +37,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def shuffle_width(spark: SparkSession) -> int:
     """Number of pieces into which global orders are cut: the session's shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def balanced(table: DataFrame) -> DataFrame:
+    """A written table of fewer splits than cores, dealt out to all cores.
+
+    For row work that is heavy on the CPU. Tables of many splits come back as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
