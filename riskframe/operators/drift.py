@@ -340,3 +340,8 @@ class ModelMonitor:
             F.struct(*performance.columns).alias("performance"),
             stats.scalar().alias("feature_stats"),
         )
+
+    @staticmethod
+    def save_report(report: DataFrame, path: str) -> None:
+        """Append a report to the history at ``path``."""
+        report.write.mode("append").parquet(path)

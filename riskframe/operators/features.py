@@ -48,8 +48,8 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
-def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value, code): 0-based codes of the sorted distinct values per column.
+def category_table(df: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """((column_name, value, code), bytes per column): 0-based codes of the sorted distinct values.
 
     One pre-aggregated shuffle serves all columns; only the distinct table is numbered.
     """
@@ -64,16 +64,24 @@ def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
         )
     )
     distinct = pairs.where("value is not null").distinct()
-    coded = dense_codes(materialise(distinct, "values"), "value", "code", ["column_name"])
-    return materialise(
+    values = materialise(distinct, "values")
+    sizes = _sizes(values)
+    coded = dense_codes(
+        values, "value", "code", ["column_name"], sum(rows for rows, _ in sizes.values())
+    )
+    codes = materialise(
         coded.select("column_name", "value", F.col("code").cast("int").alias("code")), "codes"
     )
+    return codes, {c: size for c, (_, size) in sizes.items()}
 
 
-def _code_bytes(codes: DataFrame) -> dict[str, int]:
+def _sizes(values: DataFrame) -> dict[str, tuple[int, int]]:
+    """(rows, bytes) per coded column; one row per column reaches the driver."""
     size = F.octet_length("value") + 32
-    rows = codes.groupBy("column_name").agg(F.sum(size).alias("b")).collect()
-    return {r["column_name"]: r["b"] for r in rows}  # one row per coded column
+    rows = values.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")
+    )
+    return {r["column_name"]: (r["n"], r["b"]) for r in rows.collect()}
 
 
 def apply_codes(
@@ -111,8 +119,7 @@ class FeatureEngineer:
         self.state = state
         strings = [c for c in string_columns(df) if c not in DROPPED] if with_codes else []
         if strings:
-            state.codes = category_table(df, strings)
-            state.code_bytes = _code_bytes(state.codes)
+            state.codes, state.code_bytes = category_table(df, strings)
         state.features = self._feature_names(self.transform(df), DROPPED)
         return self
 
@@ -164,8 +171,7 @@ class FeatureEngineer:
         out = df.select(*[F.col(f"`{c}`") for c in kept + names])
         if strings:
             if mode == "per_frame":
-                codes = category_table(df, strings)
-                sizes = _code_bytes(codes)
+                codes, sizes = category_table(df, strings)
             elif mode == "fitted":
                 if self.state is None or self.state.codes is None:
                     raise ValueError("fit() has learnt no category codes")
@@ -182,8 +188,8 @@ class FeatureEngineer:
                 col = col.cast("int")
             if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
                 col = F.nanvl(col, F.lit(None))
-            changed[f.name] = F.coalesce(col, F.lit(fill).cast(f.dataType if not isinstance(
-                f.dataType, T.BooleanType) else "int"))
+            kind = "int" if isinstance(f.dataType, T.BooleanType) else f.dataType
+            changed[f.name] = F.coalesce(col, F.lit(fill).cast(kind))
         return out.withColumns(changed) if changed else out
 
     # -- state tables ---------------------------------------------------------------------------
@@ -212,7 +218,7 @@ class FeatureEngineer:
                 row["amount_median"],
                 list(row["features"]),
                 codes,
-                _code_bytes(codes),
+                {c: size for c, (_, size) in _sizes(codes).items()},
             )
         )
 

@@ -517,13 +517,15 @@ def running_sums(
 # -- numbering distinct strings -----------------------------------------------------------------
 
 
-def dense_codes(values: DataFrame, column: str, code: str, by: Sequence[str] = ()) -> DataFrame:
+def dense_codes(
+    values: DataFrame, column: str, code: str, by: Sequence[str] = (), rows: int | None = None
+) -> DataFrame:
     """0-based position of each distinct string within ``by``, in binary order.
 
     ``values`` must hold each (by, column) once; it is read several times, so pass a written
     table. Large tables are cut at bounds taken from a hash sample of the values.
     """
-    n = values.count()
+    n = values.count() if rows is None else rows
     if n <= SINGLE_BUCKET_ROWS:
         order = Window.partitionBy(*by).orderBy(column)
         return values.withColumn(code, F.row_number().over(order).cast("bigint") - 1)

@@ -36,7 +36,8 @@ class SequenceBuilder:
 
         ``seq`` holds the latest ``max_seq_len`` (amt, dt) pairs in time order, padded with zeros
         at the end; ``mask`` is true for real entries; ``label`` is that of the latest row.
-        The row limit is applied before the shuffle, so a hot card sends few rows per task.
+        The row limit is applied before the shuffle, so a hot card sends few rows per task (for
+        lengths up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 unless raised).
         """
         length = self.max_seq_len
         latest = Window.partitionBy(CARD).orderBy(F.desc_nulls_first(TIME), F.desc(KEY))

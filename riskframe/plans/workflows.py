@@ -20,8 +20,9 @@ ADVANCED = ("gnn", "transformer", "hybrid")
 def load_checked(
     spark: SparkSession, data_dir: str, sample_frac: float | None = None, fmt: str = "csv"
 ) -> DataFrame:
+    """The loaded table, written once in columns: every later step scans it several times."""
     loader = TransactionLoader(spark, data_dir, fmt)
-    df = loader.load(sample_frac=sample_frac)
+    df = materialise(loader.load(sample_frac=sample_frac), "transactions")
     loader.validate(df)
     return df
 

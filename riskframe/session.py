@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder that ``spark.checkpoint.dir`` names.
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared one that ``spark.checkpoint.dir`` names.
 
     Only a local-mode session without that setting gets a temporary folder of its own; on a
     cluster a machine-local folder would be lost with its executor, so the setting is required.
@@ -20,7 +20,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="riskframe-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/riskframe/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/riskframe/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below this application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this application wrote to its scratch folder.
+
+    For long-running applications, between jobs: frames and feature states made before the call
+    can no longer be read, saved models and states can.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -19,11 +19,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header: known columns by contract, the rest by inference."""
+def read_csv(
+    spark: SparkSession, path: str, column_types: dict[str, T.DataType] | None = None
+) -> DataFrame:
+    """CSV with header: types by ``column_types``, then by contract, the rest by inference.
+
+    Inference reads the file once more; name the types of large files.
+    """
+    column_types = column_types or {}
     reader = spark.read.option("header", True).option("nanValue", "NaN")
     names = reader.csv(path).columns
-    types = {n: known_type(n) for n in names}
+    types = {n: column_types.get(n) or known_type(n) for n in names}
     if any(t is None for t in types.values()):
         inferred = reader.option("inferSchema", True).csv(path).schema
         types = {f.name: types[f.name] or f.dataType for f in inferred}
@@ -45,13 +51,21 @@ def left_merge(left: DataFrame, right: DataFrame, key: str = KEY) -> DataFrame:
 class TransactionLoader:
     """Loads the train or test pair of tables of a folder.
 
-    ``fmt`` is ``csv`` (files) or ``parquet`` (files or folders).
+    ``fmt`` is ``csv`` (files) or ``parquet`` (files or folders); ``column_types`` names types
+    of CSV columns.
     """
 
-    def __init__(self, spark: SparkSession, data_dir: str = "data/raw", fmt: str = "csv"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        data_dir: str = "data/raw",
+        fmt: str = "csv",
+        column_types: dict[str, T.DataType] | None = None,
+    ):
         if fmt not in ("csv", "parquet"):
             raise ValueError(f"unknown format: {fmt}")
         self.spark, self.data_dir, self.fmt = spark, data_dir.rstrip("/"), fmt
+        self.column_types = column_types
         if not path_exists(spark, self.data_dir):
             raise FileNotFoundError(f"Data directory not found: {data_dir}")
 
@@ -60,7 +74,7 @@ class TransactionLoader:
 
     def _read(self, path: str) -> DataFrame:
         if self.fmt == "csv":
-            return read_csv(self.spark, path)
+            return read_csv(self.spark, path, self.column_types)
         return nan_to_null(self.spark.read.parquet(path))
 
     def load(

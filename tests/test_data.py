@@ -47,6 +47,15 @@ def test_load_merges_and_types(spark, folder):
     assert rows[3, None].TransactionAmt is None
 
 
+def test_named_types_need_no_inference(spark, folder):
+    from pyspark.sql import types as T
+
+    loader = TransactionLoader(
+        spark, folder, column_types={"DeviceType": T.StringType(), "id_01": T.DoubleType()}
+    )
+    assert dict(loader.load().dtypes)["id_01"] == "double"
+
+
 def test_load_test_role_without_identity(spark, folder):
     df = TransactionLoader(spark, folder).load(load_test=True)
     assert [tuple(r) for r in df.collect()] == [(9, 100, 1.0)]
@@ -188,6 +197,18 @@ def test_state_roundtrip_without_strings(spark, tmp_path):
         FeatureEngineer().save(str(tmp_path / "t"), spark)
 
 
+def test_scratch_lies_in_the_named_folder(spark):
+    from riskframe import session
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = session.scratch_root(spark)
+    assert base is None or root.startswith(base.rstrip("/"))
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+    table = session.materialise(spark.range(5), "five")
+    assert table.count() == 5 and root.split("file:")[-1] in table.inputFiles()[0]
+    assert session.balanced(table).count() == 5
+
+
 # -- payments -----------------------------------------------------------------------------------
 
 

@@ -138,7 +138,7 @@ def test_wide_profile(spark):
     assert len(rows) == 70 and rows["c3"] == 24.5 * 3
 
 
-def test_monitor(spark):
+def test_monitor(spark, tmp_path):
     monitor = drift.ModelMonitor("m")
     with pytest.raises(ValueError):
         monitor.detect_data_drift(normal(spark, 10))
@@ -152,3 +152,6 @@ def test_monitor(spark):
     report = monitor.generate_report(normal(spark, 50, seed=4), labels).first()
     assert report.model_name == "m" and len(report.feature_stats) == 2
     assert report.performance.false_positive_rate == 0.5 and report.timestamp is not None
+    for _ in range(2):
+        monitor.save_report(monitor.generate_report(normal(spark, 50, seed=4), labels), str(tmp_path / "r"))
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 2
