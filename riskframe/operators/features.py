@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions import expressions as X
 from riskframe.operators.ordering import dense_codes, exact_quantiles, numeric_key
-from riskframe.operators.skew import BROADCAST_BYTES, salted_join
+from riskframe.operators.skew import lookup_join
 from riskframe.session import materialise
 
 AMOUNT, TIME = "TransactionAmt", "TransactionDT"
@@ -93,10 +93,7 @@ def apply_codes(
         lookup = codes.where(F.col("column_name") == c).select(
             F.col("value").alias(c), F.col("code").alias("_code")
         )
-        if sizes.get(c, 0) <= BROADCAST_BYTES:
-            out = out.join(F.broadcast(lookup), c, "left")
-        else:
-            out = salted_join(out, lookup, c)
+        out = lookup_join(out, lookup, c, sizes.get(c, 0), probe=df)
         out = out.withColumn(c, F.coalesce("_code", F.lit(-1))).drop("_code")
     return out.select(*df.columns)
 

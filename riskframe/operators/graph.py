@@ -61,12 +61,12 @@ def graph_nodes(df: DataFrame) -> DataFrame:
 def graph_edges(df: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """Rows (edge_type, TransactionID, node_id); a missing key gives no edge."""
     nodes = materialise(node_table(df), "nodes") if nodes is None else nodes
-    rows = df.select(KEY, *[F.col(c).cast("string").alias(c) for c, _ in LINKS.values()])
+    keys = rows = df.select(KEY, *[F.col(c).cast("string").alias(c) for c, _ in LINKS.values()])
     for kind, (column, _) in LINKS.items():
         lookup = nodes.where(F.col("node_type") == kind).select(
             F.col("node_key").alias(column), F.col("node_id").alias(f"_{kind}")
         )
-        rows = lookup_join(rows, lookup, column)
+        rows = lookup_join(rows, lookup, column, probe=keys)
     edges = F.array(
         *[
             F.struct(F.lit(edge).alias("edge_type"), F.col(f"_{kind}").alias("node_id"))
@@ -97,12 +97,13 @@ def _state(df: DataFrame, value: str, label: str | None) -> DataFrame:
 
 def _hop(state: DataFrame, tables: dict[str, DataFrame], hop: int, label_names: bool) -> DataFrame:
     """Join one hop's node means and move ``_h`` to the mean of itself and its nodes."""
+    keys = state
     for kind, table in tables.items():
         named = table.withColumnsRenamed(
             {"node": f"_k_{kind}", "mean": f"{kind}_mean_{hop}", "degree": f"{kind}_degree"}
             | ({"labels": f"_l_{kind}", "labelled": f"_n_{kind}"} if label_names else {})
         )
-        state = lookup_join(state, named, f"_k_{kind}")
+        state = lookup_join(state, named, f"_k_{kind}", probe=keys)
     terms = [F.col("_h")] + [F.col(f"{kind}_mean_{hop}") for kind in tables]
     total = sum(F.coalesce(t, F.lit(0.0)) for t in terms)
     present = sum(t.isNotNull().cast("int") for t in terms)

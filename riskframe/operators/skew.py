@@ -70,15 +70,18 @@ def salted_join(
     how: str = "left",
     null_safe: bool = False,
     share: float | None = None,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join on ``key``: the rows of hot keys of ``left`` are cut into pieces, for each of
     which ``right`` repeats its rows of that key.
 
-    Missing keys of ``left`` are cut too; unless ``null_safe`` they match nothing.
+    Missing keys of ``left`` are cut too; unless ``null_safe`` they match nothing. Hot keys are
+    looked for in ``probe``, a cheaper frame with the same keys, if given.
     """
     width = shuffle_width(left.sparkSession)
     share = share or max(0.25 / width, 1e-3)
-    shares = hot_key_shares(left, key, share)[1] if width > 1 else {}
+    seen = left if probe is None else probe
+    shares = hot_key_shares(seen, key, share)[1] if width > 1 else {}
     salt, repeats = F.lit(0), F.lit(1)
     for pieces, keys in salt_tiers(shares, width).items():
         salt = F.when(is_one_of(F.col(key), keys), spread(left, pieces)).otherwise(salt)
@@ -105,8 +108,15 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width).alias("b")).first()["b"] or 0
 
 
-def lookup_join(left: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+def lookup_join(
+    left: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    n_bytes: int | None = None,
+    probe: DataFrame | None = None,
+) -> DataFrame:
     """Left join to a table with one row per key: broadcast if measured small, else salted."""
-    if table_bytes(lookup) <= BROADCAST_BYTES:
+    n_bytes = table_bytes(lookup) if n_bytes is None else n_bytes
+    if n_bytes <= BROADCAST_BYTES:
         return left.join(F.broadcast(lookup), key, "left")
-    return salted_join(left, lookup, key)
+    return salted_join(left, lookup, key, probe=probe)
