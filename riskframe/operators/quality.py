@@ -144,17 +144,21 @@ def quality_report(
     return report
 
 
-def sample_exact(df: DataFrame, frac: float, seed: int = 42, key: str = KEY) -> DataFrame:
+def sample_exact(
+    df: DataFrame, frac: float, seed: int = 42, key: str = KEY, portable: bool = False
+) -> DataFrame:
     """Exactly round(frac * n) rows: those with the smallest seeded hash of the key.
 
     The cut is found by rank selection, so the sample is a filter and no rows are sorted.
+    ``portable`` takes an MD5 hash that other engines can repeat, at a higher cost per row.
     """
-    if key in df.columns:
-        order = [hash52(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed))]
-        order += total_order(df, key)
-    else:
+    if key not in df.columns:
         order = [F.shiftright(F.xxhash64(F.lit(seed), content_keys(df)[0]), 12)]
         order += content_keys(df)
+    else:
+        text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+        quick = F.shiftright(F.xxhash64(F.lit(seed), F.col(key)), 12)
+        order = [hash52(text, F.lit(seed)) if portable else quick, *total_order(df, key)]
     (cut,) = order_cuts(df, order, lambda n: [round(frac * n)])
     return slice_rows(df, order, end=cut)
 

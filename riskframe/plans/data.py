@@ -155,7 +155,7 @@ def dtype_counts(spark, sf):
     WHERE rn <= round_even(0.1::DOUBLE * n, 0)""",
 )
 def sample_exact(spark, sf):
-    sample = quality.sample_exact(views.transactions(spark, sf), 0.1)
+    sample = quality.sample_exact(views.transactions(spark, sf), 0.1, portable=True)
     return sample.select("TransactionID", "TransactionAmt")
 
 

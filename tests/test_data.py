@@ -130,6 +130,7 @@ def test_sample_exact_size(spark, frac):
     sample = quality.sample_exact(df, frac)
     assert sample.count() == round(1000 * frac)
     assert sample.exceptAll(df).count() == 0
+    assert quality.sample_exact(df, frac, portable=True).count() == round(1000 * frac)
     assert quality.sample_exact(df.withColumnRenamed("TransactionID", "x"), frac).count() == round(
         1000 * frac
     )
