@@ -123,7 +123,7 @@ class FeatureEngineer:
     def transform(self, df: DataFrame) -> DataFrame:
         """Add the amount and time features; works on batch and streaming frames."""
         if self.state is None:
-            raise ValueError("Must call fit() before transform()")
+            raise ValueError("not fitted: call fit() first")
         new = {}
         if AMOUNT in df.columns:
             amount = F.col(AMOUNT)
@@ -194,7 +194,7 @@ class FeatureEngineer:
     def save(self, path: str, spark: SparkSession) -> None:
         """Write the state as Parquet tables ``stats`` and ``codes`` below ``path``."""
         if self.state is None:
-            raise ValueError("Must call fit() before save()")
+            raise ValueError("not fitted: nothing to save")
         s = self.state
         spark.createDataFrame(
             [(s.amount_mean, s.amount_std, s.amount_median, s.features)], STATE_SCHEMA
@@ -223,4 +223,4 @@ class FeatureEngineer:
         """Raise if a frame to be scored lacks features of the manifest."""
         lacking = [c for c in self.state.features if c not in names]
         if lacking:
-            raise ValueError(f"Missing features: {lacking}")
+            raise ValueError(f"features are missing: {lacking}")

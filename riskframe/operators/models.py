@@ -82,7 +82,7 @@ class BoostedModel:
     def score(self, df: DataFrame, name: str = PROBABILITY) -> DataFrame:
         lacking = [c for c in self.features if c not in df.columns]
         if lacking:
-            raise ValueError(f"Missing features: {lacking}")
+            raise ValueError(f"features are missing: {lacking}")
         scored = self.model.transform(df)
         return scored.withColumn(name, vector_to_array("probability")[1]).drop(
             "_features", "rawPrediction", "probability", "prediction"
@@ -142,7 +142,7 @@ class EnsembleDetector:
     def predict(self, df: DataFrame) -> DataFrame:
         """Add fraud_probability, if_flag, boosted_flag and their OR as ``prediction``."""
         if not self.fitted:
-            raise ValueError("Must call fit() before predict()")
+            raise ValueError("not fitted: call fit() first")
         scored = self.forest_model.flag(self.boosted_model.score(df))
         return scored.withColumn("boosted_flag", binarise(F.col(PROBABILITY))).withColumn(
             "prediction", either(F.col("if_flag"), F.col("boosted_flag"))
@@ -151,14 +151,14 @@ class EnsembleDetector:
     def predict_proba(self, df: DataFrame) -> DataFrame:
         """Add the boosted trees' probability; the forest takes no part in it."""
         if not self.fitted:
-            raise ValueError("Must call fit() before predict_proba()")
+            raise ValueError("not fitted: call fit() first")
         return self.boosted_model.score(df)
 
     score = predict_proba
 
     def save(self, path_prefix: str, spark: SparkSession) -> None:
         if not self.fitted:
-            raise ValueError("Must call fit() before save()")
+            raise ValueError("not fitted: nothing to save")
         self.forest_model.save(f"{path_prefix}_forest", spark)
         self.boosted_model.save(f"{path_prefix}_boosted", spark)
 
@@ -309,7 +309,7 @@ class GraphDetector:
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         if self.model is None:
-            raise ValueError("Must call fit() before predict_proba()")
+            raise ValueError("not fitted: call fit() first")
         return self.model.score(self._matrix(df, own=False)).select(*df.columns, PROBABILITY)
 
 
@@ -333,7 +333,7 @@ class SequenceDetector:
     def predict_proba(self, df: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """Score ``df``; ``history`` (earlier rows) only fills the windows."""
         if self.model is None:
-            raise ValueError("Must call fit() before predict_proba()")
+            raise ValueError("not fitted: call fit() first")
         rows = df.withColumn("_new", F.lit(True))
         if history is not None:
             rows = rows.unionByName(history.select(*df.columns).withColumn("_new", F.lit(False)))
@@ -376,7 +376,7 @@ class HybridDetector:
     def predict_proba(self, df: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """Rows (TransactionID, isFraud, p_graph, p_sequence, fraud_probability)."""
         if self.fusion is None:
-            raise ValueError("Must call fit() before predict_proba()")
+            raise ValueError("not fitted: call fit() first")
         scored = self.fusion.transform(self._scores(df, history))
         return scored.withColumn(PROBABILITY, vector_to_array("probability")[1]).drop(
             "_features", "rawPrediction", "probability", "prediction"

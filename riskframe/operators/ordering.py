@@ -242,29 +242,60 @@ def _narrow(frame: DataFrame, searches: list[_Search]):
             # BIGINT pivots pass through DOUBLE; halving ends the search beyond 2^53 too
             chosen.add((s.lo + s.hi) // 2)
         pivots.append(sorted(chosen))
-    counts = []
-    for i, group in enumerate(brackets.values()):
-        x, inside = F.col(group[0].name), _inside(group[0])
-        for j, p in enumerate(pivots[i]):
-            counts.append(F.count_if(inside & (x < F.lit(p))).alias(f"l{i}_{j}"))
-            counts.append(F.count_if(inside & (x == F.lit(p))).alias(f"e{i}_{j}"))
-    row = near.agg(*counts).first()
+    places = [
+        F.when(_inside(group[0]), _place(F.col(group[0].name), pivots[i]))
+        for i, group in enumerate(brackets.values())
+    ]
+    if len(places) == 1:
+        coded = near.select(F.lit(0).alias("bracket"), places[0].alias("place"))
+    else:
+        entries = [
+            F.struct(F.lit(i).alias("bracket"), place.alias("place"))
+            for i, place in enumerate(places)
+        ]
+        coded = near.select(F.inline(F.array(*entries)))
+    counted = (
+        coded.where("place is not null")
+        .groupBy("bracket", "place")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()  # at most two rows per pivot
+    )
+    by_place = {(r["bracket"], r["place"]): r["n"] for r in counted}
     for i, group in enumerate(brackets.values()):
+        counts = [by_place.get((i, place), 0) for place in range(2 * len(pivots[i]) + 1)]
         for s in group:
             target, hit = s.rank - s.below, None
             lo, hi, below, upto = s.lo, s.hi, 0, s.rows
+            less = 0
             for j, p in enumerate(pivots[i]):
-                less, same = row[f"l{i}_{j}"], row[f"e{i}_{j}"]
+                less, same = less + counts[2 * j], counts[2 * j + 1]
                 if less > target:
                     hi, upto = p, less
                     break
                 if target < less + same:
                     hit = Located(p, s.below + less, same)
                     break
-                lo, below = p, less + same
+                less += same
+                lo, below = p, less
             yield _Search(s.name, s.rank, lo, hi, s.below + below, upto - below), hit
 
 
+def _place(x: Column, pivots: Sequence) -> Column:
+    """2i for a value between pivots, 2i + 1 for one equal to pivot i, by binary decisions."""
+
+    def decide(low: int, high: int) -> Column:
+        if low < high:
+            mid = (low + high) // 2
+            return F.when(x < F.lit(pivots[mid]), decide(low, mid)).otherwise(
+                decide(mid + 1, high)
+            )
+        if low == 0:
+            return F.lit(0)
+        return F.when(x == F.lit(pivots[low - 1]), F.lit(2 * low - 1)).otherwise(F.lit(2 * low))
+
+    return decide(0, len(pivots))
+
+
 def exact_quantiles(
     df: DataFrame, keys: dict[str, Column], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
@@ -312,55 +343,60 @@ def order_cuts(
 ) -> list[Cut]:
     """The cuts after the first ``rank`` rows for the ranks that ``ranks(rows)`` names.
 
-    Missing keys sort last. The rows are counted by the scan that starts the search.
+    Missing keys sort last. The rows are counted by the scan that starts the search. Ties are
+    settled key by key; all ties of one level are searched together.
     """
     wanted: list[int] = []
     cuts: dict[int, Cut] = {}
+    # path -> {rank: (position among the rows at the path, number of those rows)}
+    open_: dict[tuple, dict[int, tuple[int, int]]] = {(): {}}
 
-    def inner(rows: int) -> dict[int, int]:
+    def start(rows: int) -> None:
         wanted.extend(ranks(rows))
         for rank in wanted:
             if rank <= 0:
                 cuts[rank] = Cut(())
             elif rank >= rows:
                 cuts[rank] = Cut((), all_before=True)
-        return {r: r for r in wanted if 0 < r < rows}
-
-    cuts.update(_descend(df, list(order), 0, inner, ()))
+            else:
+                open_[()][rank] = (rank, rows)
+
+    for level, key in enumerate(order):
+        tied: dict[tuple, dict[int, tuple[int, int]]] = {}
+        paths = list(open_)
+        for at in range(0, len(paths), COLUMNS_PER_JOB):
+            part = paths[at : at + COLUMNS_PER_JOB]
+
+            def positions(alias: str, n: int, rows: int, part=part) -> list[int]:
+                if level == 0:
+                    start(rows)
+                return [p for p, _ in open_[part[int(alias[1:])]].values() if p < n]
+
+            if level == 0:
+                frame = df.select(key.alias("k0"))
+            else:
+                here = [_at(order, Cut(path)) for path in part]
+                frame = df.where(reduce(lambda a, b: a | b, here)).select(
+                    *[F.when(cond, key).alias(f"k{i}") for i, cond in enumerate(here)]
+                )
+            found = _select(frame, positions, LEAF_ROWS)
+            for i, path in enumerate(part):
+                n, hits = found[f"k{i}"]
+                for rank, (position, rows) in open_[path].items():
+                    hit = hits.get(position) or Located(None, n, rows - n)
+                    deeper, rest = path + (hit.value,), position - hit.below
+                    if rest == 0:
+                        cuts[rank] = Cut(deeper)
+                    elif level + 1 < len(order):
+                        tied.setdefault(deeper, {})[rank] = (rest, hit.equal)
+                    else:
+                        cuts[rank] = Cut(deeper, spare=rest, equal=hit.equal)
+        open_ = tied
+        if not open_:
+            break
     return [cuts[rank] for rank in wanted]
 
 
-def _descend(df, order, level, ranks_of, prefix):
-    """``ranks_of(rows)`` maps each wanted rank to its position among the rows at ``prefix``."""
-    cuts: dict[int, Cut] = {}
-    key = order[level]
-    ranks: dict[int, int] = {}
-
-    def positions(alias: str, n: int, rows: int) -> list[int]:
-        ranks.update(ranks_of(rows))
-        return [p for p in ranks.values() if p < n]
-
-    n, hits = _select(df.select(key.alias("k")), positions, LEAF_ROWS)["k"]
-    deeper: dict = {}
-    for rank, position in ranks.items():
-        hit = hits.get(position) or Located(None, n, 0)
-        path = prefix + (hit.value,)
-        if position == hit.below:
-            cuts[rank] = Cut(path)
-        else:
-            deeper.setdefault(path, {})[rank] = (position - hit.below, hit.equal)
-    for path, inner in deeper.items():
-        value = path[-1]
-        same = df.where(key.isNull() if value is None else key == F.lit(value))
-        if level + 1 < len(order):
-            nested = {rank: position for rank, (position, _) in inner.items()}
-            cuts.update(_descend(same, order, level + 1, lambda _, r=nested: r, path))
-        else:
-            for rank, (position, equal) in inner.items():
-                cuts[rank] = Cut(path, spare=position, equal=equal or same.count())
-    return cuts
-
-
 def before(order: Sequence[Column], cut: Cut) -> Column:
     """Predicate 'the row lies before the cut' (NULL means no)."""
     if not cut.path:

@@ -67,7 +67,7 @@ class TransactionLoader:
         self.spark, self.data_dir, self.fmt = spark, data_dir.rstrip("/"), fmt
         self.column_types = column_types
         if not path_exists(spark, self.data_dir):
-            raise FileNotFoundError(f"Data directory not found: {data_dir}")
+            raise FileNotFoundError(f"no data directory at {data_dir}")
 
     def _path(self, role: str, table: str) -> str:
         return f"{self.data_dir}/{role}_{table}.{self.fmt}"
@@ -83,7 +83,7 @@ class TransactionLoader:
         role = "test" if load_test else "train"
         transactions = self._path(role, "transaction")
         if not path_exists(self.spark, transactions):
-            raise FileNotFoundError(f"Transaction file not found: {transactions}")
+            raise FileNotFoundError(f"no transaction table at {transactions}")
         df = self._read(transactions)
         identity = self._path(role, "identity")
         if path_exists(self.spark, identity):
@@ -113,7 +113,7 @@ class TransactionLoader:
 def check_required(df: DataFrame) -> None:
     missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"required columns are missing: {missing}")
 
 
 def quick_load_and_validate(
