@@ -26,7 +26,6 @@ def prepare_payments(df: DataFrame) -> tuple[DataFrame, list[str]]:
 
     The category codes are learnt on the rows given.
     """
-    seconds = F.unix_seconds("timestamp")
     day = F.weekday("timestamp")
     wide = df.select(
         KEY,
@@ -34,7 +33,7 @@ def prepare_payments(df: DataFrame) -> tuple[DataFrame, list[str]]:
         "timestamp",
         "amount",
         X.amount_log(F.col("amount")).alias("amount_log"),
-        X.hour_of_offset(seconds).cast("int").alias("hour_of_day"),
+        F.hour("timestamp").alias("hour_of_day"),
         day.alias("day_of_week"),
         X.is_weekend(day).alias("is_weekend"),
         F.col("is_international").cast("int").alias("is_international"),
