@@ -121,3 +121,12 @@ def attempt_name(kind: str) -> str:
 
     context = TaskContext.get()
     return f"{kind}-{context.partitionId():06d}-{context.taskAttemptId()}"
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker, for models that are slow to load."""
+    import sys
+    import types
+
+    name = "_riskframe_worker_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__

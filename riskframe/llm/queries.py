@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import simhash
+from riskframe.llm import simhash, tokens
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
 
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to token files and read back."""
+    import public_tokenizers
+
+    read = tokens.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return read.select("doc_id", "start", "n_tokens", tokens.checksum(F.col("ids")).alias("ids_crc32"))
+
+
 @query("op10_simhash_dedup")
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 4-word shingles, at most 4 differing bits."""
