@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import simhash, tokens
+from riskframe.llm import decontaminate, simhash, tokens
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
 
+@query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, with the item and the alignment score."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to token files and read back."""
