@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import decontaminate, simhash, tokens
+from riskframe.llm.mixture import Mixture
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -15,6 +16,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_mixture")
+def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source: weights 5, 2, 1 in turn, at most three times each."""
+    return Mixture().report(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to token files and read back."""
