@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, simhash, tokens
+from riskframe.llm import decontaminate, quality, simhash, tokens, toxicity
 from riskframe.llm.mixture import Mixture
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -16,6 +16,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt from two thirds of the labels."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from four fifths of the labels."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op6_mixture")
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source: weights 5, 2, 1 in turn, at most three times each."""
