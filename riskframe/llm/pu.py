@@ -43,7 +43,8 @@ class NonNegativePU:
 
     def fit(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> NonNegativePU:
         both = np.concatenate([positive, unlabelled])
-        self.mean, self.scale = both.mean(0), both.std(0) + 1e-6
+        kind = both.dtype
+        self.mean, self.scale = both.mean(0).astype(kind), (both.std(0) + 1e-6).astype(kind)
         xp, xu = self._scaled(positive), self._scaled(unlabelled)
         rng, d = np.random.default_rng(self.seed), xp.shape[1]
         if self.hidden:

@@ -20,7 +20,7 @@ from riskframe.session import materialise
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Bound of the vocabulary, and the lengths of word beginnings.
-VOCABULARY, STEMS = 2_000, (4, 5, 6)
+VOCABULARY, STEMS = 800, (4, 5, 6)
 
 
 def words_of(text: str | None) -> set[str]:
@@ -51,7 +51,7 @@ class WordScorer:
 
     def matrix(self, rows) -> np.ndarray:
         """One row per (features found, number of distinct words)."""
-        x = np.zeros((len(rows), len(self.index) + 1))
+        x = np.zeros((len(rows), len(self.index) + 1), np.float32)
         for i, (found, n) in enumerate(rows):
             x[i, [self.index[w] for w in found]] = 1
             x[i, -1] = np.log1p(n)
@@ -87,17 +87,28 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", key: str
         .where(F.col("p") + F.col("u") >= 8).withColumn("z", z).where(F.abs("z") >= least_z)
         .orderBy(F.abs("z").desc(), "w").limit(VOCABULARY)
     )
-    vocabulary = sorted(r["w"] for r in words.collect())
+    vocabulary = _distinct({r["w"]: r["p"] + r["u"] for r in words.collect()})
     scorer = WordScorer(vocabulary, None)
     known = F.array(*map(F.lit, vocabulary)) if vocabulary else F.array().cast("array<string>")
     plain = F.size(F.filter("w", lambda w: ~w.endswith("-")))
     sample = sets.select(key, "positive", "unlabelled", F.array_intersect("w", known).alias("w"), plain.alias("n")).orderBy(key).collect()
     x = scorer.matrix([(r["w"], r["n"]) for r in sample])
     p, u = np.array([r["positive"] is not None for r in sample]), np.array([r["unlabelled"] is not None for r in sample])
-    scorer.model = pu.NonNegativePU(epochs=60, decay=1e-3).fit(x[p], x[u], prior)
+    scorer.model = pu.NonNegativePU(epochs=150, batch=4000, decay=1e-3).fit(x[p], x[u], prior)
     return scorer
 
 
+def _distinct(counts: dict[str, int]) -> list[str]:
+    """Features without the beginnings that stand for hardly more than one longer feature."""
+    names = sorted(counts)
+    covered = {
+        stem
+        for stem in names if stem[-1] == "-"
+        for word in names if word != stem and word.startswith(stem[:-1]) and counts[word] >= 0.95 * counts[stem]
+    }
+    return [w for w in names if w not in covered]
+
+
 def scored(documents: DataFrame, model: WordScorer, text: str = "text", out: str = "score") -> DataFrame:
     """All rows with ``out``, the estimated probability of being toxic."""
 
