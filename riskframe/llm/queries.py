@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, quality, simhash, tokens, toxicity
+from riskframe.llm import decontaminate, quality, sharding, simhash, tokens, toxicity, urls
 from riskframe.llm.mixture import Mixture
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -28,6 +28,30 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op4_sharding")
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of a hash tree, and where they go with one more."""
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 16).alias("size"),
+        F.coalesce(F.crc32("text"), F.lit(0)).cast("bigint").alias("text_crc32"),
+    )
+    found = sharding.sharded(documents, sharding.Tree.uniform(40), sharding.Tree.uniform(41), order=("text_crc32", "size"))
+    return found.withColumn("law", F.lit("key")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "region", "rack"
+    )
+
+
+#: Fixed rules of the query: verdict, then host and path.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+@query("op5_url_filter")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages by four rules, else by propagated trust and distrust of hosts."""
+    return urls.Filter(URL_RULES).judge(table(spark, sf_dir, "pages"))
+
+
 @query("op6_mixture")
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source: weights 5, 2, 1 in turn, at most three times each."""
