@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, quality, sharding, simhash, tokens, toxicity, urls
+from riskframe.llm import ann, decontaminate, quality, sharding, simhash, tokens, toxicity, urls
 from riskframe.llm.mixture import Mixture
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -58,6 +58,12 @@ def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mixture().report(table(spark, sf_dir, "documents"))
 
 
+@query("op7_learned_partitions")
+def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every vector whose id is divisible by 50, among all others."""
+    return ann.Search().nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to token files and read back."""
