@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import ann, decontaminate, quality, sharding, simhash, tokens, toxicity, urls
+from riskframe.llm import ann, decontaminate, quality, sharding, simhash, tokens, toxicity, urls, warc
 from riskframe.llm.mixture import Mixture
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -64,6 +64,15 @@ def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.Search().nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op8_warc_captures")
+def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back, with their position in the merged capture history."""
+    found = warc.archive_pages(spark, table(spark, sf_dir, "pages"), F.lit(1704067200) + F.pmod(F.col("page_id"), F.lit(10**8)))
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "position"
+    )
+
+
 @query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to token files and read back."""
