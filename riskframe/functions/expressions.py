@@ -49,8 +49,9 @@ def is_weekend(day: Column) -> Column:
 
 
 def binarise(score: Column, threshold: float = 0.5) -> Column:
-    """1 where the score lies strictly above the threshold; a missing score is not flagged."""
-    return F.coalesce(score > F.lit(threshold), F.lit(False)).cast("int")
+    """1 where the score lies strictly above the threshold; a missing or NaN score is not flagged."""
+    known = F.nanvl(score.cast("double"), F.lit(None))
+    return F.coalesce(known > F.lit(threshold), F.lit(False)).cast("int")
 
 
 def either(*flags: Column) -> Column:

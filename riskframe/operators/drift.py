@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,7 +151,9 @@ def ks_drift(
     features: Sequence[str] | None = None,
     level: float = KS_LEVEL,
 ) -> DataFrame:
-    """Rows (feature, statistic, p_value, drifted) of the two-sample KS test.
+    """Rows (feature, statistic, p_value, drifted, status) of the two-sample KS test.
+
+    Every feature has a row; without values on one side its statistic is missing.
 
     Values are counted per distinct value first; the distribution functions come from running
     totals per feature and range bucket.
@@ -187,13 +189,35 @@ def ks_drift(
     )
     gap = F.abs(F.col("ref_cum") / F.col("n") - F.col("cur_cum") / F.col("m"))
     d = curve.join(totals.where("n > 0 and m > 0"), "feature").groupBy("feature").agg(
-        F.max(gap).alias("statistic"), F.first("n").alias("n"), F.first("m").alias("m")
+        F.max(gap).alias("statistic")
+    )
+    p_value = F.when(
+        F.col("statistic").isNotNull(), X.ks_p_value(F.col("statistic"), F.col("n"), F.col("m"))
+    )
+    found = _every_feature(reference, features, totals).join(d, "feature", "left")
+    return found.withColumn("p_value", p_value).select(
+        "feature", "statistic", "p_value", _drifted(F.col("p_value") < level), "status"
+    )
+
+
+def _every_feature(frame: DataFrame, features: Sequence[str], totals: DataFrame) -> DataFrame:
+    """One row per feature with its counts n and m, 0 where a side has no value, and a status."""
+    names = frame.sparkSession.createDataFrame([(c,) for c in features], "feature string")
+    status = (
+        F.when((F.col("n") > 0) & (F.col("m") > 0), "compared")
+        .when(F.col("n") > 0, "no current values")
+        .when(F.col("m") > 0, "no reference values")
+        .otherwise("no values")
     )
-    return d.select(
-        "feature",
-        "statistic",
-        X.ks_p_value(F.col("statistic"), F.col("n"), F.col("m")).alias("p_value"),
-    ).withColumn("drifted", (F.col("p_value") < level).cast("int"))
+    return (
+        names.join(totals, "feature", "left").na.fill(0.0, ["n", "m"]).withColumn("status", status)
+    )
+
+
+def _drifted(beyond) -> Column:
+    """A feature that has values on one side only has drifted; one without any values hasn't."""
+    one_sided = F.col("status").isin("no current values", "no reference values")
+    return F.coalesce(beyond, one_sided).cast("int").alias("drifted")
 
 
 def decile_edges(
@@ -212,7 +236,9 @@ def psi_drift(
     bins: int = 10,
     limit: float = PSI_LIMIT,
 ) -> DataFrame:
-    """Rows (feature, psi, drifted) over bins at the reference's quantiles, ends open.
+    """Rows (feature, psi, drifted, status) over bins at the reference's quantiles, ends open.
+
+    Every feature has a row; without values on one side its index is missing.
 
     One pre-aggregated pass over both frames; the shuffle carries features x bins counters.
     """
@@ -257,10 +283,10 @@ def psi_drift(
         return acc + (c - r) * F.log(c / r)
 
     psi = F.aggregate(F.sequence(F.lit(0), F.lit(bins - 1)), F.lit(0.0), term)
-    return (
-        packed.where("n > 0 and m > 0")
-        .select("feature", psi.alias("psi"))
-        .withColumn("drifted", (F.col("psi") > limit).cast("int"))
+    scored = packed.where("n > 0 and m > 0").select("feature", psi.alias("psi"))
+    found = _every_feature(reference, features, packed.select("feature", "n", "m"))
+    return found.join(scored, "feature", "left").select(
+        "feature", "psi", _drifted(F.col("psi") > limit), "status"
     )
 
 

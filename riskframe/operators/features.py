@@ -158,6 +158,8 @@ class FeatureEngineer:
     ) -> DataFrame:
         """Drop id, time and label, code the strings, fill missing numbers.
 
+        NaN and infinite numbers (the logarithm of an amount of -1) count as missing.
+
         ``keep`` columns stay beside the features. ``mode='fitted'`` uses the codes learnt on the
         training slice; ``mode='per_frame'`` numbers the values of this frame.
         """
@@ -184,7 +186,7 @@ class FeatureEngineer:
             if isinstance(f.dataType, T.BooleanType):
                 col = col.cast("int")
             if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-                col = F.nanvl(col, F.lit(None))
+                col = F.when(~F.isnan(col) & (F.abs(col) != float("inf")), col)
             kind = "int" if isinstance(f.dataType, T.BooleanType) else f.dataType
             changed[f.name] = F.coalesce(col, F.lit(fill).cast(kind))
         return out.withColumns(changed) if changed else out

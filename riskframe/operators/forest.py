@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.ordering import exact_quantiles
@@ -55,39 +55,40 @@ class IsolationForest:
         return model
 
     def _draw(self, vectors: DataFrame, n: int, rows: int) -> DataFrame:
-        """(tree, x): ``rows`` rows per tree, without repeats inside a tree."""
-        if n >= self.trees * self.sample_rows * 4:
-            # enough rows for samples of their own: one bounded random draw, dealt out in turn
-            # (thinned first, so that tasks send few rows to the sort)
-            wanted = self.trees * rows
-            share = (wanted + 6 * math.sqrt(wanted)) / n
-            pool = (
-                vectors.withColumn("u", F.rand(self.seed))
-                .where(F.col("u") < share)
-                .orderBy("u")
-                .limit(wanted)
-            )
-            dealt = F.pmod(F.monotonically_increasing_id(), F.lit(self.trees)).cast("int")
-            return pool.select(dealt.alias("tree"), "x")
-        # a small table (bounded by the test above): a draw of its own for each tree
-        spread = (rows + 6 * math.sqrt(rows)) / n
-        limit = int(min(1.0, spread) * (1 << 52))
+        """(tree, x): ``rows`` rows per tree, without repeats inside a tree, alike at every size.
+
+        Each row draws the number of trees it offers itself to (binomial, by one uniform) and which
+        they are; every tree keeps the offers of smallest hash. About ``trees * rows`` rows are
+        offered in all, whatever the size of the table.
+        """
+        share = min(1.0, (rows + 6 * math.sqrt(rows)) / n)
+        below, total = [], 0.0
+        for k in range(self.trees):  # P(offers <= k)
+            if share < 1.0:
+                total += math.exp(
+                    math.lgamma(self.trees + 1) - math.lgamma(k + 1) - math.lgamma(self.trees - k + 1)
+                    + k * math.log(share) + (self.trees - k) * math.log1p(-share)
+                )
+            below.append(total)
+
+        def draw(*parts) -> Column:
+            return F.xxhash64(F.lit(self.seed), "id", *parts)
+
+        u = (F.shiftrightunsigned(draw(F.lit(-1)), 11).cast("double") + 0.5) * F.lit(2.0**-53)
+        offers = F.size(F.filter(F.array(*map(F.lit, below)), lambda p: p < u))
+        trees = F.sequence(F.lit(0), F.lit(self.trees - 1))
+        chosen = F.slice(
+            F.array_sort(F.transform(trees, lambda t: F.struct(draw(t).alias("h"), t.alias("tree")))),
+            F.lit(1), F.col("offers"),
+        )
+        smallest = Window.partitionBy("tree").orderBy("h", "id")
         return (
             vectors.withColumn("id", F.monotonically_increasing_id())
-            .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
-            .withColumn(
-                "h",
-                F.shiftright(F.xxhash64(F.lit(self.seed), "tree", "id"), 12)
-                + F.lit(1 << 51),
-            )
-            .where(F.col("h") <= limit)
-            .groupBy("tree")
-            .agg(
-                F.slice(
-                    F.array_sort(F.collect_list(F.struct("h", "id", "x"))), 1, rows
-                ).alias("picked")
-            )
-            .select("tree", F.inline("picked"))
+            .withColumn("offers", offers)
+            .where("offers > 0")
+            .select("id", "x", F.inline(chosen))
+            .withColumn("place", F.row_number().over(smallest))
+            .where(F.col("place") <= rows)
             .select("tree", "x")
         )
 
@@ -113,12 +114,14 @@ def _tree_builder(sample_rows: int, seed: int):
             me = len(out)
             out.append(None)
             low, high = x[idx].min(axis=0), x[idx].max(axis=0)
-            usable = np.flatnonzero(high > low)
+            usable = np.flatnonzero((high > low) & np.isfinite(low) & np.isfinite(high))
             if depth >= deepest or len(idx) <= 1 or len(usable) == 0:
                 out[me] = (tree, me, -1, 0.0, me, me, depth + expected(len(idx)))
                 return me
             feature = int(rng.choice(usable))
-            cut = float(rng.uniform(low[feature], high[feature]))
+            # strictly below the largest value, so that both sides hold a row
+            at, end = float(low[feature]), float(high[feature])
+            cut = min(at + float(rng.random()) * (end - at), float(np.nextafter(end, at)))
             goes_left = x[idx, feature] <= cut
             left = grow(idx[goes_left], depth + 1)
             right = grow(idx[~goes_left], depth + 1)

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from riskframe.functions import expressions as X
 from riskframe.operators.ordering import (
+    before,
     order_cuts,
     range_bounds,
+    rows_at,
     running_sums,
     slice_rows,
     total_order,
@@ -22,7 +24,11 @@ from riskframe.operators.ordering import (
 )
 from riskframe.operators.quality import _as_rows
 
-TOP_ROWS = 1_000  # largest top-k for which every task may send its own k best rows
+
+
+def _scores(df: DataFrame, score: str) -> DataFrame:
+    """``score`` as a double in which NaN is missing, the one rule for all metrics of this module."""
+    return df.withColumn(score, F.nanvl(F.col(score).cast("double"), F.lit(None)))
 
 
 def confusion_matrix(
@@ -89,7 +95,7 @@ def focal_loss(
 
 def score_curve(df: DataFrame, label: str = "isFraud", score: str = "score") -> DataFrame:
     """Per distinct score: pos, neg and the totals of rows that score at least as high."""
-    points = df.where(F.col(score).isNotNull()).select(
+    points = _scores(df, score).where(F.col(score).isNotNull()).select(
         (-F.col(score).cast("double")).alias("key"), F.col(label).alias("label")
     )
     bounds = range_bounds(points, ["key"])
@@ -123,13 +129,15 @@ def auprc(df: DataFrame, label: str = "isFraud", score: str = "score") -> DataFr
     return _area(score_curve(df, label, score)).select("auprc")
 
 
+def _ranking(df: DataFrame, score: str, key: str) -> tuple[DataFrame, list]:
+    """The frame and its order: best score first, then by id, then by content; missing keys last."""
+    flipped = _scores(df, score).withColumn("_flipped", -F.col(score))
+    return flipped, total_order(flipped, "_flipped", key)
+
+
 def top_rows(df: DataFrame, score: str, k: int, key: str = "TransactionID") -> DataFrame:
     """The k best scores (all rows if fewer), ties by id and then by content."""
-    if k <= TOP_ROWS:
-        order = [F.desc_nulls_last(score)] + total_order(df, key)
-        return df.orderBy(*order).limit(k)
-    flipped = df.withColumn("_flipped", -F.col(score).cast("double"))
-    order = total_order(flipped, "_flipped", key)
+    flipped, order = _ranking(df, score, key)
     (cut,) = order_cuts(flipped, order, lambda _: [k])
     return slice_rows(flipped, order, end=cut).drop("_flipped")
 
@@ -143,47 +151,32 @@ def precision_recall_at_k(
 ) -> DataFrame:
     """Rows (k, precision_at_k, recall_at_k); k is clamped to the number of rows.
 
-    Large k are counted by cut keys, small ones from one bounded top-k.
+    The cuts of all k are searched together and counted alike, however large k is. Missing and NaN
+    scores rank last, as do missing ids within a score.
     """
     columns = list(dict.fromkeys(c for c in (key, score, label) if c in df.columns))
     slim = df.select(*columns)
     totals = slim.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("p"))
-    small = sorted({k for k in k_values if k <= TOP_ROWS})
-    parts = []
-    if small:
-        top = top_rows(slim, score, max(small), key)
-        order = [F.desc_nulls_last(score)] + total_order(slim, key)
-        ranked = top.agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        (-F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))).alias("s"),
-                        *[c.alias(f"o{i}") for i, c in enumerate(order[1:])],
-                        (F.col(label) == 1).cast("int").alias("y"),
-                    )
-                )
-            ).alias("rows")
-        )
-        hits = [
-            F.struct(
-                F.lit(k).alias("k"),
-                F.aggregate(
-                    F.slice("rows", 1, k), F.lit(0).cast("bigint"), lambda acc, r: acc + r["y"]
-                ).alias("hits"),
-            )
-            for k in small
-        ]
-        parts.append(ranked.select(F.inline(F.array(*hits))))
-    for k in sorted({k for k in k_values if k > TOP_ROWS}):
-        top = top_rows(slim, score, k, key)
-        parts.append(
-            top.agg(F.count_if(F.col(label) == 1).alias("hits")).select(
-                F.lit(k).alias("k"), "hits"
-            )
+    wanted = sorted(set(k_values))
+    flipped, order = _ranking(slim, score, key)
+    positive = F.col(label) == 1
+    cuts = order_cuts(flipped, order, lambda _: wanted)
+    inner = [
+        F.count_if(positive & F.coalesce(before(order, cut), F.lit(False))).alias(f"h{i}")
+        for i, cut in enumerate(cuts)
+    ]
+    counted = flipped.agg(*inner)
+    spare = {  # of identical rows at a cut some lie before it: all have one label
+        i: flipped.where(rows_at(order, cut)).limit(1).select(positive.cast("int")).scalar()
+        for i, cut in enumerate(cuts) if cut.spare
+    }
+    hits = counted.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(k).alias("k"),
+            (F.col(f"h{i}") + (F.coalesce(spare[i], F.lit(0)) * cuts[i].spare if i in spare else 0)).cast("bigint").alias("hits"),
         )
-    hits = parts[0]
-    for part in parts[1:]:
-        hits = hits.unionByName(part)
+        for i, k in enumerate(wanted)
+    ])))
     n, p = totals.select("n").scalar(), totals.select("p").scalar()
     return hits.select(
         "k",

@@ -375,7 +375,7 @@ def order_cuts(
             if level == 0:
                 frame = df.select(key.alias("k0"))
             else:
-                here = [_at(order, Cut(path)) for path in part]
+                here = [rows_at(order, Cut(path)) for path in part]
                 frame = df.where(reduce(lambda a, b: a | b, here)).select(
                     *[F.when(cond, key).alias(f"k{i}") for i, cond in enumerate(here)]
                 )
@@ -425,14 +425,15 @@ def not_before(order: Sequence[Column], cut: Cut) -> Column:
     return cond
 
 
-def _at(order: Sequence[Column], cut: Cut) -> Column:
+def rows_at(order: Sequence[Column], cut: Cut) -> Column:
+    """Predicate 'the row has the keys of the cut'."""
     parts = [k.isNull() if v is None else k == F.lit(v) for k, v in zip(order, cut.path)]
     return F.coalesce(reduce(lambda a, b: a & b, parts), F.lit(False))
 
 
 def _copies(df: DataFrame, order: Sequence[Column], cut: Cut, number: int) -> DataFrame:
     """``number`` of the identical rows at the cut, made by all tasks from one of them."""
-    one = df.where(_at(order, cut)).limit(1).select(F.struct("*"))
+    one = df.where(rows_at(order, cut)).limit(1).select(F.struct("*"))
     return df.sparkSession.range(number).select(one.scalar().alias("row")).select("row.*")
 
 
@@ -444,7 +445,7 @@ def slice_rows(
     if start is not None:
         cond = not_before(order, start)
         if start.spare:
-            cond = cond & ~_at(order, start)
+            cond = cond & ~rows_at(order, start)
     if end is not None:
         cond = before(order, end) if start is None else cond & before(order, end)
     rows = df.where(cond)
@@ -471,7 +472,7 @@ def with_segment(
             shared.setdefault(cut.path, []).append(i)
     rows = df
     for at in shared.values():
-        rows = rows.where(~_at(order, cuts[at[0]]))
+        rows = rows.where(~rows_at(order, cuts[at[0]]))
     rows = rows.withColumn(name, segment)
     for at in shared.values():
         marks = [0] + [cuts[i].spare for i in at] + [cuts[at[0]].equal]

@@ -344,22 +344,19 @@ def feature_state_roundtrip(spark, sf):
     )
 
 
-_PAYMENT_CODES = ("browser", "device_os", "merchant_category", "source", "zip_code")
+_PAYMENT_CODES = ("browser", "country_code", "device_os", "merchant_category", "source", "zip_code")
 _PAYMENTS = """
-p AS (
-  SELECT event_id, ts, value, user_id, event_type,
-         CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k
-  FROM events),
 pay AS (
-  SELECT 'tx_' || event_id AS transaction_id, value AS amount, ts, k,
+  SELECT 'event-' || event_id AS transaction_id, value AS amount, ts,
          CAST((event_id * 7919 + user_id * 104729) % 100
               < CASE WHEN value > 100 THEN 15 ELSE 1 END AS INTEGER) AS fraud_bool,
-         user_id % 2 = 0 AS is_international,
-         ['online', 'atm', 'pos'][k % 3 + 1] AS source,
-         ['iOS', 'Android', 'Windows', 'Linux'][k % 4 + 1] AS device_os,
-         ['Chrome', 'Safari', 'Firefox'][k % 3 + 1] AS browser,
-         event_type AS merchant_category, lpad(CAST(k AS VARCHAR), 5, '0') AS zip_code
-  FROM p)"""
+         n_regionkey > 1 AS is_international, event_type AS source, p_type AS device_os,
+         p_brand AS browser, c_mktsegment AS merchant_category, n_name AS country_code,
+         substr(md5(CAST(user_id % 100 AS VARCHAR)), 1, 3) AS zip_code
+  FROM events
+  LEFT JOIN customer ON c_custkey = user_id % 100
+  LEFT JOIN nation ON n_nationkey = c_nationkey
+  LEFT JOIN part ON p_partkey = CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER))"""
 
 
 @query(
@@ -371,7 +368,6 @@ pay AS (
            CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
            CAST(isodow(ts) IN (6, 7) AS INTEGER) AS is_weekend,
            CAST(is_international AS INTEGER) AS is_international,
-           CAST(0 AS INTEGER) AS country_code,
            {", ".join(f"CAST(c_{c}.code AS INTEGER) AS {c}" for c in _PAYMENT_CODES)}
     FROM pay {" ".join(f"LEFT JOIN c_{c} ON pay.{c} = c_{c}.v" for c in _PAYMENT_CODES)}""",
 )

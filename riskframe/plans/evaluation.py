@@ -169,7 +169,7 @@ def comprehensive_evaluation(spark, sf):
 # -- drift --------------------------------------------------------------------------------------
 
 _NUMERIC = ("TransactionID", "TransactionDT", "TransactionAmt", "isFraud")
-_KS_FEATURES = ("TransactionAmt", "hour")
+_KS_FEATURES = ("TransactionAmt", "hour", "early_amount")
 
 
 def _profile_sql(source: str) -> str:
@@ -235,9 +235,13 @@ def drift_summary(spark, sf):
     )
 
 
-def _hours(df: DataFrame) -> DataFrame:
+def _hours(df: DataFrame, early: bool = False) -> DataFrame:
+    """Amount, hour, and a feature that later slices lack."""
+    amount = F.col("TransactionAmt")
     return df.select(
-        "TransactionAmt", X.hour_of_offset(F.col("TransactionDT")).alias("hour")
+        amount,
+        X.hour_of_offset(F.col("TransactionDT")).alias("hour"),
+        (amount if early else F.lit(None).cast("double")).alias("early_amount"),
     )
 
 
@@ -246,7 +250,17 @@ _LONG = f"""long AS (
   SELECT 0 AS side, 'TransactionAmt' AS feature, "TransactionAmt" AS v FROM train
   UNION ALL SELECT 1, 'TransactionAmt', "TransactionAmt" FROM test
   UNION ALL SELECT 0, 'hour', CAST({_HOUR} AS DOUBLE) FROM train
-  UNION ALL SELECT 1, 'hour', CAST({_HOUR} AS DOUBLE) FROM test)"""
+  UNION ALL SELECT 1, 'hour', CAST({_HOUR} AS DOUBLE) FROM test
+  UNION ALL SELECT 0, 'early_amount', "TransactionAmt" FROM train
+  UNION ALL SELECT 1, 'early_amount', NULL FROM test),
+seen AS (
+  SELECT feature, count(v) FILTER (side = 0) AS n, count(v) FILTER (side = 1) AS m,
+         CASE WHEN count(v) FILTER (side = 0) > 0 AND count(v) FILTER (side = 1) > 0 THEN 'compared'
+              WHEN count(v) FILTER (side = 0) > 0 THEN 'no current values'
+              WHEN count(v) FILTER (side = 1) > 0 THEN 'no reference values'
+              ELSE 'no values' END AS status
+  FROM long GROUP BY feature)"""
+_ONE_SIDED = "status IN ('no current values', 'no reference values')"
 
 
 @query(
@@ -254,7 +268,7 @@ _LONG = f"""long AS (
     f"""WITH {SPLIT}, {_LONG},
     g AS (
       SELECT feature, v, count(*) FILTER (side = 0) AS r, count(*) FILTER (side = 1) AS c
-      FROM long GROUP BY feature, v),
+      FROM long WHERE v IS NOT NULL GROUP BY feature, v),
     cum AS (
       SELECT feature, sum(r) OVER w AS cr, sum(c) OVER w AS cc,
              sum(r) OVER (PARTITION BY feature) AS n, sum(c) OVER (PARTITION BY feature) AS m
@@ -262,7 +276,7 @@ _LONG = f"""long AS (
     d AS (
       SELECT feature, max(abs(cr / n::DOUBLE - cc / m::DOUBLE)) AS d,
              any_value(n)::DOUBLE AS n, any_value(m)::DOUBLE AS m
-      FROM cum GROUP BY feature),
+      FROM cum WHERE n > 0 AND m > 0 GROUP BY feature),
     l AS (SELECT feature, d, d * sqrt(n * m / (n + m)) AS lam FROM d),
     p AS (
       SELECT feature, d, lam,
@@ -272,12 +286,12 @@ _LONG = f"""long AS (
              END AS p
       FROM l)
     SELECT feature, round(d, 6) AS statistic, round(p, 4) AS p_value,
-           CAST(p < 0.05 AS INTEGER) AS drifted
-    FROM p""",
+           CAST(coalesce(p < 0.05, {_ONE_SIDED}) AS INTEGER) AS drifted, status
+    FROM seen LEFT JOIN p USING (feature)""",
 )
 def drift_ks(spark, sf):
     train, test = train_test(spark, sf)
-    out = drift.ks_drift(_hours(train), _hours(test), _KS_FEATURES)
+    out = drift.ks_drift(_hours(train, early=True), _hours(test), _KS_FEATURES)
     return rounded(rounded(out, "statistic"), "p_value", places=4)
 
 
@@ -291,22 +305,24 @@ def drift_ks(spark, sf):
     b AS (
       SELECT feature, side, (SELECT count(*) FROM e
                              WHERE e.feature = long.feature AND round(e.edge, 9) <= long.v) AS bin
-      FROM long),
+      FROM long WHERE v IS NOT NULL),
     g AS (
       SELECT feature, bin, count(*) FILTER (side = 0) AS r, count(*) FILTER (side = 1) AS c
       FROM b GROUP BY feature, bin),
-    t AS (SELECT feature, sum(r)::DOUBLE AS n, sum(c)::DOUBLE AS m FROM g GROUP BY feature),
+    t AS (SELECT feature, sum(r)::DOUBLE AS n, sum(c)::DOUBLE AS m FROM g GROUP BY feature
+          HAVING sum(r) > 0 AND sum(c) > 0),
     f AS (
       SELECT t.feature, greatest(coalesce(r, 0) / n, 1e-4::DOUBLE) AS r,
              greatest(coalesce(c, 0) / m, 1e-4::DOUBLE) AS c
       FROM t CROSS JOIN range(10) k(bin) LEFT JOIN g ON g.feature = t.feature AND g.bin = k.bin)
-    SELECT feature, round(sum((c - r) * ln(c / r)), 6) AS psi,
-           CAST(sum((c - r) * ln(c / r)) > 0.1 AS INTEGER) AS drifted
-    FROM f GROUP BY feature""",
+    , psi AS (SELECT feature, sum((c - r) * ln(c / r)) AS psi FROM f GROUP BY feature)
+    SELECT feature, round(psi, 6) AS psi,
+           CAST(coalesce(psi > 0.1, {_ONE_SIDED}) AS INTEGER) AS drifted, status
+    FROM seen LEFT JOIN psi USING (feature)""",
 )
 def drift_psi(spark, sf):
     train, test = train_test(spark, sf)
-    return rounded(drift.psi_drift(_hours(train), _hours(test), _KS_FEATURES), "psi")
+    return rounded(drift.psi_drift(_hours(train, early=True), _hours(test), _KS_FEATURES), "psi")
 
 
 @query(

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ROOTS: set[str] = set()
+
 
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder below the shared one that ``spark.checkpoint.dir`` names.
 
-    Only a local-mode session without that setting gets a temporary folder of its own; on a
-    cluster a machine-local folder would be lost with its executor, so the setting is required.
+    Without that setting it lies beside the warehouse, on the default file system that all
+    executors share; a machine-local temporary folder is never used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="riskframe-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/riskframe/{spark.sparkContext.applicationId}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-scratch"
+    root = f"{base.rstrip('/')}/riskframe/{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)  # when the application's JVM ends
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -56,28 +56,33 @@ def documents_with_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` in the shape of the 16-column payments table."""
+    """``events`` as payments: the payer from ``customer`` and ``nation``, the goods from ``part``."""
     k = F.get_json_object("props", "$.k").cast("int")
-    text = lambda prefix, col: F.concat(F.lit(prefix), col.cast("string"))
-    return table(spark, sf_dir, "events").select(
-        text("tx_", F.col("event_id")).alias("transaction_id"),
-        text("user_", F.col("user_id")).alias("sender_id"),
-        text("merchant_", F.col("event_id") % 50).alias("receiver_id"),
+    digest = lambda *parts: F.md5(F.concat_ws("/", *[p.cast("string") for p in parts]))
+    events = table(spark, sf_dir, "events").withColumn("payer", F.col("user_id") % 100).withColumn("goods", k)
+    payer = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    goods = table(spark, sf_dir, "part")
+    rows = events.join(payer, F.col("payer") == F.col("c_custkey"), "left").join(
+        goods, F.col("goods") == F.col("p_partkey"), "left"
+    )
+    device = digest(F.col("user_id"), F.col("p_brand"))
+    return rows.select(
+        F.concat(F.lit("event-"), F.col("event_id").cast("string")).alias("transaction_id"),
+        F.col("c_name").alias("sender_id"),
+        F.col("p_name").alias("receiver_id"),
         F.col("value").alias("amount"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-        F.element_at(F.array(*map(F.lit, ("online", "atm", "pos"))), k % 3 + 1).alias("source"),
-        F.element_at(F.array(*map(F.lit, ("iOS", "Android", "Windows", "Linux"))), k % 4 + 1).alias(
-            "device_os"
-        ),
-        F.element_at(F.array(*map(F.lit, ("Chrome", "Safari", "Firefox"))), k % 3 + 1).alias(
-            "browser"
-        ),
-        F.col("event_type").alias("merchant_category"),
-        (F.col("user_id") % 2 == 0).alias("is_international"),
-        F.lit("US").alias("country_code"),
-        F.lpad(k.cast("string"), 5, "0").alias("zip_code"),
-        text("192.168.1.", F.col("event_id") % 255).alias("ip_address"),
-        text("sess_", F.col("event_id") % 200).alias("session_id"),
-        text("fp_", k).alias("device_fingerprint"),
+        F.col("event_type").alias("source"),
+        F.col("p_type").alias("device_os"),
+        F.col("p_brand").alias("browser"),
+        F.col("c_mktsegment").alias("merchant_category"),
+        (F.col("n_regionkey") > 1).alias("is_international"),
+        F.col("n_name").alias("country_code"),
+        F.substring(digest(F.col("payer")), 1, 3).alias("zip_code"),
+        F.concat_ws(".", *[F.conv(F.substring(device, i, 2), 16, 10) for i in (1, 3, 5, 7)]).alias("ip_address"),
+        digest(F.col("user_id"), F.to_date("ts")).alias("session_id"),
+        device.alias("device_fingerprint"),
         _label(F.col("event_id"), F.col("user_id"), F.col("value")).alias("fraud_bool"),
     )

@@ -213,26 +213,26 @@ def test_scratch_lies_in_the_named_folder(spark):
 # -- payments -----------------------------------------------------------------------------------
 
 
-def payments_csv(tmp_path, n=1000):
-    import random
-
-    rng = random.Random(5)
-    header = (
-        "transaction_id,sender_id,receiver_id,amount,timestamp,source,device_os,browser,"
-        "merchant_category,is_international,country_code,zip_code,ip_address,session_id,"
-        "device_fingerprint,fraud_bool"
-    )
-    lines = [header]
-    start = dt.datetime(2025, 1, 1)
-    for i in range(n):
-        at = (start + dt.timedelta(hours=i)).strftime("%Y-%m-%d %H:%M:%S")
-        lines.append(
-            f"tx_{i:03d},user_{i % 100},merchant_{i % 50},{rng.uniform(10, 1000):.2f},{at},"
-            f"{rng.choice(['online', 'atm', 'pos'])},{rng.choice(['iOS', 'Android'])},"
-            f"{rng.choice(['Chrome', 'Safari'])},{rng.choice(['Grocery', 'Electronics'])},"
-            f"{rng.choice(['True', 'False'])},US,{rng.choice(['94102', '10001'])},192.168.1.{i % 255},"
-            f"sess_{i % 200},fp_{i % 150},{int(rng.random() < 0.05)}"
-        )
+def payments_csv(tmp_path, n=700):
+    """A file in the payments layout; every value follows from the row number."""
+    from riskframe.sources.schemas import PAYMENTS
+
+    def cell(field, i):
+        kind = field.dataType.simpleString()
+        if field.name == "fraud_bool":
+            return str(int(i * 37 % 100 < 6))
+        if kind == "timestamp":
+            return (dt.datetime(2031, 5, 2, 6) + dt.timedelta(minutes=47 * i)).isoformat(" ")
+        if kind == "double":
+            return f"{(i * 7.31) % 480 + 2:.2f}"
+        if kind == "boolean":
+            return "true" if i % 5 < 2 else "false"
+        if field.name == "transaction_id":
+            return f"row{i}"
+        return f"{field.name[:3]}-{i * 13 % (len(field.name) + 4)}"
+
+    lines = [",".join(PAYMENTS.fieldNames())]
+    lines += [",".join(cell(f, i) for f in PAYMENTS) for i in range(n)]
     path = tmp_path / "payments.csv"
     path.write_text("\n".join(lines))
     return str(path)
@@ -242,7 +242,7 @@ def test_payments_are_prepared_alike(spark, tmp_path):
     path = payments_csv(tmp_path)
     first = PaymentTrainer(path, n_trials=5, spark=spark)
     rows = first.load_and_prepare_data()
-    assert rows.count() == 1000 and first.model is None
+    assert rows.count() == 700 and first.model is None
     assert {r[0] for r in rows.select("fraud_bool").distinct().collect()} <= {0, 1}
     second = PaymentTrainer(path, spark=spark)
     assert second.load_and_prepare_data().columns == rows.columns

@@ -215,3 +215,30 @@ def test_late_rows_are_dropped(spark, tmp_path):
     out = scoring.run_to_parquet(scoring.prediction_counts(stream), str(tmp_path / "out"))
     counts = {r.window_start.hour: r.predictions for r in out.collect()}
     assert counts == {1: 1, 5: 3}
+
+
+def test_forest_splits_neighbouring_and_infinite_values(spark):
+    import numpy as np
+
+    from riskframe.operators.forest import IsolationForest
+
+    low = 0.34
+    pairs = [(low,), (float(np.nextafter(low, 1)),)] * 40 + [(float("-inf"),), (float("inf"),)]
+    df = spark.createDataFrame(pairs, "x double")
+    model = IsolationForest(contamination=0.1, trees=20, sample_rows=64).fit(df, ["x"])
+    scores = [r[0] for r in df.select(model.score()).collect()]
+    assert len(scores) == 82 and all(0 < s <= 1 for s in scores)
+
+
+def test_forest_draws_alike_at_every_size(spark):
+    from riskframe.operators.forest import IsolationForest
+
+    forest = IsolationForest(trees=30, sample_rows=50)
+    for n in (10, 200, 40_000):
+        vectors = spark.range(n).selectExpr("array(cast(id as double)) AS x")
+        rows = min(50, n)
+        drawn = forest._draw(vectors, n, rows).groupBy("tree").agg(
+            F.count("*").alias("n"), F.countDistinct("x").alias("d")
+        ).collect()
+        assert len(drawn) == 30 and all(r.n == r.d <= rows for r in drawn)
+        assert sum(r.n for r in drawn) >= 0.98 * 30 * rows

@@ -5,8 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from riskframe.functions import expressions as X
 from riskframe.operators import drift, metrics, ordering
 
+# fixed values of a hand example
 LABELS = [0, 0, 1, 1, 1, 0, 1, 0, 1, 1]
 SCORES = [0.1, 0.2, 0.9, 0.8, 0.7, 0.3, 0.85, 0.15, 0.95, 0.75]
 
@@ -23,12 +25,25 @@ def test_top_k(scored):
     assert got[100].precision_at_k == pytest.approx(0.6) and got[100].recall_at_k == 1.0
 
 
-def test_large_k_by_cut(scored, monkeypatch):
-    monkeypatch.setattr(metrics, "TOP_ROWS", 3)
+def test_every_k_by_one_rule(spark, scored):
     got = {r.k: r.precision_at_k for r in metrics.precision_recall_at_k(scored, (2, 7, 99)).collect()}
     assert got == {2: 1.0, 7: pytest.approx(6 / 7), 99: pytest.approx(0.6)}
 
 
+def test_missing_and_nan_scores_rank_last_at_every_k(spark):
+    nan = float("nan")
+    rows = [(i, 0, 0.5) for i in range(1000)] + [(None, 1, 0.5)] * 3
+    rows += [(2000 + i, 1, nan if i % 2 else None) for i in range(400)] + [(-1, 1, 0.9)]
+    df = spark.createDataFrame(rows, "TransactionID bigint, isFraud int, score double")
+    got = {r.k: r for r in metrics.precision_recall_at_k(df, (1, 1000, 1001, 1002, 1004, 1005)).collect()}
+    hits = {k: round(r.precision_at_k * k) for k, r in got.items()}
+    assert hits == {1: 1, 1000: 1, 1001: 1, 1002: 2, 1004: 4, 1005: 5}
+    assert got[1005].recall_at_k == pytest.approx(5 / 404)
+    assert metrics.roc_auc(df).first()[0] == metrics.roc_auc(df.where("score < 2")).first()[0]
+    flags = df.select(X.binarise(F.col("score"), 0.1).alias("f"), "score").where("isnan(score)")
+    assert flags.agg(F.max("f")).first()[0] == 0
+
+
 def test_cost(spark):
     df = spark.createDataFrame(list(zip([0, 0, 1, 1, 1], [0, 0, 0, 1, 1])), "isFraud int, prediction int")
     assert metrics.cost_sensitive_score(df).first()[0] == 10.0

@@ -43,7 +43,7 @@ LARGE = (
 @pytest.mark.parametrize("name", LARGE)
 def test_large_table_paths_agree_with_sql(spark, sf_dir, monkeypatch, name):
     """The same queries when every size limit is tiny: pivots, buckets, chunks, salted joins."""
-    from riskframe.operators import metrics, ordering, sequences, skew
+    from riskframe.operators import ordering, sequences, skew
 
     monkeypatch.setattr(ordering, "LEAF_ROWS", 40)
     monkeypatch.setattr(ordering, "PIVOT_ROWS", 300)
@@ -52,7 +52,6 @@ def test_large_table_paths_agree_with_sql(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(ordering, "STRING_BOUNDS", 8)
     monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
     monkeypatch.setattr(sequences, "CHUNK_ROWS", 7)
-    monkeypatch.setattr(metrics, "TOP_ROWS", 20)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
