@@ -3,8 +3,8 @@
 Test items are few beside the corpus but may grow, so they are taken in blocks of bounded size, each
 sent to all tasks; a block is a stated query set against all rows. Per block the corpus is read
 twice. The first pass counts in how many documents each n-gram of the items occurs. Seeds are the
-n-grams in at most ``rare_share`` of all documents and, whatever their counts, the ``least_seeds``
-rarest of every item. The second pass finds seeds in whole documents, gathers seeds of one item that
+n-grams in at most ``rare_share`` of all documents (or ``rare_documents``) and, whatever their counts,
+the ``least_seeds`` rarest of every item and those hardly more frequent. The second pass finds seeds in whole documents, gathers seeds of one item that
 lie near one diagonal, and aligns the words around them with the whole item. The score is the local
 alignment score over that of the item with itself, so edited, shortened or reordered copies score in
 proportion. Nothing but counts and findings leaves a task.
@@ -203,8 +203,9 @@ def find_leaks(
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
-    n: int = 4,
+    n: int = 3,
     rare_share: float = 0.01,
+    rare_documents: int = 100,
     least_seeds: int = 4,
     threshold: float = 0.5,
     block_words: int = BLOCK_WORDS,
@@ -231,7 +232,7 @@ def find_leaks(
         )
         df = np.zeros(len(items.distinct), np.int64)
         df[counts["gram"]] = counts["n"]
-        seeds = _seeds(items, df, rare_share * total, least_seeds)
+        seeds = _seeds(items, df, max(rare_documents, rare_share * total), least_seeds)
         part = docs.mapInArrow(
             lambda bs, sent=sent, seeds=seeds: _findings(Items.of(sent.value), seeds, threshold, bs),
             "doc long, item long, score double, from_word long, to_word long",
@@ -245,14 +246,16 @@ def find_leaks(
 
 
 def _seeds(items: Items, df: np.ndarray, limit: float, least: int) -> np.ndarray:
-    """Sorted seeds: rare n-grams, and the rarest of each item however common they are."""
-    at = np.searchsorted(items.distinct, items.gram)
-    count = df[at]
+    """Sorted seeds: n-grams in at most ``limit`` documents, the ``least`` rarest of each item, and
+    those not clearly more frequent than these, so that an item copied often keeps its seeds."""
+    count = df[np.searchsorted(items.distinct, items.gram)]
     order = np.lexsort((items.gram, count, items.item))
-    own = items.item[order]
+    own, count = items.item[order], count[order]
     first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, int)
-    rank = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
-    keep = (rank < least) | (count[order] <= limit)
+    size = np.diff(np.r_[first, len(own)])
+    rank = np.arange(len(own)) - np.repeat(first, size)
+    usual = np.repeat(count[first + np.minimum(least, size) - 1], size) if len(own) else count
+    keep = (rank < least) | (count <= limit) | (count <= 4 * usual)
     return np.unique(items.gram[order][keep])
 
 
