@@ -53,6 +53,11 @@ HEADLINE = (
     "gbt_scores",
     "isolation_forest_flags",
     "ensemble_flags",
+    "feature_importance",
+    "explain_scores",
+    "graph_scores",
+    "sequence_scores",
+    "hybrid_scores",
 )
 
 
@@ -62,8 +67,7 @@ def run(df) -> None:
 
 def throughput(spark: SparkSession, sf_dir: str) -> dict:
     """Rows scored per second by fitted boosted trees, scoring time only."""
-    train, test, features = detectors.matrices(spark, sf_dir)
-    model = detectors.QUICK.fit(train, features)
+    model, train, test, _ = detectors.fitted(spark, sf_dir)
     rows = materialise(train.unionByName(test), "score-me")
     n = rows.count()
     run(model.score(rows))

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +28,7 @@ from riskframe.session import materialise
 PROBABILITY = "fraud_probability"
 LABEL, KEY = "isFraud", "TransactionID"
 MODEL_VERSION = "1.0"
+FIT_ROWS = 20_000  # least rows per task of a boosting job
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -56,6 +57,10 @@ class BoostedTrees:
             ).select("_features", "_label"),
             "matrix",
         )
+        # a tree level is one job: no more tasks than the rows are worth
+        worth = max(1, rows.count() // FIT_ROWS)
+        if worth < rows.rdd.getNumPartitions():
+            rows = rows.coalesce(worth)
         learner = GBTClassifier(
             featuresCol="_features",
             labelCol="_label",
@@ -204,17 +209,21 @@ class EnhancedDetector:
             )
         self.feature_names = list(features)
         if self.explain:
-            keys = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in features}
-            self.medians = {
-                c: m[0] if m[0] is not None else float(MISSING)
-                for c, m in exact_quantiles(df, keys, [0.5]).items()
-            }
+            self.learn_medians(df)
         flagged = self.score(df).withColumn(
             "_flag", binarise(F.col(PROBABILITY), self.fraud_threshold)
         )
         accuracy = metrics.performance_metrics(flagged, label, "_flag").first()["accuracy"]
         return {"train_accuracy": accuracy}
 
+    def learn_medians(self, df: DataFrame) -> None:
+        """The exact median of each feature: what an explanation puts in its place."""
+        keys = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in self.feature_names}
+        self.medians = {
+            c: m[0] if m[0] is not None else float(MISSING)
+            for c, m in exact_quantiles(df, keys, [0.5]).items()
+        }
+
     @property
     def _boosted_model(self) -> BoostedModel:
         if self.model is None:
@@ -228,34 +237,32 @@ class EnhancedDetector:
         """Add fraud_probability, is_fraud, model_type and ``explanation``.
 
         ``explanation`` lists the features whose replacement by the training median moves the
-        probability most. All replacements are scored inside the same stage: no shuffle.
+        probability most. A row is repeated once per feature, with that feature replaced, and all
+        repeats are scored in one pass, whatever the number of features.
         """
         scored = self.score(df)
         if self.explain:
-            for i, c in enumerate(self.feature_names):
-                swapped = scored.withColumns(
-                    {"_kept": F.col(f"`{c}`"), c: F.lit(self.medians[c])}
-                )
-                scored = self._boosted_model.score(swapped, f"_p{i}").withColumn(
-                    c, F.col("_kept")
-                ).drop("_kept")
-            deltas = F.array(
-                *[
-                    F.struct(
-                        (-F.abs(F.col(PROBABILITY) - F.col(f"_p{i}"))).alias("rank"),
-                        F.lit(c).alias("feature"),
-                        (F.col(PROBABILITY) - F.col(f"_p{i}")).alias("delta"),
-                    )
-                    for i, c in enumerate(self.feature_names)
-                ]
+            scored = materialise(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
+            names, places = self.feature_names, F.sequence(F.lit(0), F.lit(len(self.feature_names) - 1))
+            medians = F.array(*[F.lit(float(self.medians[c])) for c in names])
+            given = F.array(*[F.col(f"`{c}`").cast("double") for c in names])
+            swapped = F.transform(
+                places, lambda i: F.transform(places, lambda j: F.when(i == j, medians[j]).otherwise(F.col("_given")[j]))
+            )
+            variants = (
+                scored.select("_row", F.col(PROBABILITY).alias("_p"), given.alias("_given"))
+                .select("_row", "_p", F.posexplode(swapped).alias("_i", "_x"))
+                .withColumn("_features", array_to_vector("_x"))
             )
-            top = F.transform(
-                F.slice(F.array_sort(deltas), 1, top_n),
-                lambda x: F.struct(x["feature"].alias("feature"), x["delta"].alias("delta")),
+            changed = self._boosted_model.trees.transform(variants).withColumn(
+                "_d", F.col("_p") - vector_to_array("probability")[1]
             )
-            scored = scored.withColumn("explanation", top).drop(
-                *[f"_p{i}" for i in range(len(self.feature_names))]
+            feature = F.array(*map(F.lit, names))[F.col("_i")]
+            best = F.slice(F.array_sort(F.collect_list(F.struct((-F.abs("_d")).alias("rank"), feature.alias("feature"), F.col("_d").alias("delta")))), 1, top_n)
+            top = changed.groupBy("_row").agg(
+                F.transform(best, lambda x: F.struct(x["feature"].alias("feature"), x["delta"].alias("delta"))).alias("explanation")
             )
+            scored = scored.join(top, "_row").drop("_row")
         return scored.withColumns(
             {
                 "is_fraud": F.col(PROBABILITY) > self.fraud_threshold,

@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions import expressions as X
-from riskframe.operators import drift, models, splits, stress
-from riskframe.operators.features import FeatureEngineer
+from riskframe.operators import drift, metrics, models, splits, stress
+from riskframe.operators.features import FeatureEngineer, apply_codes, category_table
 from riskframe.operators.forest import IsolationForest
 from riskframe.plans.base import SPLIT, query, rounded
 from riskframe.plans.data import train_test
 from riskframe.session import balanced, materialise, scratch_path
 from riskframe.sources import views
 from riskframe.sources.payments import prepare_payments
+from riskframe.sources.schemas import TRANSACTION_INPUT
 from riskframe.streaming import scoring
 
 KEY, LABEL, P = "TransactionID", "isFraud", models.PROBABILITY
-QUICK = models.BoostedTrees(max_iter=5, max_depth=4)
+FLOOR = 0.6  # area under the curve that a fitted detector must pass on later data
+
+_FITTED: dict[tuple, tuple] = {}
 
 
 def matrices(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -35,16 +38,54 @@ def matrices(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
     return ready[0], ready[1], engineer.state.features
 
 
-@query("gbt_scores")
+def fitted(spark, sf):
+    """(model, train, test, features) of boosted trees at full settings, fitted once per session."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _FITTED:
+        train, test, features = matrices(spark, sf)
+        _FITTED[at] = models.BoostedTrees().fit(train, features), train, test, features
+    return _FITTED[at]
+
+
+def judged(scored: DataFrame, score: str = P) -> DataFrame:
+    """Per class: rows, probabilities inside [0, 1], and whether the ranking passes the floor."""
+    scored = materialise(scored.select(LABEL, score), "judged")
+    area = metrics.roc_auc(scored, LABEL, score).select("auroc").scalar()
+    return scored.groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(score).between(0.0, 1.0)).alias("n_valid")
+    ).withColumn("above_floor", area > FLOOR)
+
+
+_JUDGED = f"""WITH {SPLIT}
+    SELECT "isFraud", CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_valid,
+           true AS above_floor
+    FROM test GROUP BY 1"""
+
+
+@query("gbt_scores", _JUDGED)
 def gbt_scores(spark, sf):
-    train, test, features = matrices(spark, sf)
-    return QUICK.fit(train, features).score(test).select(KEY, LABEL, P)
+    """Boosted trees on the latest slice: every row has a probability, fraud ranks higher."""
+    model, _, test, _ = fitted(spark, sf)
+    return judged(model.score(test))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    """SELECT CAST(11 AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS total, true AS falling,
+              CAST(5 AS BIGINT) AS n_top""",
+)
 def feature_importance(spark, sf):
-    train, _, features = matrices(spark, sf)
-    return QUICK.fit(train, features).feature_importance(spark, 5)
+    """Importances sum to 1 and fall; the best five come first."""
+    model, *_ = fitted(spark, sf)
+    rows = model.feature_importance(spark).agg(
+        F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.collect_list("importance").alias("x"),
+    )
+    top = model.feature_importance(spark, 5)
+    return rows.select(
+        "n_features", "total", (F.col("x") == F.reverse(F.array_sort("x"))).alias("falling"),
+        top.agg(F.count(F.lit(1))).scalar().alias("n_top"),
+    )
 
 
 @query(
@@ -54,8 +95,7 @@ def feature_importance(spark, sf):
 )
 def model_roundtrip(spark, sf):
     """Largest difference between the scores of a model and of its stored copy."""
-    train, test, features = matrices(spark, sf)
-    model = QUICK.fit(train, features)
+    model, _, test, _ = fitted(spark, sf)
     path = scratch_path(spark, "model")
     model.save(path, spark)
     again = models.BoostedModel.load(path, spark)
@@ -66,85 +106,134 @@ def model_roundtrip(spark, sf):
     )
 
 
-@query("isolation_forest_flags")
+@query(
+    "isolation_forest_flags",
+    f"""WITH {SPLIT}, legit AS (SELECT count(*) AS n FROM train WHERE "isFraud" = 0)
+    SELECT (SELECT CAST(count(*) AS BIGINT) FROM test) AS n_test,
+           (SELECT CAST(count(*) AS BIGINT) FROM test) AS n_valid,
+           n AS n_legit, true AS share_is_met
+    FROM legit""",
+)
 def isolation_forest_flags(spark, sf):
+    """Scores lie in (0, 1); on the rows learnt from, the flagged share is the contamination."""
     train, test, features = matrices(spark, sf)
-    forest = IsolationForest(contamination=0.035).fit(train.where("isFraud = 0"), features)
-    return forest.flag(test).select(KEY, LABEL, "anomaly_score", "if_flag")
+    legit, rate = train.where("isFraud = 0"), 0.035
+    forest = IsolationForest(contamination=rate).fit(legit, features)
+    flagged, own = forest.flag(test), materialise(forest.flag(legit), "flags")
+    tied = own.where(F.col("anomaly_score") == forest.threshold).count()
+    on_legit = own.agg(F.count(F.lit(1)).alias("n_legit"), F.sum("if_flag").alias("flags"))
+    valid = F.count_if((F.col("anomaly_score") > 0) & (F.col("anomaly_score") < 1) & F.col("if_flag").isin(0, 1))
+    return flagged.agg(F.count(F.lit(1)).alias("n_test"), valid.alias("n_valid")).select(
+        "n_test", "n_valid", on_legit.select("n_legit").scalar().alias("n_legit"),
+        (F.abs(on_legit.select("flags").scalar() - rate * on_legit.select("n_legit").scalar()) <= 1 + tied).alias("share_is_met"),
+    )
 
 
-@query("ensemble_flags")
+@query(
+    "ensemble_flags",
+    f"""WITH {SPLIT}
+    SELECT "TransactionID", "isFraud", CAST(0 AS INTEGER) AS off FROM test""",
+)
 def ensemble_flags(spark, sf):
+    """Per row, how far the prediction is from the OR of both flags."""
     train, test, features = matrices(spark, sf)
-    detector = models.EnsembleDetector(
-        boosted=models.BoostedTrees(5, 4, row_share=1.0, column_share=1.0)
-    )
-    return detector.fit(train, features).predict(test).select(
-        KEY, LABEL, P, "if_flag", "boosted_flag", "prediction"
-    )
+    detector = models.EnsembleDetector().fit(train, features)
+    either = F.greatest("if_flag", (F.col(P) > 0.5).cast("int"))
+    return detector.predict(test).select(KEY, LABEL, F.abs(F.col("prediction") - either).alias("off"))
 
 
-@query("explain_scores")
+@query(
+    "explain_scores",
+    f"""WITH {SPLIT}
+    SELECT "TransactionID", CAST(3 AS INTEGER) AS n_reasons, CAST(0 AS DOUBLE) AS first_gap,
+           true AS falling
+    FROM test""",
+)
 def explain_scores(spark, sf):
-    train, test, features = matrices(spark, sf)
-    detector = models.EnhancedDetector(boosted=QUICK)
-    detector.train(train, features)
-    rows = detector.predict_with_explanation(test, 3)
-    return rows.select(KEY, P, "is_fraud", "model_type", F.posexplode("explanation").alias(
-        "place", "e")).select(
-        KEY, P, "is_fraud", "model_type", "place", "e.feature", "e.delta"
+    """Three reasons per row, largest first; the first equals a rescoring of its own."""
+    model, train, test, features = fitted(spark, sf)
+    detector = models.EnhancedDetector()
+    detector.model, detector.feature_names = model, features
+    detector.learn_medians(train)
+    rows = materialise(detector.predict_with_explanation(test, 3), "explained")
+    first = F.col("explanation")[0]
+    swapped = rows.withColumns({
+        c: F.when(first["feature"] == c, F.lit(detector.medians[c])).otherwise(F.col(c).cast("double")) for c in features
+    })
+    again = model.score(swapped, "_again")
+    size = F.transform("explanation", lambda e: F.abs(e["delta"]))
+    return again.select(
+        KEY, F.size("explanation").alias("n_reasons"),
+        F.round(F.abs(first["delta"] - (F.col(P) - F.col("_again"))), 9).alias("first_gap"),
+        (size == F.reverse(F.array_sort(size))).alias("falling"),
     )
 
 
-@query("graph_scores")
+@query("graph_scores", _JUDGED)
 def graph_scores(spark, sf):
     train, test = train_test(spark, sf)
-    return models.GraphDetector(boosted=QUICK).fit(train).predict_proba(test).select(KEY, LABEL, P)
+    return judged(models.GraphDetector().fit(train).predict_proba(test))
 
 
-@query("sequence_scores")
+@query("sequence_scores", _JUDGED)
 def sequence_scores(spark, sf):
     train, test = train_test(spark, sf)
-    detector = models.SequenceDetector(boosted=QUICK).fit(train)
-    return detector.predict_proba(test, train).select(KEY, LABEL, P)
+    return judged(models.SequenceDetector().fit(train).predict_proba(test, train))
 
 
-@query("hybrid_scores")
+@query("hybrid_scores", _JUDGED)
 def hybrid_scores(spark, sf):
     train, validation, test = splits.temporal_train_test_split(
         views.transactions(spark, sf), validation_size=0.2
     )
-    detector = models.HybridDetector(
-        models.GraphDetector(boosted=QUICK), models.SequenceDetector(boosted=QUICK)
-    ).fit(train, validation)
-    return detector.predict_proba(test, train.unionByName(validation))
+    detector = models.HybridDetector(models.GraphDetector(), models.SequenceDetector())
+    detector.fit(train, validation)
+    return judged(detector.predict_proba(test, train.unionByName(validation)))
 
 
-@query("tune_gbt")
+@query(
+    "tune_gbt",
+    """SELECT CAST(i AS INTEGER) AS trial, true AS in_range, true AS best_is_highest
+       FROM range(10) t(i)""",
+)
 def tune_gbt(spark, sf):
-    """Trials over the payments features, judged on a later slice."""
+    """Ten trials over the payments features, judged on a later slice."""
     rows, features = prepare_payments(views.payments(spark, sf))
     train, validation, _ = splits.temporal_train_test_split(
         materialise(rows, "payments"), "timestamp", 0.2, 0.2, "transaction_id"
     )
-    search = models.ParameterSearch(n_trials=2, base=models.BoostedTrees(max_iter=3))
-    return search.run(train, validation, features, "fraud_bool")[1]
+    best, trials = models.ParameterSearch().run(train, validation, features, "fraud_bool")
+    area = metrics.roc_auc(best.score(validation), "fraud_bool", P).first()["auroc"]
+    top = trials.agg(F.max("score")).scalar()
+    low, high = models.SEARCH["step_size"]
+    return trials.select(
+        "trial", F.col("step_size").between(low, high).alias("in_range"),
+        (F.abs(top - F.lit(0.5 if area is None else area)) < 1e-9).alias("best_is_highest"),
+    )
 
 
-@query("evasion_of_model")
+@query(
+    "evasion_of_model",
+    f"""WITH {SPLIT}, f AS (SELECT CAST(count(*) AS BIGINT) AS n FROM test WHERE "isFraud" = 1)
+    SELECT 5 * n AS attempts, true AS rates_are_shares FROM f""",
+)
 def evasion_of_model(spark, sf):
     """Evasion rates against a fitted detector; amounts are re-derived after each change."""
     train, test = train_test(spark, sf)
     engineer = FeatureEngineer().fit(train, with_codes=False)
     names = ["TransactionAmt", "amount_log", "amount_decimal", "amount_vs_mean",
              "amount_vs_median", "hour"]
-    model = QUICK.fit(engineer.transform(train).fillna(-999.0), names)
+    model = models.BoostedTrees().fit(engineer.transform(train).fillna(-999.0), names)
     frauds = engineer.transform(test).where("isFraud = 1").select(KEY, "TransactionAmt", "hour")
 
     def score(df: DataFrame) -> DataFrame:
         return model.score(engineer.transform(df).fillna(-999.0), "score")
 
-    return stress.evasion(frauds, score, threshold=0.1)
+    rates = stress.evasion(frauds, score, threshold=0.5)
+    share = F.coalesce(F.col("evasion_rate"), F.lit(0.0)).between(0.0, 1.0)
+    return rates.agg(
+        F.sum("attempts").alias("attempts"), F.min(share).alias("rates_are_shares")
+    )
 
 
 # -- JSON scoring -------------------------------------------------------------------------------
@@ -202,20 +291,40 @@ def score_json_errors(spark, sf):
     return errors.groupBy("error").agg(F.count(F.lit(1)).alias("bodies"))
 
 
-@query("score_json_model")
+@query(
+    "score_json_model",
+    f"WITH {_VALID} SELECT transaction_id, true AS valid, CAST(0.2 AS DOUBLE) AS threshold FROM v",
+)
 def score_json_model(spark, sf):
-    """JSON bodies scored by boosted trees fitted on the training slice."""
+    """JSON bodies scored on all their fields by boosted trees fitted on the training slice."""
     train, _ = train_test(spark, sf)
-    rows = train.select(LABEL, F.col("TransactionAmt").alias("amount")).withColumn(
-        "amount_log", X.amount_log(F.col("amount"))
+    kinds, strings = {f.name: f.dataType for f in TRANSACTION_INPUT}, ["source", "device_os", "merchant_category"]
+    known = {
+        "amount": F.col("TransactionAmt"),
+        "source": F.col("ProductCD"),
+        "device_os": F.col("DeviceInfo"),
+        "hour_of_day": X.hour_of_offset(F.col("TransactionDT")),
+    }
+    fields = ["amount", "source", "device_os", "merchant_category", "is_international", "hour_of_day"]
+    rows = materialise(
+        train.select(LABEL, *[known.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in fields]), "payload-rows"
     )
-    model = QUICK.fit(rows, ["amount", "amount_log"])
-    valid, _ = scoring.parse_transactions(payloads(spark, sf))
+    codes, sizes = category_table(rows, strings)
 
-    def scorer(df: DataFrame) -> DataFrame:
-        return model.score(df.withColumn("amount_log", X.amount_log(F.col("amount"))))
+    def matrix(df: DataFrame) -> DataFrame:
+        coded = apply_codes(df, codes, strings, sizes)
+        return coded.withColumns({
+            "amount_log": X.amount_log(F.col("amount")),
+            **{c: F.coalesce(F.col(c).cast("double"), F.lit(-999.0)) for c in fields},
+        })
 
-    return scoring.score_transactions(valid, scorer, 0.2)
+    model = models.BoostedTrees().fit(matrix(rows), [*fields, "amount_log"])
+    valid, _ = scoring.parse_transactions(payloads(spark, sf))
+    out = scoring.score_transactions(valid, lambda df: model.score(matrix(df)), 0.2)
+    p = F.col("fraud_probability")
+    return out.select(
+        "transaction_id", (p.between(0.0, 1.0) & (F.col("is_fraud") == (p > 0.2))).alias("valid"), "threshold"
+    )
 
 
 # -- streams ------------------------------------------------------------------------------------

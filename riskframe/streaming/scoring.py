@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.functions.expressions import binarise
 from riskframe.operators.drift import DriftDetector
 from riskframe.sources.schemas import FEATURE_OUTPUT, TRANSACTION_INPUT
 
@@ -15,10 +16,12 @@ CORRUPT = "_corrupt_record"
 
 
 def parse_transactions(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """(valid rows in the input schema, error rows with ``error``) from a JSON text column.
+    """(valid rows in the input schema, error rows) from a JSON text column.
 
-    A body is one object or an array of objects. Empty bodies, bad JSON, empty arrays and
-    objects without an amount are errors. Works on batch and streaming frames.
+    A body is one object or an array of objects. Empty bodies, bad JSON and empty arrays are errors,
+    and so are objects whose amount is missing, not a number, or not finite; in an array the other
+    objects stay valid. Error rows hold the body, the position of the object in it (0 for a single
+    one) and the reason. Works on batch and streaming frames.
     """
     schema = T.StructType(
         [*TRANSACTION_INPUT.fields, T.StructField(CORRUPT, T.StringType())]
@@ -33,21 +36,29 @@ def parse_transactions(df: DataFrame, body: str = "body") -> tuple[DataFrame, Da
     entries = F.when(is_list, F.when(F.size("_many") > 0, F.col("_many"))).otherwise(
         F.array(F.struct(*[F.col(f"_one.{f.name}").alias(f.name) for f in TRANSACTION_INPUT]))
     )
+    # the same objects as text, to tell an amount that isn't a number from one that isn't there
+    loose = T.MapType(T.StringType(), T.StringType())
+    raw = F.when(is_list, F.from_json(text, T.ArrayType(loose))).otherwise(F.array(F.from_json(text, loose)))
     rows = parsed.select(
         body,
         F.col(f"_one.{CORRUPT}").alias("_bad"),
         is_list.alias("_list"),
-        F.explode_outer(entries).alias("t"),
+        raw.alias("_raw"),
+        F.posexplode_outer(entries).alias("position", "t"),
     )
+    given = F.get(F.col("_raw"), F.col("position"))["amount"].isNotNull()
+    amount = F.col("t.amount")
     error = (
         F.when(F.coalesce(F.length(F.trim(F.col(body))), F.lit(0)) == 0, "empty body")
-        .when(F.col("_bad").isNotNull(), "invalid JSON")
+        .when(F.col("_bad").isNotNull() & ~F.coalesce(given, F.lit(False)), "invalid JSON")
         .when(F.col("_list") & F.col("t").isNull(), "empty or invalid batch")
-        .when(F.col("t.amount").isNull(), "amount missing")
+        .when(amount.isNull() & F.coalesce(given, F.lit(False)), "amount is not a number")
+        .when(amount.isNull(), "amount missing")
+        .when(F.isnan(amount) | (F.abs(amount) == float("inf")), "amount is not finite")
     )
     checked = rows.withColumn("error", error)
     valid = checked.where(F.col("error").isNull()).select("t.*")
-    return valid, checked.where(F.col("error").isNotNull()).select(body, "error")
+    return valid, checked.where(F.col("error").isNotNull()).select(body, F.coalesce("position", F.lit(0)).alias("position"), "error")
 
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -65,7 +76,7 @@ def score_transactions(df: DataFrame, scorer: Scorer, threshold: float = 0.5) ->
     """Rows in the output schema; ``scorer`` adds fraud_probability."""
     return (
         scorer(df)
-        .withColumn("is_fraud", F.col("fraud_probability") > threshold)
+        .withColumn("is_fraud", binarise(F.col("fraud_probability"), threshold) == 1)
         .withColumn("threshold", F.lit(float(threshold)))
         .select(*[F.col(f.name).cast(f.dataType) for f in FEATURE_OUTPUT])
     )

@@ -74,15 +74,6 @@ def test_forest_on_constant_and_copied_rows(spark):
         forest.IsolationForest(0.1).fit(df.where("a > 5"), ["a"])
 
 
-def test_forest_deals_a_large_table(spark):
-    df = spark.range(5000).select((F.col("id") * 1.0).alias("a"))
-    drawn = forest.IsolationForest(0.1, trees=8, sample_rows=64)._draw(
-        df.select(F.array("a").alias("x")), 5000, 64
-    )
-    assert {r["count"] for r in drawn.groupBy("tree").count().collect()} == {64}
-    assert drawn.count() == drawn.select("x").distinct().count()
-
-
 def test_ensemble_is_the_or_of_both(spark, matrix, tmp_path):
     train, test, names = matrix
     detector = models.EnsembleDetector(0.05, TINY)
@@ -242,3 +233,15 @@ def test_forest_draws_alike_at_every_size(spark):
         ).collect()
         assert len(drawn) == 30 and all(r.n == r.d <= rows for r in drawn)
         assert sum(r.n for r in drawn) >= 0.98 * 30 * rows
+
+
+def test_json_reasons_and_positions(spark):
+    bodies = ['[{"amount": 5}, {"amount": "x"}, {"source": "a"}, {"amount": "NaN"}]', '{"amount": "Infinity"}', '{"amount": "y"}', '{"amount": 2}', "{}"]
+    valid, errors = scoring.parse_transactions(spark.createDataFrame([(b,) for b in bodies], "body string"))
+    assert sorted(r.amount for r in valid.collect()) == [2, 5]
+    got = {(r.body[:12], r.position): r.error for r in errors.collect()}
+    assert got == {
+        (bodies[0][:12], 1): "amount is not a number", (bodies[0][:12], 2): "amount missing",
+        (bodies[0][:12], 3): "amount is not finite", (bodies[1][:12], 0): "amount is not finite",
+        (bodies[2][:12], 0): "amount is not a number", ("{}", 0): "amount missing",
+    }
