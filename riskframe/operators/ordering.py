@@ -28,7 +28,8 @@ PRECISION = 2000  # accuracy of the pivots
 PIVOT_ROWS = 1 << 20  # pivots and bounds are read from about this many rows
 COLUMNS_PER_JOB = 32  # keeps the aggregate expressions of wide tables small
 SINGLE_BUCKET_ROWS = 200_000  # below this a global order is one bucket
-STRING_BOUNDS = 256
+STRING_BOUNDS = 256  # least and most pieces of a global order of strings
+MOST_STRING_BOUNDS = 8192
 
 
 # -- keys ---------------------------------------------------------------------------------------
@@ -566,14 +567,15 @@ def dense_codes(
     if n <= SINGLE_BUCKET_ROWS:
         order = Window.partitionBy(*by).orderBy(column)
         return values.withColumn(code, F.row_number().over(order).cast("bigint") - 1)
+    pieces = max(STRING_BOUNDS, min(MOST_STRING_BOUNDS, n // SINGLE_BUCKET_ROWS))
     sample = (
         values.select(F.col(column).alias("v"))
         .orderBy(F.xxhash64("v"), "v")
-        .limit(16 * STRING_BOUNDS)
+        .limit(16 * pieces)
         .agg(F.array_sort(F.collect_set("v")).alias("v"))
         .first()["v"]
     )
-    step = max(1, len(sample) // STRING_BOUNDS)
+    step = max(1, len(sample) // pieces)
     bounds = F.array(*[F.lit(v) for v in sample[step::step]])
     cut = values.withColumn("_bucket", F.size(F.filter(bounds, lambda b: b <= F.col(column))))
     cut = materialise(cut, "codes").withColumn("_one", F.lit(1).cast("bigint"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from riskframe.operators.ordering import numeric_key, some_rows, with_buckets
+from riskframe.operators.ordering import PIVOT_ROWS, numeric_key, some_rows, with_buckets
 from riskframe.operators.skew import hot_key_counts, hot_keys, is_one_of
 from riskframe.session import materialise
 
@@ -21,8 +21,7 @@ CARD, TIME, AMOUNT, KEY, LABEL = (
     "isFraud",
 )
 CHUNK_ROWS = 1_000_000
-MAX_CHUNKS = 10_000
-HOT_SHARE = 1e-4  # cards below this share of the rows are sorted whole
+MAX_CHUNKS = PIVOT_ROWS // 16  # as many as bounds read from PIVOT_ROWS rows can tell apart
 
 
 class SequenceBuilder:
@@ -36,15 +35,20 @@ class SequenceBuilder:
 
         ``seq`` holds the latest ``max_seq_len`` (amt, dt) pairs in time order, padded with zeros
         at the end; ``mask`` is true for real entries; ``label`` is that of the latest row.
-        The row limit is applied before the shuffle, so a hot card sends few rows per task (for
-        lengths up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 unless raised).
+        The row limit is applied before the shuffle, so a hot card sends few rows per task. Beyond
+        ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark doesn't do so by itself: there the
+        latest rows of each (card, task of the scan) are picked first.
         """
         length = self.max_seq_len
         latest = Window.partitionBy(CARD).orderBy(F.desc_nulls_first(TIME), F.desc(KEY))
         label = F.col(LABEL) if LABEL in df.columns else F.lit(0)
+        rows = df.where(F.col(CARD).isNotNull()).select(CARD, TIME, KEY, AMOUNT, label.alias("label"))
+        if length > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+            rows = rows.withColumn("_task", F.spark_partition_id())
+            own = Window.partitionBy(CARD, "_task").orderBy(F.desc_nulls_first(TIME), F.desc(KEY))
+            rows = rows.withColumn("_back", F.row_number().over(own)).where(F.col("_back") <= length)
         last = (
-            df.where(F.col(CARD).isNotNull())
-            .select(CARD, TIME, KEY, AMOUNT, label.alias("label"))
+            rows
             .withColumn("_back", F.row_number().over(latest))
             .where(F.col("_back") <= length)
         )
@@ -83,7 +87,8 @@ def _with_chunks(df: DataFrame, by: str, keys: list[str], chunk_rows: int):
     Rows of hot cards are cut along the order ``keys``: by the first key, below its hot values by
     the second, and below hot (first, second) pairs by a written row number.
     """
-    counts = hot_key_counts(df, by, HOT_SHARE)
+    # cards above a chunk's rows, as far down as a sample of PIVOT_ROWS rows shows them
+    counts = hot_key_counts(df, by, max(chunk_rows / max(df.count(), 1), 16 / PIVOT_ROWS))
     hot = [k for k, c in counts.items() if k is not None and c > chunk_rows]
     if not hot:
         return df.withColumn("_chunk", F.lit(None).cast("array<int>")), hot, keys

@@ -79,7 +79,7 @@ def salted_join(
     looked for in ``probe``, a cheaper frame with the same keys, if given.
     """
     width = shuffle_width(left.sparkSession)
-    share = share or max(0.25 / width, 1e-3)
+    share = share or 0.25 / width
     seen = left if probe is None else probe
     shares = hot_key_shares(seen, key, share)[1] if width > 1 else {}
     salt, repeats = F.lit(0), F.lit(1)

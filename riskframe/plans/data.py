@@ -96,7 +96,7 @@ def duplicate_count(spark, sf):
 _MISSING_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS missing, "
     f"round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 6) AS missing_pct FROM merged"
-    for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+    for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
 )
 
 
@@ -117,11 +117,11 @@ def high_missing(spark, sf):
 @query(
     "basic_stats",
     f"""WITH {MERGED}
-    SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(6 AS BIGINT) AS n_columns,
+    SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(7 AS BIGINT) AS n_columns,
            CAST(sum(toxic) AS BIGINT) AS fraud_count, round(avg(toxic), 6) AS fraud_rate,
-           CAST(6 * count(*) - count(doc_id) - count(lang) - count(source) - count(n_chars)
+           CAST(7 * count(*) - count(doc_id) - count(text) - count(lang) - count(source) - count(n_chars)
                 - count(quality) - count(toxic) AS BIGINT) AS missing_total,
-           CAST((count(doc_id) < count(*))::INT + (count(lang) < count(*))::INT
+           CAST((count(doc_id) < count(*))::INT + (count(text) < count(*))::INT + (count(lang) < count(*))::INT
               + (count(source) < count(*))::INT + (count(n_chars) < count(*))::INT
               + (count(quality) < count(*))::INT + (count(toxic) < count(*))::INT AS BIGINT)
              AS columns_with_missing
@@ -136,7 +136,7 @@ def basic_stats(spark, sf):
     """SELECT CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
                 ELSE lower(column_type) END AS data_type,
               CAST(count(*) AS BIGINT) AS n_columns
-       FROM (DESCRIBE SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+       FROM (DESCRIBE SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
              FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
        GROUP BY 1""",
 )
@@ -309,11 +309,13 @@ def model_matrix(spark, sf):
 @query(
     "category_codes",
     f"""WITH {MERGED},
-    c1 AS ({_code_sql("lang", "merged")}), c2 AS ({_code_sql("source", "merged")})
-    SELECT doc_id, CAST(coalesce(c1.code, -1) AS INTEGER) AS lang,
+    c1 AS ({_code_sql("lang", "merged")}), c2 AS ({_code_sql("source", "merged")}),
+    c3 AS ({_code_sql("text", "merged")})
+    SELECT doc_id, CAST(coalesce(c3.code, -1) AS INTEGER) AS text, CAST(coalesce(c1.code, -1) AS INTEGER) AS lang,
            CAST(coalesce(c2.code, -1) AS INTEGER) AS source, n_chars,
            coalesce(quality, -999) AS quality, coalesce(toxic, -999) AS toxic
-    FROM merged LEFT JOIN c1 ON lang = c1.v LEFT JOIN c2 ON source = c2.v""",
+    FROM merged LEFT JOIN c1 ON lang = c1.v LEFT JOIN c2 ON source = c2.v
+         LEFT JOIN c3 ON text = c3.v""",
 )
 def category_codes(spark, sf):
     return FeatureEngineer().prepare_for_model(

@@ -48,17 +48,19 @@ def fitted(spark, sf):
 
 
 def judged(scored: DataFrame, score: str = P) -> DataFrame:
-    """Per class: rows, probabilities inside [0, 1], and whether the ranking passes the floor."""
+    """Per class: rows, probabilities inside [0, 1], and whether the ranking passes the floor
+    (NULL below 50 frauds, where the area says little)."""
     scored = materialise(scored.select(LABEL, score), "judged")
     area = metrics.roc_auc(scored, LABEL, score).select("auroc").scalar()
+    frauds = scored.agg(F.count_if(F.col(LABEL) == 1)).scalar()
     return scored.groupBy(LABEL).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(score).between(0.0, 1.0)).alias("n_valid")
-    ).withColumn("above_floor", area > FLOOR)
+    ).withColumn("above_floor", F.when(frauds >= 50, area > FLOOR))
 
 
 _JUDGED = f"""WITH {SPLIT}
     SELECT "isFraud", CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_valid,
-           true AS above_floor
+           CASE WHEN (SELECT count(*) FROM test WHERE "isFraud" = 1) >= 50 THEN true END AS above_floor
     FROM test GROUP BY 1"""
 
 

@@ -51,7 +51,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_with_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A wide table and a partly covering one that share the key ``doc_id``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return docs, table(spark, sf_dir, "labels")
 
 
