@@ -46,10 +46,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 
-@query("op5_url_filter")
+URL_FILTER = urls.Filter(URL_RULES)
+
+
+@query("op5_url_filter", urls.equivalent_sql(URL_FILTER))
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all pages by four rules, else by propagated trust and distrust of hosts."""
-    return urls.Filter(URL_RULES).judge(table(spark, sf_dir, "pages"))
+    return URL_FILTER.judge(table(spark, sf_dir, "pages"))
 
 
 @query("op6_mixture")

@@ -128,3 +128,55 @@ class Filter:
             F.coalesce(F.col("r.verdict"), other).alias("verdict"),
             F.round(F.coalesce("trust", F.lit(0.0)), 6).alias("trust"), F.round(F.coalesce("distrust", F.lit(0.0)), 6).alias("distrust"),
         )
+
+
+def equivalent_sql(f: Filter) -> str:
+    """The same verdicts over ``pages`` in SQL, with the rounds written out."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    address = quoted(r"(?s)^.*?://([^/?#]*)([^?#]*)")
+    lower = lambda c: f"translate({c}, '{UPPER}', '{LOWER}')"
+    tests = []
+    for verdict, rule in sorted(f.rules, key=lambda r: -len(r[1])):
+        name, _, rest = rule.partition("/")
+        fits = f"(host = {quoted(name)} OR ends_with(host, {quoted('.' + name)})) AND starts_with(path, {quoted('/' + rest)})"
+        tests.append((fits, quoted(rule), quoted(verdict)))
+    case = lambda i: "CASE " + " ".join(f"WHEN {t[0]} THEN {t[i]}" for t in tests) + " END"
+    a, parts = f.damping, []
+    for i in range(f.rounds):
+        back = lambda seed, got: f"coalesce(((SELECT sum({seed}) FROM r0) - coalesce((SELECT sum({got}) FROM g{i}), 0)) / nullif((SELECT sum({seed}) FROM r0), 0), 0)"  # noqa: E731, B023
+        parts.append(f"""
+g{i} AS MATERIALIZED (
+  SELECT s.goal AS host, sum(r.t * s.t) AS pt, sum(r.d * s.d) AS pd
+  FROM r{i} r JOIN steps s ON r.host = s.start GROUP BY 1),
+r{i + 1} AS MATERIALIZED (
+  SELECT r.host, a, b, {1 - a}::DOUBLE * a + {a}::DOUBLE * (coalesce(pt, 0) + {back("a", "pt")} * a) AS t,
+         {1 - a}::DOUBLE * b + {a}::DOUBLE * (coalesce(pd, 0) + {back("b", "pd")} * b) AS d
+  FROM r{i} r LEFT JOIN g{i} ON r.host = g{i}.host)""")
+    return f"""WITH raw AS (
+  SELECT page_id, html, coalesce({lower(f"regexp_extract(url, {address}, 1)")}, '') AS host,
+         coalesce(regexp_extract(url, {address}, 2), '') AS path
+  FROM pages),
+ruled AS MATERIALIZED (SELECT page_id, html, host, path, {case(1)} AS rule, {case(2)} AS v FROM raw),
+counted AS MATERIALIZED (
+  SELECT host, count(*)::DOUBLE AS pages, (count(*) FILTER (v = 'allow'))::DOUBLE AS a,
+         (count(*) FILTER (v = 'block'))::DOUBLE AS b
+  FROM ruled WHERE host <> '' GROUP BY host),
+found AS (
+  SELECT host AS src,
+         unnest(list_distinct(list_transform(regexp_extract_all(html, {quoted(LINK)}, 1), lambda x: {lower("x")}))) AS dst
+  FROM ruled WHERE host <> ''),
+links AS MATERIALIZED (SELECT src, dst, count(*)::DOUBLE AS n FROM found WHERE src <> dst GROUP BY 1, 2),
+steps AS MATERIALIZED (
+  SELECT src AS start, dst AS goal, n / sum(n) OVER (PARTITION BY src) AS t, 0::DOUBLE AS d FROM links
+  UNION ALL SELECT dst, src, 0::DOUBLE, n / sum(n) OVER (PARTITION BY dst) FROM links),
+seeds AS (SELECT host, a, b FROM counted WHERE a + b > 0
+          UNION ALL SELECT DISTINCT goal, 0, 0 FROM steps),
+r0 AS MATERIALIZED (SELECT host, sum(a) AS a, sum(b) AS b, sum(a) AS t, sum(b) AS d FROM seeds GROUP BY 1),
+{",".join(parts)},
+hosts AS (
+  SELECT c.host, coalesce(t, 0) AS t, coalesce(d, 0) AS d,
+         round(coalesce(d, 0) / (coalesce(d, 0) + coalesce(t, 0) + {f.neutral}::DOUBLE * pages), 9) >= {f.threshold} AS bad
+  FROM counted c LEFT JOIN r{f.rounds} r ON c.host = r.host)
+SELECT page_id, p.host, path, rule, coalesce(v, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict,
+       round(coalesce(t, 0), 6) AS trust, round(coalesce(d, 0), 6) AS distrust
+FROM ruled p LEFT JOIN hosts h ON p.host = h.host"""

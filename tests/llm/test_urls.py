@@ -94,3 +94,25 @@ def test_query(spark, sf_dir):
         rule, verdict = plain_rule(host, path)
         assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict in ("allow", "block")
         assert verdict is None or r.verdict == verdict
+
+
+def test_sql_agrees_where_hosts_link(spark):
+    import duckdb
+
+    hosts = ["a.net", "b.com", "c.org", "d.example.com", "e.example.net", "f.io"]
+    rows = []
+    for i in range(60):
+        h, to = hosts[i * i % 6], [hosts[(i * k) % 6] for k in (1, 3, 5)][: i % 4]
+        links = "".join(f"<a HREF='//{x.upper() if i % 2 else x}/{i}'>" for x in to)
+        rows.append((i, f"http://{h}/{('en', 'de', 'fr')[i % 3]}/{i}", links or None))
+    rows += [(100, None, "x"), (101, "", None), (102, "no", "<a href=http://f.io>")]
+    f = urls.Filter(URL_RULES)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    want = sorted(con.execute(urls.equivalent_sql(f)).fetchall())
+    got = sorted(tuple(r) for r in f.judge(df).collect())
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for a, b in zip(got, want):
+        assert a[5:] == pytest.approx(b[5:], abs=2e-6)
