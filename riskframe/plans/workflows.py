@@ -11,7 +11,7 @@ from riskframe.operators.drift import DriftDetector
 from riskframe.operators.features import DROPPED, FeatureEngineer
 from riskframe.operators.splits import temporal_train_test_split
 from riskframe.session import balanced, materialise
-from riskframe.sources.transactions import TransactionLoader
+from riskframe.sources.transactions import TransactionLoader, warn_of
 
 KEY, LABEL = "TransactionID", "isFraud"
 ADVANCED = ("gnn", "transformer", "hybrid")
@@ -20,10 +20,10 @@ ADVANCED = ("gnn", "transformer", "hybrid")
 def load_checked(
     spark: SparkSession, data_dir: str, sample_frac: float | None = None, fmt: str = "csv"
 ) -> DataFrame:
-    """The loaded table, written once in columns: every later step scans it several times."""
+    """The loaded table, written once in columns; a warning for every quality check that fails."""
     loader = TransactionLoader(spark, data_dir, fmt)
     df = materialise(loader.load(sample_frac=sample_frac), "transactions")
-    loader.validate(df)
+    warn_of(loader.validate(df))
     return df
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -110,6 +112,13 @@ class TransactionLoader:
         return stats
 
 
+def warn_of(report: DataFrame) -> DataFrame:
+    """Compute a quality report (one row per check) and warn of every check that isn't ok."""
+    for row in report.where("status <> 'ok'").collect():
+        warnings.warn(f"data quality: {row['check_name']} is {row['value']}", stacklevel=2)
+    return report
+
+
 def check_required(df: DataFrame) -> None:
     missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
     if missing:
@@ -121,5 +130,5 @@ def quick_load_and_validate(
 ) -> DataFrame:
     loader = TransactionLoader(spark, data_dir)
     df = loader.load(sample_frac=sample_frac)
-    loader.validate(df)
+    warn_of(loader.validate(df))
     return df

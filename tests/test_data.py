@@ -266,3 +266,10 @@ def test_payment_training(spark, tmp_path):
     assert report["training_time_seconds"] > 0 and trainer.trials.count() == 2
     trainer.save_model(str(tmp_path / "m"))
     assert (tmp_path / "m" / "model").exists()
+
+
+def test_validation_warns(spark, tmp_path):
+    rows = "\n".join(f"{i // 2},0,{i},1.5,W" for i in range(40))
+    (tmp_path / "train_transaction.csv").write_text("TransactionID,isFraud,TransactionDT,TransactionAmt,ProductCD\n" + rows)
+    with pytest.warns(UserWarning, match="duplicates"):
+        assert quick_load_and_validate(spark, str(tmp_path)).count() == 40
