@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import free_name, running, with_row_ids, word_count
-from riskframe.session import materialise
+from riskframe.session import materialise, shuffle_width
 
 PRIME = (1 << 31) - 1
 #: Multipliers and increments of the mixing steps.
-STEP_A, STEP_B, STEP_C = 48271, 1013904223, 69621
+STEP_A, STEP_B, STEP_C, STEP_D = 48271, 1013904223, 69621, 1103515245
 ROUNDS = 12
 
 
@@ -46,12 +46,17 @@ def drawn(k: Column, total: Column | int, seed: int) -> Column:
 
 
 def permuted(x: Column, n: Column, key: Column) -> Column:
-    """Image of ``x`` under a permutation of [0, n) chosen by ``key``."""
+    """Image of ``x`` under a permutation of [0, n) chosen by ``key``.
+
+    Each round pairs every number with its mirror about a pivot and swaps the pair or not, as a bit
+    of a hash of its larger member says.
+    """
 
     def round_(x: Column, r: Column) -> Column:
-        partner = F.pmod(mixed(key, r) - x, n)
-        swap = mixed(key + r * 7919, F.greatest(x, partner)) % 2 == 1
-        return F.when(swap, partner).otherwise(x)
+        pivot = (F.pmod(key, F.lit(PRIME)) * STEP_A + r * STEP_C) % PRIME * STEP_D
+        partner = F.pmod(pivot - x, n)
+        draw = (F.greatest(x, partner) % PRIME * (pivot % 65521 + 1) + pivot) % PRIME
+        return F.when(F.shiftright(draw, 14) % 2 == 1, partner).otherwise(x)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x, round_)
 
@@ -143,7 +148,7 @@ class Mixture:
             counts.join(limits, "s").withColumn("kept", F.greatest(F.lit(0), F.least("n", F.col("slots") - F.col("first")))),
             "dealt",
         )
-        kept = dealt.where("kept > 0").select(
+        kept = dealt.where("kept > 0").repartition(shuffle_width(spark), "shard", "s").select(
             "shard", "s", F.explode(F.expr("sequence(first, first + kept - 1)")).alias("t")
         )
         one = F.lit(0).alias("one")
