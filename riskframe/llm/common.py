@@ -49,7 +49,10 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 def with_row_ids(df: DataFrame, column: str, name: str) -> DataFrame:
     """``df`` written once with a unique row number, which therefore survives a lost executor."""
-    return materialise(df.withColumn(column, F.monotonically_increasing_id()), name)
+    numbered = df.withColumn(column, F.monotonically_increasing_id())
+    path = scratch_path(df.sparkSession, name)
+    numbered.write.option("compression", "zstd").parquet(path)  # rows as wide as texts
+    return df.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
 def running(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import free_name, with_row_ids
+from riskframe.llm.common import free_name
 from riskframe.session import materialise
 
 _WORDS = re.compile(r"[^\W_]+")
@@ -260,8 +260,11 @@ def _seeds(items: Items, df: np.ndarray, limit: float, least: int) -> np.ndarray
 
 
 def drop_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """Documents without those in which a test item was found; all columns as they came."""
-    row = free_name(documents, "_row")
-    marked = with_row_ids(documents, row, "numbered")
-    leaks = find_leaks(marked, benchmark, key=row, text=text, **options).select(row).distinct()
-    return marked.join(leaks, row, "left_anti").select(documents.columns)
+    """Documents without those in which a test item was found; all columns as they came.
+
+    The text alone decides, so rows are told apart by a hash of it: none is written for that.
+    """
+    known = free_name(documents, "_text_hash")
+    hashed = documents.withColumn(known, F.xxhash64(text))
+    leaks = find_leaks(hashed, benchmark, key=known, text=text, **options).select(known).distinct()
+    return hashed.join(materialise(leaks, "leaking-texts"), known, "left_anti").select(documents.columns)
