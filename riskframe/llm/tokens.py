@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import string
 import struct
 import zlib
 
@@ -28,26 +29,42 @@ MAGIC = b"RFTOK1\0\0"
 #: The dictionary is trained on at most so many documents of at most so many bytes.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 512, 4096, 65536
 #: Words whose ids a worker keeps, and the longest such word.
-CACHED_WORDS, CACHED_CHARS = 600_000, 48
+CACHED_WORDS, CACHED_CHARS = 400_000, 48
 _LAST = (1 << 63) - 1
 
-# White space that no pattern of the tokenizer can join, and that no normal form crosses.
-_SPACE = re.compile(r"[ \n\t\r]+")
+_PROBE = "It's a test, 12 tests!\nThé end\t.."
 # Latin letters with a tail of marks: two matches of the pattern at least, and lower-casing letter by
 # letter is what the tokenizer does, so that case and tail need no encoding of their own.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_MARKS = string.punctuation
 
 
 class Encoder:
-    """Ids of whole texts, as bytes. A text is encoded run by run between white space, which the
-    tokenizer's pattern never crosses, and ids of runs seen before are looked up."""
+    """Ids of whole texts, as bytes.
+
+    Where the vocabulary drops white space, its pattern never crosses it, nor does a normal form:
+    the text is then encoded run by run, and ids of runs seen before are looked up. Other
+    vocabularies encode each text as it is.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        whole = self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
+        parts = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBE.split()]
+        self.by_run = whole == sum(parts, [])
+        self.letters = Tokenizer.from_file(path)  # for runs of lower-case letters: no pattern to match
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        probe = "these are plain wörds été año"
+        if self.letters.encode(probe).ids != self.tokenizer.encode(probe).ids:
+            self.letters = self.tokenizer
         self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -57,26 +74,36 @@ class Encoder:
         return cache["encoder", path]
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[bytes]:
-        runs = [_SPACE.split(t) if t else [] for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        known, long = self.known, {}
-        plain, cores, others = {}, set(), set()
-        for word in set().union(*runs):
-            if word not in known:
-                if parts := _PLAIN.fullmatch(word):
-                    plain[word] = parts = (parts[1].lower(), parts[2])
-                    cores.update(p for p in parts if p not in known)
-                else:
-                    others.add(word)
-        for words, encode in ((list(cores), self._matches), (list(others), self._texts)):
-            for at in range(0, len(words), 4096):
-                for word, ids in zip(part := words[at : at + 4096], encode(part)):
-                    (known if len(word) <= CACHED_CHARS else long)[word] = ids
-        for word, parts in plain.items():
-            ids = b"".join(known[p] if p in known else long[p] for p in parts)
-            (known if len(word) <= CACHED_CHARS else long)[word] = ids
         tail = b"" if end is None else struct.pack("<I", end)
+        if not self.by_run:
+            return [ids + tail for ids in self._texts([t or "" for t in texts])]
+        runs = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        if len(self.known) > CACHED_WORDS:  # words of the last generation come back when seen again
+            self.known, self.old = {"": b""}, self.known
+        known, old, long = self.known, self.old, {}
+        new = set().union(*runs).difference(known)
+        again = new.intersection(old)
+        known.update((w, old[w]) for w in again)
+        new -= again
+        plain, cores, others = [], set(), []
+        for word in new:
+            core = word.rstrip(_MARKS)
+            if core.isalpha() and (core.isascii() or _LATIN.fullmatch(core)):
+                if core != word or not core.islower():
+                    plain.append((word, core := core.lower(), word[len(core) :]))
+                cores.add(core)
+            else:
+                others.append(word)
+        marks = {tail for _, _, tail in plain}.difference(known)
+        cores = [w for w in cores if w not in known]
+        for words, encode in ((cores, self._matches), (others, self._texts), (list(marks), self._texts)):
+            for at in range(0, len(words), 4096):
+                part = words[at : at + 4096]
+                known.update(zip(part, encode(part)))
+        known.update((word, known[core] + known[tail]) for word, core, tail in plain)
+        for word in new.union(cores):
+            if len(word) > CACHED_CHARS:
+                long[word] = known.pop(word)
         if long:
             return [b"".join([known[w] if w in known else long[w] for w in r]) + tail for r in runs]
         return [b"".join(map(known.__getitem__, r)) + tail for r in runs]
@@ -87,9 +114,9 @@ class Encoder:
 
     def _matches(self, words: list[str]) -> list[bytes]:
         """The same for words that are one match of the pattern each, as one text."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        found = self.letters.encode(" ".join(words), add_special_tokens=False)
         ids = np.array(found.ids, "<u4").tobytes()
-        cuts = 4 * np.searchsorted(np.array(found.word_ids), np.arange(len(words) + 1))
+        cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(words) + 1))).tolist()
         return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
 
