@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Test items are few beside the corpus but may grow, so they are taken in blocks of bounded size, each
 sent to all tasks; a block is a stated query set against all rows. Per block the corpus is read
-twice. The first pass counts in how many documents each n-gram of the items occurs. Seeds are the
-n-grams in at most ``rare_share`` of all documents (or ``rare_documents``) and, whatever their counts,
-the ``least_seeds`` rarest of every item and those hardly more frequent. The second pass finds seeds in whole documents, gathers seeds of one item that
-lie near one diagonal, and aligns the words around them with the whole item. The score is the local
+once. Every n-gram of an item is a seed, however often the corpus holds it: counts can't tell a
+common phrase from an item that was copied often. Seeds of one item that lie near one diagonal are
+gathered, and the words around them are aligned with the whole item, unless the words that both
+share cannot reach the threshold in any order. The score is the local
 alignment score over that of the item with itself, so edited, shortened or reordered copies score in
-proportion. Nothing but counts and findings leaves a task.
+proportion. Nothing but findings leaves a task.
 """
 
 from __future__ import annotations
@@ -33,15 +33,34 @@ def words_of(text: str | None) -> list[str]:
     return _WORDS.findall(text.lower()) if text else []
 
 
+def _padded(windows: list[np.ndarray]) -> np.ndarray:
+    table = np.full((len(windows), max(map(len, windows))), -1, np.int64)
+    for i, w in enumerate(windows):
+        table[i, : len(w)] = w
+    return table
+
+
+def most_scores(windows: list[np.ndarray], item: np.ndarray) -> np.ndarray:
+    """A bound that no alignment of each window with the item exceeds.
+
+    An alignment spans a stretch of the item, in which a word that the window lacks costs one.
+    """
+    table = _padded(windows)
+    total, low, most = (np.zeros(len(windows), np.int64) for _ in range(3))
+    for word in item:
+        total = total + np.where((table == word).any(1), MATCH, max(MISMATCH, GAP))
+        low = np.minimum(low, total)
+        most = np.maximum(most, total - low)
+    return most
+
+
 def local_scores(windows: list[np.ndarray], item: np.ndarray) -> list[tuple[int, int]]:
     """(best Smith-Waterman score, position after its last word) of each window against the item.
 
     All windows at once; the gap inside a row follows from a running maximum.
     """
-    width = max(map(len, windows))
-    table = np.full((len(windows), width), -1, np.int64)
-    for i, w in enumerate(windows):
-        table[i, : len(w)] = w
+    table = _padded(windows)
+    width = table.shape[1]
     fall = GAP * np.arange(width + 1)
     row = np.zeros((len(windows), width + 1), np.int64)
     best, end = np.zeros(len(windows), np.int64), np.zeros(len(windows), np.int64)
@@ -112,28 +131,15 @@ class Items:
         return out
 
 
-def _counts(items: Items, batches):
-    """Documents that hold each n-gram of the items, summed over a task."""
-    total = np.zeros(len(items.distinct), np.int64)
-    for b in batches:
-        for text in b[0].to_pylist():
-            grams = np.unique(items.grams(items.numbers(text)))
-            at = np.searchsorted(items.distinct, grams)
-            at[at == len(items.distinct)] = 0
-            total[at[items.distinct[at] == grams]] += 1
-    found = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["gram", "n"])
-
-
-def _spots(items: Items, seeds: np.ndarray, words: np.ndarray):
-    """(item, first, last) word windows of one document that hold seeds of the item."""
+def _spots(items: Items, words: np.ndarray):
+    """(item, first, last) word windows of one document that hold n-grams of the item."""
     grams = items.grams(words)
     hit = np.flatnonzero(grams >= 0)
-    if not len(hit) or not len(seeds):
+    if not len(hit) or not len(items.distinct):
         return []
-    at = np.searchsorted(seeds, grams[hit])
-    at[at == len(seeds)] = 0
-    hit = hit[seeds[at] == grams[hit]]
+    at = np.searchsorted(items.distinct, grams[hit])
+    at[at == len(items.distinct)] = 0
+    hit = hit[items.distinct[at] == grams[hit]]
     if not len(hit):
         return []
     lo, hi = np.searchsorted(items.gram, grams[hit], "left"), np.searchsorted(items.gram, grams[hit], "right")
@@ -153,7 +159,7 @@ def _spots(items: Items, seeds: np.ndarray, words: np.ndarray):
     ]
 
 
-def _findings(items: Items, seeds: np.ndarray, threshold: float, batches, flush: int = 256):
+def _findings(items: Items, threshold: float, batches, flush: int = 256):
     schema = pa.schema(
         [("doc", pa.int64()), ("item", pa.int64()), ("score", pa.float64()), ("from_word", pa.int64()), ("to_word", pa.int64())]
     )
@@ -161,7 +167,9 @@ def _findings(items: Items, seeds: np.ndarray, threshold: float, batches, flush:
     def scored(item: int, held: list):
         full = MATCH * len(items.words[item])
         rows = []
-        for (doc, first, _), (best, end) in zip(held, local_scores([h[2] for h in held], items.words[item])):
+        reach = most_scores([h[2] for h in held], items.words[item])
+        held = [h for h, most in zip(held, reach) if most >= threshold * full]
+        for (doc, first, _), (best, end) in zip(held, local_scores([h[2] for h in held], items.words[item]) if held else []):
             if full and best >= threshold * full:
                 rows.append({"doc": doc, "item": items.ids[item], "score": best / full, "from_word": max(0, first + end - len(items.words[item])), "to_word": first + end})
         return pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -170,7 +178,7 @@ def _findings(items: Items, seeds: np.ndarray, threshold: float, batches, flush:
     for b in batches:
         for doc, text in zip(b[0].to_pylist(), b[1].to_pylist()):
             words = items.numbers(text)
-            for item, first, last in _spots(items, seeds, words):
+            for item, first, last in _spots(items, words):
                 waiting = held.setdefault(item, [])
                 waiting.append((doc, first, words[first:last]))
                 if len(waiting) >= flush:
@@ -204,9 +212,6 @@ def find_leaks(
     item: str = "item_id",
     item_text: str = "text",
     n: int = 3,
-    rare_share: float = 0.01,
-    rare_documents: int = 100,
-    least_seeds: int = 4,
     threshold: float = 0.5,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
@@ -220,21 +225,12 @@ def find_leaks(
     """
     spark = documents.sparkSession
     docs = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    total = docs.count()
     found = None
     for ids, texts in _blocks(benchmark, item, item_text, block_words):
         items = Items(ids, texts, n)
         sent = spark.sparkContext.broadcast(items.__dict__)
-        counts = (
-            docs.select("text").mapInArrow(lambda bs, sent=sent: _counts(Items.of(sent.value), bs), "gram long, n long")
-            .groupBy("gram").agg(F.sum("n").alias("n"))
-            .toPandas()  # at most the n-grams of one block
-        )
-        df = np.zeros(len(items.distinct), np.int64)
-        df[counts["gram"]] = counts["n"]
-        seeds = _seeds(items, df, max(rare_documents, rare_share * total), least_seeds)
         part = docs.mapInArrow(
-            lambda bs, sent=sent, seeds=seeds: _findings(Items.of(sent.value), seeds, threshold, bs),
+            lambda bs, sent=sent: _findings(Items.of(sent.value), threshold, bs),
             "doc long, item long, score double, from_word long, to_word long",
         )
         part = materialise(part, "leaks")
@@ -245,20 +241,6 @@ def find_leaks(
     return best.select(F.col("doc").alias(key), F.col("item").alias(item), "b.score", "b.from_word", "b.to_word")
 
 
-def _seeds(items: Items, df: np.ndarray, limit: float, least: int) -> np.ndarray:
-    """Sorted seeds: n-grams in at most ``limit`` documents, the ``least`` rarest of each item, and
-    those not clearly more frequent than these, so that an item copied often keeps its seeds."""
-    count = df[np.searchsorted(items.distinct, items.gram)]
-    order = np.lexsort((items.gram, count, items.item))
-    own, count = items.item[order], count[order]
-    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, int)
-    size = np.diff(np.r_[first, len(own)])
-    rank = np.arange(len(own)) - np.repeat(first, size)
-    usual = np.repeat(count[first + np.minimum(least, size) - 1], size) if len(own) else count
-    keep = (rank < least) | (count <= limit) | (count <= 4 * usual)
-    return np.unique(items.gram[order][keep])
-
-
 def drop_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """Documents without those in which a test item was found; all columns as they came.
 

@@ -70,6 +70,29 @@ def test_common_passages_still_place_an_item(spark):
     assert found.count() == 80
 
 
+def test_bound_is_never_below_the_score():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        item = rng.integers(1, 9, rng.integers(1, 15))
+        windows = [rng.integers(0, 9, rng.integers(1, 12)) for _ in range(5)]
+        scores = [s for s, _ in D.local_scores(windows, item)]
+        assert (D.most_scores(windows, item) >= scores).all()
+    assert D.most_scores([np.array([9, 9]), np.array([1, 9, 9, 2])], np.array([1, 5, 2])).tolist() == [0, 3]
+
+
+def test_frequent_shortened_and_edited_copies(spark):
+    short, edited = [f"s{i}" for i in range(40)], [f"e{i}" for i in range(40)]
+    copy = [f"new{i}" if i % 5 == 4 else w for i, w in enumerate(edited)]
+    docs = []
+    for i in range(600):  # 200 of each kind: over 100 and over 1 %
+        part = (short[:24], copy, [])[i % 3]
+        docs.append((i, " ".join([f"x{i}", *part, f"y{i}", "s1 s2 s3 z e1 e2 e3"])))
+    b = spark.createDataFrame([(1, " ".join(short)), (2, " ".join(edited))], "item_id long, text string")
+    found = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), b).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i % 3 + 1) for i in range(600) if i % 3 < 2}
+    assert {(r.item_id, r.score) for r in found} == {(1, 0.6), (2, 57 / 80)}
+
+
 def test_odd_rows(spark):
     docs = [(1, None), (2, ""), (3, "a b"), (None, "k l m n o p q r"), (4, "K, l m: n o P q r!"), (4, "k l m n o p q r"), (5, "z " * 50_000)]
     d = spark.createDataFrame([(*x, 0.5, "t") for x in docs], "doc_id long, text string, score double, item_id string")
