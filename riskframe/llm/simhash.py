@@ -39,16 +39,22 @@ STEP = 1 << 14
 # -- fingerprints --------------------------------------------------------------------------------
 
 
-def fingerprint_of(text: str | None, width: int, seed: int = 42) -> int:
-    """Bit majority of the XXH64 of all word shingles, as an unsigned number."""
+def hashes_of(text: str | None, width: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of all word shingles in order; a text of fewer words has one, itself."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     n = max(1, len(words) - width + 1)
     grams = map(b" ".join, zip(*(words[i:] for i in range(width)))) if n > 1 or len(words) == width else [b" ".join(words)]
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), grams), np.uint64, n)
+    return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), grams), np.uint64, n)
+
+
+def fingerprint_of(text: str | None, width: int, seed: int = 42) -> int:
+    """Bit majority of the XXH64 of all word shingles, as an unsigned number."""
+    hashes = hashes_of(text, width, seed)
+    n = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 1 << 15):
         block = hashes[at : at + (1 << 15)].astype("<u8").view(np.uint8)
