@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from riskframe.llm import decontaminate, quality, sharding, similar  # noqa: E402
+from riskframe.llm import decontaminate, quality, sharding, simhash  # noqa: E402
 from riskframe.llm.common import table  # noqa: E402
 from riskframe.llm.mixture import Mixture  # noqa: E402
 from riskframe.session import materialise  # noqa: E402
@@ -25,8 +25,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group linked by five-word shingles (at least 0.8)."""
-    return similar.keep_one(docs)
+    """One document, that with the smallest id, of each SimHash group: 4-word shingles, at most 4 differing bits."""
+    return simhash.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
