@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import ann, decontaminate, quality, sharding, simhash, tokens, toxicity, urls, warc
+from riskframe.llm import ann, centroids, decontaminate, negatives, quality, sharding, simhash, tokens, toxicity, urls, warc
 from riskframe.llm.mixture import Mixture
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -92,3 +92,25 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+HARD_NEGATIVES = negatives.HardNegatives()
+
+
+@query(
+    "op12_hard_negatives",
+    negatives.equivalent_sql(HARD_NEGATIVES, "vec_id % 100 = 0", "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"),
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positives and hard negatives of every vector whose id is divisible by 100."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return HARD_NEGATIVES.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+CLUSTERING = centroids.HeapClustering()
+
+
+@query("op13_heap_clustering", centroids.equivalent_sql(CLUSTERING))
+def op13_heap_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 components in 40 clusters, after five rounds."""
+    return CLUSTERING.cluster(table(spark, sf_dir, "embeddings"))
