@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import ann, centroids, decontaminate, negatives, quality, sharding, simhash, tokens, toxicity, urls, warc
+from riskframe.llm import ann, centroids, decontaminate, jaccard, negatives, quality, sharding, simhash, tokens, toxicity, urls, warc
 from riskframe.llm.mixture import Mixture
 from riskframe.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -94,6 +94,15 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+JACCARD_JOIN = jaccard.JaccardJoin()
+
+
+@query("op11_jaccard_join", jaccard.equivalent_sql(JACCARD_JOIN))
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 4-word shingles share 85 % of their union."""
+    return JACCARD_JOIN.components(table(spark, sf_dir, "documents"))
+
+
 HARD_NEGATIVES = negatives.HardNegatives()
 
 

@@ -71,7 +71,7 @@ def test_odd_rows(spark):
 def test_heaps_rescan_only_what_expired():
     rng = np.random.default_rng(1)
     centres = rng.normal(0, 4000, (8, 5)).astype(np.int64)
-    x = (centres[rng.integers(0, 8, 2000)] + rng.normal(0, 300, (2000, 5))).astype(np.int32)
+    x = (centres[rng.integers(0, 8, 2000)] + rng.normal(0, 1500, (2000, 5))).astype(np.int32)
     heaps, offsets, scanned = Heaps.start(x, centres), np.zeros(8), 0
     for step in range(5):
         moved = centres + rng.integers(-40, 40, centres.shape)
