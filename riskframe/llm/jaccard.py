@@ -1,21 +1,25 @@
 """N-gram Jaccard join by T-occurrence search over inverted lists.
 
 Documents are sets of word shingles; two link when their sets share enough of their union. Equal sets
-are folded first. The join has two steps.
-
-*Groups.* Shingles are ordered by frequency (rare ones first, then those above ``HOT``), and only a
-prefix of each set is listed: similar sets always share a shingle of their prefixes. Sets that meet in
-a list are compared by size and by counts of their shingles in 64 classes, which bounds their overlap
-from above. What may still be similar is joined into groups, so every link lies inside a group. A list
-of more than ``LIST`` sets joins all of them unseen: groups may be too large, never too small.
-
-*Search.* The sets of a group meet in one task with an inverted list per shingle. For each set the
-short lists are merged by a heap and the long ones, as many as DivideSkip allows, only probed by
-binary search for what the short ones leave: T occurrences less the number of long lists. Members that
-are linked already are left out. A task returns links that connect, never all pairs.
-
-Groups above ``PIECE`` sets are first compared with one central member; only what that leaves unlinked
-is searched against the whole group, cut into pieces.
+are folded first. The join has three steps.
+
+*Lists.* Shingles are ordered, rare ones before frequent ones, and only a prefix of each set is listed:
+similar sets always share a shingle of their prefixes. Any order is right; a sample names the very
+frequent shingles, and sets whose prefix still holds one of more than ``HOT`` sets are ordered again.
+Sets that meet in a list are compared by size and by the counts of their shingles in 64 classes, which
+bound their overlap from above. What may still be similar is joined into groups, so every link lies
+inside a group. A list of more than ``LIST`` sets joins all of them unseen: groups may be too large,
+never too small.
+
+*Division.* Members of a group are compared by counts in classes whose number grows with the set, a
+small fraction of its size. Groups above ``PIECE`` sets first drop what is linked to one central
+member, then are cut into pieces. This divides the groups anew.
+
+*Search.* Only now are the sets of the remaining groups brought together, with an inverted list per
+shingle. For each set the short lists are merged by a heap and the long ones, as many as DivideSkip
+allows, only probed by binary search for what the short ones leave: T occurrences less the number of
+long lists. Members that are linked already are left out. A task returns links that connect, never all
+pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +32,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import with_row_ids
 from riskframe.llm.components import connected
 from riskframe.llm.simhash import Forest, hashes_of
 from riskframe.session import materialise, shuffle_width
@@ -37,13 +40,17 @@ from riskframe.session import materialise, shuffle_width
 HOT = 512
 #: Sets of one list that are compared with each other; more are joined to one group.
 LIST = 1024
-#: Sets of one group that one task searches; more are first compared with a central one.
+#: Sets of one group that one task compares; of more, those unlike a central one are compared in pieces.
 PIECE = 128
+#: Documents that are sampled, and shingles that are named at most, to put frequent shingles last.
+SAMPLE, NAMED = 4_096, 50_000
+#: Names of sets (24 bytes each) that are broadcast to fetch their texts; more are joined by a shuffle.
+FETCHED = 500_000
 CLASSES = 64
 #: DivideSkip: long lists are T / (MU * log2(longest list) + 1).
 MU = 0.01
 
-SKETCH = "row long, k {key}, digest binary, n long, listed array<long>, classes array<smallint>"
+SKETCH = "k {key}, h1 long, h2 long, digest binary, n long, prefix array<long>, classes array<smallint>, fine array<smallint>"
 LINKS = "u long, v long"
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -58,28 +65,41 @@ def prefix_size(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
-def listed_size(n: int, percent: int) -> int:
-    """As many as the prefix, and some in reserve for those that turn out to be frequent."""
-    p = prefix_size(n, percent)
-    return min(n, p + p // 4 + 8)
+def prefix_of(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set, frequent ones (sorted) last."""
+    at = np.minimum(np.searchsorted(frequent, shingles), max(0, len(frequent) - 1))
+    last = frequent[at] == shingles if len(frequent) else np.zeros(len(shingles), bool)
+    ordered = np.r_[shingles[~last], shingles[last]]
+    return ordered[: prefix_size(len(shingles), percent)] if len(shingles) else ordered
+
+
+def fine_classes(n):
+    """Number of classes, a power of two, that tells sets of ``n`` shingles apart: about eight in each."""
+    return max(CLASSES, 1 << (max(1, int(n)) // 8).bit_length())
 
 
-def _sketches(batches, width: int, percent: int):
+def counts_of(shingles: np.ndarray, classes: int) -> np.ndarray:
+    """Shingles in each class; at the ceiling the bound on the overlap only becomes weaker."""
+    return np.minimum(np.bincount(shingles & (classes - 1), minlength=classes), 32767).astype(np.int16)
+
+
+def _sketches(batches, width: int, percent: int, frequent: np.ndarray):
     import xxhash
 
+    shorts, longs = pa.list_(pa.int16()), pa.list_(pa.int64())
     for b in batches:
-        sets = [shingles_of(t, width) for t in b.column(2).to_pylist()]
-        classes = [np.minimum(np.bincount(s & (CLASSES - 1), minlength=CLASSES), 32767).astype(np.int16) for s in sets]
+        sets = [shingles_of(t, width) for t in b.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
-                b.column(0), b.column(1),
+                *b.columns[:3],
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([s[: listed_size(len(s), percent)] if len(s) else s for s in sets], pa.list_(pa.int64())),
-                pa.array(classes, pa.list_(pa.int16())),
+                pa.array([prefix_of(s, frequent, percent) for s in sets], longs),
+                pa.array([counts_of(s, CLASSES) for s in sets], shorts),
+                pa.array([counts_of(s, fine_classes(len(s))) for s in sets], shorts),
             ],
-            ["row", "k", "digest", "n", "listed", "classes"],
-        )
+            ["k", "h1", "h2", "digest", "n", "prefix", "classes", "fine"],
+        )
 
 
 def _sets(batches, width: int):
@@ -141,6 +161,47 @@ def _met(batches, percent: int):
         yield _links(nodes[u], nodes[v])
 
 
+def refined(n: np.ndarray, classes: list, asked: np.ndarray, percent: int):
+    """Spanning links (index, index) of sets that may be similar, of pairs with one asked for at least."""
+    order = np.argsort(n, kind="stable")
+    n, asked, classes = n[order], asked[order], [classes[i] for i in order]
+    forest, low, high = Forest(len(n)), np.searchsorted(100 * n, percent * n), np.searchsorted(percent * n, 100 * n, "right")
+    folded: dict[int, dict[int, np.ndarray]] = {}
+    for i in np.flatnonzero(asked).tolist():
+        width = fine_classes(n[low[i]])
+        at = folded.setdefault(width, {})
+        window = np.arange(low[i], high[i])
+        for j in window.tolist():
+            if j not in at:
+                at[j] = classes[j].reshape(-1, width).sum(0, dtype=np.int32)
+        rows = np.stack([at[j] for j in window.tolist()])
+        near = window[_may_link(n[window], n[i], rows, at[i][None], percent)]
+        forest.link(near, np.full(len(near), i))
+    u, v = forest.edges()
+    return order[u], order[v]
+
+
+def _refined(batches, keys: list[str], percent: int):
+    """Rows (keys, id, n, fine, asked) sorted by keys -> links between sets that may be similar."""
+    for t, lo, hi in _groups(batches, keys):
+        ids, n, asked = (t[c].slice(lo, hi - lo).to_numpy() for c in ("id", "n", "asked"))
+        classes = [np.asarray(c.values) for c in t["fine"].slice(lo, hi - lo)]
+        u, v = refined(n, classes, asked, percent)
+        yield _links(ids[u], ids[v])
+
+
+def _near_centre(batches, percent: int):
+    """(root, id, h1, h2) of the rows whose set may be similar to that of their centre."""
+    for b in batches:
+        wanted = []
+        for n, fine, m, other in zip(*(b.column(c).to_pylist() for c in ("n", "fine", "centre_n", "centre_fine"))):
+            width = min(len(fine), len(other))
+            x, y = (np.array(v).reshape(-1, width).sum(0)[None] for v in (fine, other))
+            wanted.append(bool(_may_link(n, m, x, y, percent)[0]))
+        rows = pa.RecordBatch.from_arrays([b.column(c) for c in ("root", "id", "h1", "h2")], ["root", "id", "h1", "h2"])
+        yield rows.filter(pa.array(wanted, pa.bool_()))
+
+
 # -- search --------------------------------------------------------------------------------------
 
 
@@ -202,17 +263,23 @@ def search(sizes: np.ndarray, shingles: np.ndarray, percent: int, asked: np.ndar
     return order[u], order[v]
 
 
-def _searched(batches, keys: list[str], percent: int):
-    """Rows (keys, id, n, shingles, asked) sorted by keys -> links of each group."""
+def _groups(batches, keys: list[str]):
+    """(table, first row, end) of each group of more than one row."""
     for t in _whole_keys(batches, keys, 2_000):
         ends = [t[c].to_numpy() for c in keys]
         new = np.flatnonzero(np.logical_or.reduce([e[1:] != e[:-1] for e in ends])) + 1
-        ids, n, asked = (t[c].to_numpy(zero_copy_only=False) for c in ("id", "n", "asked"))
-        sets = t["shingles"].combine_chunks()
-        for lo, hi in zip(np.r_[0, new].tolist(), np.r_[new, len(ids)].tolist()):
+        for lo, hi in zip(np.r_[0, new].tolist(), np.r_[new, t.num_rows].tolist()):
             if hi - lo > 1:
-                u, v = search(n[lo:hi], sets.slice(lo, hi - lo).flatten().to_numpy(), percent, asked[lo:hi])
-                yield _links(ids[lo:hi][u], ids[lo:hi][v])
+                yield t, lo, hi
+
+
+def _searched(batches, keys: list[str], percent: int):
+    """Rows (keys, id, n, shingles, asked) sorted by keys -> links of each group."""
+    for t, lo, hi in _groups(batches, keys):
+        ids, n, asked = (t[c].slice(lo, hi - lo).to_numpy() for c in ("id", "n", "asked"))
+        sets = t["shingles"].slice(lo, hi - lo).combine_chunks()
+        u, v = search(n, sets.flatten().to_numpy(), percent, asked)
+        yield _links(ids[u], ids[v])
 
 
 # -- the join in Spark -----------------------------------------------------------------------------
@@ -232,124 +299,141 @@ class JaccardJoin:
         stays missing and names no component unless no row of it has a key. Empty tables give empty
         results; further columns are ignored. Shingles are compared by 64-bit hashes.
         """
-        marked = with_row_ids(documents.select(F.col(key).alias("k"), F.col(text).alias("t")), "row", "texts")
-        width, percent = self.width, self.percent
-        schema = SKETCH.format(key=dict(marked.dtypes)["k"])
-        sketched = marked.select("row", "k", "t").mapInArrow(lambda bs: _sketches(bs, width, percent), schema)
-        sketches = materialise(sketched, "sketches")
-        folded = materialise(
-            sketches.where("n > 0").groupBy("digest")
-            .agg(F.min("row").alias("id"), F.min("k").alias("first"), F.first("n").alias("n"), F.first("listed").alias("listed"), F.first("classes").alias("classes")),
-            "folded",
-        )
-        roots = connected(self.links(folded, marked), "stars")
-        rooted = folded.select("digest", "id", "first").join(roots.toDF("id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        # a text is known again by two hashes, so that no copy of the texts is written
+        texts = documents.select(F.col(key).alias("k"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"), F.col(text).alias("t"))
+        width, percent, frequent = self.width, self.percent, self.frequent(texts)
+        schema = SKETCH.format(key=dict(texts.dtypes)["k"])
+        sketched = texts.mapInArrow(lambda bs: _sketches(bs, width, percent, frequent), schema)
+        sketches = materialise(sketched.withColumn("row", F.monotonically_increasing_id()), "sketches")
+        whole = sketches.where("n > 0")
+        first = whole.groupBy("digest").agg(F.min("row").alias("id"), F.min("k").alias("first"))
+        first = materialise(first, "first-of-equal-sets")
+        folded = whole.select(F.col("row").alias("id"), "h1", "h2", "n", "classes", "fine", "prefix").join(first.select("id"), "id", "left_semi")
+        folded = materialise(folded, "folded")
+        roots = connected(self.links(folded, texts, frequent), "stars")
+        rooted = first.join(roots.toDF("id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
         names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
         labels = rooted.select("digest", "root").join(names, "root").select("digest", "component_id")
-        whole = sketches.where("n > 0").select("k", "n", "digest").join(labels, "digest").select("k", "n", "component_id")
+        found = whole.select("k", "n", "digest").join(labels, "digest").select("k", "n", "component_id")
         empty = sketches.where("n = 0").select("k", "n", F.col("k").alias("component_id"))
-        return whole.unionByName(empty).select(F.col("k").alias(key), F.col("n").alias("n_shingles"), "component_id")
-
-    def links(self, folded: DataFrame, marked: DataFrame) -> DataFrame:
-        """(u, v) between ids of ``folded``: links that connect all similar sets."""
-        groups = self.groups(folded, marked)
-        return materialise(self.searched(groups, folded, marked), "links")
-
-    def sets(self, ids: DataFrame, marked: DataFrame) -> DataFrame:
-        """(id, shingles) of the rows whose number is in ``ids``."""
+        return found.unionByName(empty).select(F.col("k").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+    def frequent(self, texts: DataFrame) -> np.ndarray:
+        """The most frequent shingles of a sample, sorted; ``NAMED`` at most. A guess that only speeds up."""
+        known = texts.where("t is not null")
+        edge = known.select("h1").distinct().orderBy("h1").limit(SAMPLE).agg(F.max("h1")).first()[0]
+        if edge is None:
+            return np.zeros(0, np.int64)
+        drawn = known.where(F.col("h1") <= edge).groupBy("h1").agg(F.first("t").alias("t"))
         width = self.width
-        texts = marked.select(F.col("row").alias("id"), "t").join(ids.select("id"), "id", "left_semi")
-        return texts.mapInArrow(lambda bs: _sets(bs, width), "id long, shingles array<long>")
-
-    def prefixes(self, folded: DataFrame, marked: DataFrame) -> DataFrame:
+        each = drawn.mapInArrow(lambda bs: _sets(bs, width), "id long, shingles array<long>")
+        counted = each.select(F.explode("shingles").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("sets"))
+        named = counted.where("sets >= 4").orderBy(F.desc("sets"), "token").limit(NAMED).select("token").collect()
+        return np.sort(np.array([r.token for r in named], np.int64))
+
+    def sets(self, ids: DataFrame, texts: DataFrame) -> DataFrame:
+        """(id, shingles) for the written rows (id, h1, h2); up to ``FETCHED`` of them go to the texts."""
+        width, ids = self.width, ids.select("id", "h1", "h2")
+        found = texts.select("h1", "h2", "t").join(F.broadcast(ids) if ids.count() <= FETCHED else ids, ["h1", "h2"])
+        return found.groupBy("id").agg(F.first("t").alias("t")).mapInArrow(lambda bs: _sets(bs, width), "id long, shingles array<long>")
+
+    def links(self, folded: DataFrame, texts: DataFrame, frequent: np.ndarray) -> DataFrame:
+        """(u, v) between ids of ``folded``: links that connect all similar sets."""
+        members = self.groups(folded, texts, frequent).join(folded.select("id", "h1", "h2", "n", "classes", "fine"), "id")
+        members = materialise(members, "members")
+        star, members = self._star(members, texts)
+        near = materialise(self._crossed(members, "fine", _refined), "may-link-finely")
+        found = materialise(self._groups_of(near).join(members.drop("root", "fine"), "id"), "divided")
+        sets = materialise(self.sets(found, texts).join(found.select("id", "root", "n", "asked"), "id"), "sets")
+        return materialise(self._crossed(sets, "shingles", _searched).unionByName(star), "links")
+
+    def prefixes(self, folded: DataFrame, texts: DataFrame, frequent: np.ndarray) -> DataFrame:
         """(token, id): the prefix of each set, rare shingles before frequent ones."""
-        n = F.col("n")
+        listed = folded.select("id", F.explode("prefix").alias("token"))
+        hot = materialise(listed.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > HOT).select("token"), "frequent")
+        if hot.isEmpty():
+            return listed
+        again = materialise(listed.join(hot, "token", "left_semi").select("id").distinct(), "to-order-again")
+        spark = folded.sparkSession
+        named = spark.createDataFrame([(int(t),) for t in frequent], "token long")  # NAMED at most
+        last = materialise(named.unionByName(hot).distinct().withColumn("last", F.lit(True)), "last")
+        open_ = materialise(folded.select("id", "h1", "h2").join(again, "id", "left_semi"), "open")
+        each = self.sets(open_, texts).select("id", F.explode("shingles").alias("token")).join(last, "token", "left")
+        order = F.sort_array(F.collect_list(F.struct(F.coalesce("last", F.lit(False)).alias("last"), F.col("token").alias("token"))))
+        n = F.size("o")
         p = (n - F.floor((self.percent * n + 99) / 100) + 1).cast("int")  # prefix_size
-        listed = folded.select("id", F.explode("listed").alias("token"))
-        frequent = materialise(listed.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > HOT).select("token"), "frequent")
-        if frequent.isEmpty():
-            return folded.select("id", F.explode(F.slice("listed", F.lit(1), p)).alias("token"))
-        hot = listed.join(frequent, "token").groupBy("id").agg(F.collect_set("token").alias("hot"))
-        rare = F.array_except("listed", F.col("hot"))
-        known = (F.size("listed") == F.col("n")) | (F.size("rare") >= p)
-        split = (
-            folded.select("id", "n", "listed").join(hot, "id", "left").withColumn("hot", F.coalesce("hot", F.array().cast("array<bigint>")))
-            .withColumn("rare", rare).withColumn("known", known)
-            .withColumn("ordered", F.concat("rare", F.array_intersect("listed", "hot")))
-        )
-        split = materialise(split.select("id", "n", "known", F.when(F.col("known"), F.slice("ordered", F.lit(1), p)).alias("prefix")), "prefixes")
-        # sets mostly of frequent shingles: their order needs the whole set
-        open_ = split.where("not known")
-        each = self.sets(open_, marked).select("id", F.explode("shingles").alias("token"))
-        flagged = each.join(frequent.withColumn("frequent", F.lit(True)), "token", "left")
-        order = F.sort_array(F.collect_list(F.struct(F.coalesce("frequent", F.lit(False)).alias("f"), F.col("token").alias("token"))))
-        ordered = flagged.groupBy("id").agg(order.alias("o"), F.count(F.lit(1)).alias("n"))
-        late = ordered.select("id", F.explode(F.slice(F.col("o.token"), F.lit(1), p)).alias("token"))
-        return split.where("known").select("id", F.explode("prefix").alias("token")).unionByName(late)
-
-    def groups(self, folded: DataFrame, marked: DataFrame) -> DataFrame:
+        ordered = each.groupBy("id").agg(order.alias("o")).select("id", F.explode(F.slice(F.col("o.token"), F.lit(1), p)).alias("token"))
+        return listed.join(again, "id", "left_anti").select("id", "token").unionByName(ordered)
+
+    def groups(self, folded: DataFrame, texts: DataFrame, frequent: np.ndarray) -> DataFrame:
         """(id, root) of all sets in groups of more than one."""
         percent = self.percent
-        listed = materialise(self.prefixes(folded, marked), "listed")
+        listed = self.prefixes(folded, texts, frequent)
         lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("least"))
-        shared = materialise(listed.join(lists.where("sets > 1"), "token"), "shared")
+        lists = materialise(lists.where("sets > 1"), "lists")
+        shared = materialise(listed.join(lists, "token"), "shared")
         unseen = shared.where((F.col("sets") > LIST) & (F.col("id") != F.col("least"))).select(F.col("id").alias("u"), F.col("least").alias("v"))
         compared = (
             shared.where(F.col("sets") <= LIST).select("token", "id").join(folded.select("id", "n", "classes"), "id")
             .repartition(shuffle_width(folded.sparkSession), "token").sortWithinPartitions("token", "n")
             .select("token", "id", "n", "classes").mapInArrow(lambda bs: _met(bs, percent), LINKS)
         )
-        near = materialise(unseen.unionByName(compared).distinct(), "may-link")
+        return self._groups_of(materialise(unseen.unionByName(compared).distinct(), "may-link"))
+
+    def _groups_of(self, near: DataFrame) -> DataFrame:
+        """(id, root) of all ids in ``near`` (u, v)."""
         found = materialise(connected(near, "stars").toDF("id", "root"), "group-roots")
         return found.unionByName(found.select(F.col("root").alias("id"), "root").distinct())
 
-    def searched(self, groups: DataFrame, folded: DataFrame, marked: DataFrame) -> DataFrame:
-        spark, percent = folded.sparkSession, self.percent
-        groups = materialise(groups, "groups")
-        sizes = materialise(groups.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "group-sizes")
-        sets = self.sets(groups, marked).join(groups, "id").join(sizes, "root")
-        sets = materialise(sets.select("root", "id", F.size("shingles").cast("bigint").alias("n"), "shingles", "members"), "sets")
-
-        def run(rows: DataFrame, keys: list[str]) -> DataFrame:
-            dealt = rows.repartition(shuffle_width(spark), *keys).sortWithinPartitions(*keys)
-            return dealt.select(*keys, "id", "n", "shingles", "asked").mapInArrow(lambda bs: _searched(bs, keys, percent), LINKS)
-
-        small = run(sets.where(F.col("members") <= PIECE).withColumn("asked", F.lit(True)), ["root"])
-        large = sets.where(F.col("members") > PIECE)
-        if sizes.where(F.col("members") > PIECE).isEmpty():
-            return small
-        star, rest = self._star(large, groups, folded)
+    def _crossed(self, rows: DataFrame, data: str, run) -> DataFrame:
+        """Links that ``run`` finds: in each root, every piece of those asked for meets every piece of all."""
+        percent, width = self.percent, shuffle_width(rows.sparkSession)
+        sizes = rows.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("asked").cast("int")).alias("asking"))
+        sizes = materialise(sizes.where("asking > 0"), "piece-counts")
         pieces = lambda count: F.ceil(F.col(count) / PIECE).cast("int")
-        left = materialise(rest.groupBy("root").agg(F.count(F.lit(1)).alias("rest")), "rest-sizes")
-        if left.isEmpty():
-            return small.unionByName(star)
-        # every piece of the unlinked with every piece of the group
         own = lambda count: F.pmod(F.xxhash64("id"), pieces(count).cast("bigint")).cast("int")
-        all_ = large.join(left, "root").withColumn("b", own("members")).withColumn("a", F.explode(F.sequence(F.lit(0), pieces("rest") - 1)))
-        queries = large.join(rest.select("id"), "id", "left_semi").join(left, "root")
-        queries = queries.withColumn("a", own("rest")).withColumn("b", F.explode(F.sequence(F.lit(0), pieces("members") - 1)))
-        columns = ["root", "a", "b", "id", "n", "shingles"]
-        met = all_.select(*columns, F.lit(False).alias("asked")).unionByName(queries.select(*columns, F.lit(True).alias("asked")))
-        return small.unionByName(star).unionByName(run(met, ["root", "a", "b"]))
-
-    def _star(self, large: DataFrame, groups: DataFrame, folded: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Links of each large group to its central member, and (root, id) of what they leave out.
-
-        Central is the member whose class counts are nearest to the group's mean.
+        placed = rows.join(sizes, "root")
+        every = F.sequence(F.lit(0), pieces("asking") - 1)
+        whole = placed.withColumn("b", own("members")).withColumn("a", F.explode(every)).withColumn("asked", F.col("asked") & (own("asking") == F.col("a")))
+        # an asking row meets the other pieces too; in its own piece of all it is there already
+        there = F.filter(F.sequence(F.lit(0), pieces("members") - 1), lambda b: b != own("members"))
+        guests = placed.where("asked").withColumn("a", own("asking")).withColumn("b", F.explode(there))
+        keys = ["root", "a", "b"]
+        columns = [*keys, "id", "n", "asked", data]
+        dealt = whole.select(columns).unionByName(guests.select(columns)).repartition(width, *keys).sortWithinPartitions(*keys)
+        return dealt.mapInArrow(lambda bs: run(bs, keys, percent), LINKS)
+
+    def _star(self, members: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links of each large group to its central member, and all members (root, id, n, fine, h1, h2, asked).
+
+        Central is the member whose class counts are nearest to the group's mean. What is linked to it
+        need not be asked for: pairs of such members are connected already.
         """
-        members = large.select("root", "id").join(folded.select("id", "classes"), "id")
-        mean = members.groupBy("root").agg(*(F.avg(F.col("classes")[i]).alias(f"c{i}") for i in range(CLASSES)))
+        spark, percent = members.sparkSession, self.percent
+        sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > PIECE)
+        sizes = materialise(sizes, "large-groups")
+        columns = ["root", "id", "n", "fine", "h1", "h2"]
+        if sizes.isEmpty():
+            return spark.createDataFrame([], LINKS), members.select(*columns, F.lit(True).alias("asked"))
+        large = materialise(members.join(sizes.select("root"), "root", "left_semi"), "large")
+        mean = large.groupBy("root").agg(*(F.avg(F.col("classes")[i]).alias(f"c{i}") for i in range(CLASSES)))
         mean = materialise(mean.select("root", F.array(*(f"c{i}" for i in range(CLASSES))).alias("mean")), "group-means")
         apart = F.aggregate(F.zip_with("classes", "mean", lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x)
-        scored = members.join(mean, "root").select("root", F.struct(apart.alias("far"), F.col("id").alias("id")).alias("c"))
-        central = materialise(scored.groupBy("root").agg(F.min("c").alias("c")).select("root", F.col("c.id").alias("centre")), "centres")
-        sets = large.select(F.col("id").alias("centre"), F.col("shingles").alias("central")).join(central, "centre")
-        both = large.join(materialise(sets, "central-sets"), "root").where("id <> centre")
+        scored = large.join(mean, "root").select("root", F.struct(apart.alias("far"), F.col("id").alias("id")).alias("c"))
+        central = scored.groupBy("root").agg(F.min("c").alias("c")).select("root", F.col("c.id").alias("centre"))
+        central = large.join(central.select(F.col("centre").alias("id")), "id").select("root", F.col("id").alias("centre"), F.col("n").alias("centre_n"), F.col("fine").alias("centre_fine"))
+        central = materialise(central, "centres")
+        both = large.join(central, "root").select("root", "id", "h1", "h2", "n", "fine", "centre_n", "centre_fine")
+        near = materialise(both.mapInArrow(lambda bs: _near_centre(bs, percent), "root long, id long, h1 long, h2 long"), "near-centres")
+        sets = materialise(self.sets(near, texts).join(near.select("id", "root"), "id"), "sets-near-centres")
+        middle = sets.join(central.select(F.col("centre").alias("id")), "id").select("root", F.col("id").alias("centre"), F.col("shingles").alias("central"))
+        met = sets.join(materialise(middle, "central-sets"), "root").where("id <> centre")
         shared = F.size(F.array_intersect("shingles", "central"))
-        linked = 100 * shared >= self.percent * (F.size("shingles") + F.size("central") - shared)
-        decided = materialise(both.select("root", "id", "centre", linked.alias("linked")), "star-links")
-        star = decided.where("linked").select(F.col("id").alias("u"), F.col("centre").alias("v"))
-        return star, decided.where("not linked").select("root", "id")
+        linked = 100 * shared >= percent * (F.size("shingles") + F.size("central") - shared)
+        star = materialise(met.where(linked).select(F.col("id").alias("u"), F.col("centre").alias("v")), "star-links")
+        done = star.select(F.col("u").alias("id")).unionByName(star.select(F.col("v").alias("id")).distinct()).withColumn("done", F.lit(True))
+        flagged = members.select(*columns).join(done, "id", "left").withColumn("asked", F.col("done").isNull()).drop("done")
+        return star, materialise(flagged, "flagged")
 
 
 def equivalent_sql(join: JaccardJoin) -> str:

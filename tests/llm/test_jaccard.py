@@ -108,6 +108,9 @@ def test_search_finds_every_link(percent):
 
 @pytest.mark.parametrize("limits", [(512, 1024, 128), (5, 1024, 128), (3, 4, 4), (512, 1024, 5)], ids=["as shipped", "frequent shingles", "all limits", "large groups"])
 def test_equals_all_pairs(spark, monkeypatch, limits):
+    if limits[0] < 512:
+        monkeypatch.setattr(jaccard, "SAMPLE", 20)
+        monkeypatch.setattr(jaccard, "FETCHED", 0)
     for name, value in zip(("HOT", "LIST", "PIECE"), limits):
         monkeypatch.setattr(jaccard, name, value)
     rows = corpus()
