@@ -6,14 +6,13 @@ are folded first. The join has three steps.
 *Lists.* Shingles are ordered, rare ones before frequent ones, and only a prefix of each set is listed:
 similar sets always share a shingle of their prefixes. Any order is right; a sample names the very
 frequent shingles, and sets whose prefix still holds one of more than ``HOT`` sets are ordered again.
-Sets that meet in a list are compared by size and by the counts of their shingles in 64 classes, which
-bound their overlap from above. What may still be similar is joined into groups, so every link lies
-inside a group. A list of more than ``LIST`` sets joins all of them unseen: groups may be too large,
-never too small.
+Of lists with the same members one is kept. Sets that meet in a list are compared by size and by the
+counts of their shingles in classes whose number grows with the set; these bound their overlap from
+above. What may still be similar is joined into groups, so every link lies inside a group. A list of
+more than ``LIST`` sets joins all of them unseen: groups may be too large, never too small.
 
-*Division.* Members of a group are compared by counts in classes whose number grows with the set, a
-small fraction of its size. Groups above ``PIECE`` sets first drop what is linked to one central
-member, then are cut into pieces. This divides the groups anew.
+*Division.* Groups above ``PIECE`` sets first drop what is linked to one central member. All groups are
+cut into pieces whose members are compared by the same counts. This divides the groups anew.
 
 *Search.* Only now are the sets of the remaining groups brought together, with an inverted list per
 shingle. For each set the short lists are merged by a heap and the long ones, as many as DivideSkip
@@ -74,8 +73,8 @@ def prefix_of(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> np.nd
 
 
 def fine_classes(n):
-    """Number of classes, a power of two, that tells sets of ``n`` shingles apart: about eight in each."""
-    return max(CLASSES, 1 << (max(1, int(n)) // 8).bit_length())
+    """Number of classes, a power of two, that tells sets of ``n`` shingles apart: 8 to 16 in each."""
+    return max(CLASSES, 1 << (max(1, int(n)) // 16).bit_length())
 
 
 def counts_of(shingles: np.ndarray, classes: int) -> np.ndarray:
@@ -134,18 +133,44 @@ def _links(u, v) -> pa.RecordBatch:
 # -- groups --------------------------------------------------------------------------------------
 
 
-def _may_link(n_a, n_b, classes_a, classes_b, percent: int):
-    """Whether the overlap that the class counts allow is enough."""
+def _may_link(n_a, n_b, counts_a, counts_b, percent: int):
+    """Whether the overlap that the counts in equal classes allow is enough."""
     least = -(-percent * (n_a + n_b) // (100 + percent))
-    apart = np.abs(classes_a.astype(np.int32) - classes_b).sum(1)
+    apart = np.abs(counts_a.astype(np.int32) - counts_b).sum(1)
     return n_a + n_b - apart >= 2 * least
 
 
+class Levels:
+    """Counts in classes of rows of different widths, each pair compared in the classes of its smaller set."""
+
+    def __init__(self, counts: pa.ListArray):
+        ends, values = counts.offsets.to_numpy(), counts.values.to_numpy()
+        self.width, self.at, self.tables = np.diff(ends), {}, {}
+        for width in np.unique(self.width).tolist():
+            same, wider = np.flatnonzero(self.width == width), np.flatnonzero(self.width == 2 * width)
+            own = values[ends[same][:, None] + np.arange(width)].astype(np.int32)
+            folded = values[ends[wider][:, None] + np.arange(2 * width)].reshape(-1, 2, width).sum(1, dtype=np.int32)
+            self.tables[width] = np.concatenate([own, folded])
+            self.at[width] = np.full(len(self.width), -1)
+            self.at[width][np.r_[same, wider]] = np.arange(len(same) + len(wider))
+
+    def may_link(self, a: np.ndarray, b: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+        """For rows a with rows b of sets as large or a little larger."""
+        out = np.zeros(len(a), bool)
+        for width in np.unique(self.width[a]).tolist():
+            here = np.flatnonzero(self.width[a] == width)
+            step = max(1, (1 << 21) // width)
+            for part in np.split(here, range(step, len(here), step)):
+                x, y, at, table = a[part], b[part], self.at[width], self.tables[width]
+                out[part] = _may_link(n[x], n[y], table[at[x]], table[at[y]], percent)
+        return out
+
+
 def _met(batches, percent: int):
-    """Rows (token, id, n, classes) sorted by token and n -> links between sets that may be similar."""
-    for t in _whole_keys(batches, ["token"], 20_000):
+    """Rows (token, id, n, fine) sorted by token and n -> links between sets that may be similar."""
+    for t in _whole_keys(batches, ["token"], 8_000):
         token, ids, n = (t[c].to_numpy() for c in ("token", "id", "n"))
-        classes = t["classes"].combine_chunks().flatten().to_numpy().reshape(-1, CLASSES)
+        levels = Levels(pa.concat_arrays([*t["fine"].chunks, t["fine"].chunk(0).slice(0, 0)]))
         nodes, at = np.unique(ids, return_inverse=True)
         forest, rows, offset = Forest(len(nodes)), np.arange(len(ids)), 0
         while len(rows):
@@ -153,10 +178,8 @@ def _met(batches, percent: int):
             rows = rows[rows + offset < len(ids)]
             other = rows + offset
             rows = rows[(token[rows] == token[other]) & (100 * n[rows] >= percent * n[other])]
-            for lo in range(0, len(rows), 1 << 15):
-                a = rows[lo : lo + (1 << 15)]
-                near = _may_link(n[a], n[a + offset], classes[a], classes[a + offset], percent)
-                forest.link(at[a[near]], at[a[near] + offset])
+            near = rows[levels.may_link(rows, rows + offset, n, percent)]
+            forest.link(at[near], at[near + offset])
         u, v = forest.edges()
         yield _links(nodes[u], nodes[v])
 
@@ -369,14 +392,16 @@ class JaccardJoin:
         """(id, root) of all sets in groups of more than one."""
         percent = self.percent
         listed = self.prefixes(folded, texts, frequent)
-        lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("least"))
-        lists = materialise(lists.where("sets > 1"), "lists")
+        members = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"x{i}") for i in (1, 2)]
+        lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("least"), *members)
+        different = lists.where("sets > 1").groupBy("sets", "least", "x1", "x2").agg(F.min("token").alias("token"))
+        lists = materialise(different.select("token", "sets", "least"), "lists")
         shared = materialise(listed.join(lists, "token"), "shared")
         unseen = shared.where((F.col("sets") > LIST) & (F.col("id") != F.col("least"))).select(F.col("id").alias("u"), F.col("least").alias("v"))
         compared = (
-            shared.where(F.col("sets") <= LIST).select("token", "id").join(folded.select("id", "n", "classes"), "id")
+            shared.where(F.col("sets") <= LIST).select("token", "id").join(folded.select("id", "n", "fine"), "id")
             .repartition(shuffle_width(folded.sparkSession), "token").sortWithinPartitions("token", "n")
-            .select("token", "id", "n", "classes").mapInArrow(lambda bs: _met(bs, percent), LINKS)
+            .select("token", "id", "n", "fine").mapInArrow(lambda bs: _met(bs, percent), LINKS)
         )
         return self._groups_of(materialise(unseen.unionByName(compared).distinct(), "may-link"))
 
