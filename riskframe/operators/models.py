@@ -23,6 +23,7 @@ from riskframe.operators import graph, metrics, sequences
 from riskframe.operators.features import MISSING
 from riskframe.operators.forest import IsolationForest, IsolationForestModel
 from riskframe.operators.ordering import exact_quantiles
+from riskframe.operators.store import ModelStore
 from riskframe.session import materialise
 
 PROBABILITY = "fraud_probability"
@@ -319,6 +320,27 @@ class GraphDetector:
             raise ValueError("not fitted: call fit() first")
         return self.model.score(self._matrix(df, own=False)).select(*df.columns, PROBABILITY)
 
+    def save(self, path: str, spark: SparkSession) -> None:
+        """A new version: the trees and one table per hop and node type."""
+        if self.model is None:
+            raise ValueError("not fitted: nothing to save")
+        store = ModelStore(spark, path)
+        folder = store.begin()
+        for hop, tables in enumerate(self.stats.hops, start=1):
+            for kind, table in tables.items():
+                table.write.parquet(f"{folder}/{kind}-{hop}")
+        self.model.save(f"{folder}/trees", spark)
+        store.commit(folder, "graph", {"hops": len(self.stats.hops), "value": self.stats.value, "label": self.stats.label})
+
+    @classmethod
+    def load(cls, path: str, spark: SparkSession) -> GraphDetector:
+        folder, settings = ModelStore(spark, path).latest("graph")
+        out = cls(settings["hops"])
+        hops = [{kind: spark.read.parquet(f"{folder}/{kind}-{hop}") for kind in graph.LINKS} for hop in range(1, out.hops + 1)]
+        out.stats = graph.NodeStats(hops, settings["value"], settings["label"])
+        out.model = BoostedModel.load(f"{folder}/trees", spark)
+        return out
+
 
 class SequenceDetector:
     """Boosted trees on trailing-window features of the card's past."""
@@ -328,6 +350,7 @@ class SequenceDetector:
     def __init__(self, max_seq_len: int = 10, boosted: BoostedTrees | None = None):
         self.max_seq_len, self.boosted = max_seq_len, boosted or BoostedTrees()
         self.model: BoostedModel | None = None
+        self.recent: DataFrame | None = None
 
     def _matrix(self, df: DataFrame) -> DataFrame:
         return sequences.sequence_features(df, self.max_seq_len).fillna(float(MISSING))
@@ -335,15 +358,42 @@ class SequenceDetector:
     def fit(self, df: DataFrame, label: str = LABEL) -> SequenceDetector:
         features = [*self.FEATURES, "TransactionAmt"]
         self.model = self.boosted.fit(self._matrix(df), features, label)
+        self.keep_recent(df)
         return self
 
+    def keep_recent(self, df: DataFrame) -> None:
+        """Remember each card's latest rows of ``df``: all the history that later windows reach."""
+        self.recent = materialise(sequences.latest_rows(df, self.max_seq_len - 1), "recent-rows")
+
+    def predict_later(self, df: DataFrame) -> DataFrame:
+        """Score rows that lie after the remembered ones, without reading the whole history again."""
+        return self.predict_proba(df, self.recent)
+
+    def save(self, path: str, spark: SparkSession) -> None:
+        """A new version: the trees and the latest rows of each card."""
+        if self.model is None:
+            raise ValueError("not fitted: nothing to save")
+        store = ModelStore(spark, path)
+        folder = store.begin()
+        self.recent.write.parquet(f"{folder}/recent")
+        self.model.save(f"{folder}/trees", spark)
+        store.commit(folder, "sequence", {"max_seq_len": self.max_seq_len})
+
+    @classmethod
+    def load(cls, path: str, spark: SparkSession) -> SequenceDetector:
+        folder, settings = ModelStore(spark, path).latest("sequence")
+        out = cls(settings["max_seq_len"])
+        out.model, out.recent = BoostedModel.load(f"{folder}/trees", spark), spark.read.parquet(f"{folder}/recent")
+        return out
+
     def predict_proba(self, df: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """Score ``df``; ``history`` (earlier rows) only fills the windows."""
         if self.model is None:
             raise ValueError("not fitted: call fit() first")
         rows = df.withColumn("_new", F.lit(True))
         if history is not None:
-            rows = rows.unionByName(history.select(*df.columns).withColumn("_new", F.lit(False)))
+            # columns that history lacks play no part in its windows
+            rows = rows.unionByName(history.select(*[c for c in df.columns if c in history.columns]).withColumn("_new", F.lit(False)), allowMissingColumns=True)
         return self.model.score(self._matrix(rows).where("_new")).select(*df.columns, PROBABILITY)
 
 
@@ -389,6 +439,28 @@ class HybridDetector:
             "_features", "rawPrediction", "probability", "prediction"
         )
 
+    def predict_later(self, df: DataFrame) -> DataFrame:
+        """Score rows after those that the sequence detector remembers."""
+        return self.predict_proba(df, self.sequence.recent)
+
+    def save(self, path: str, spark: SparkSession) -> None:
+        """A new version of both base detectors and the fusion; visible once all three are written."""
+        if self.fusion is None:
+            raise ValueError("not fitted: nothing to save")
+        store = ModelStore(spark, path)
+        folder = store.begin()
+        self.graph.save(f"{folder}/graph", spark)
+        self.sequence.save(f"{folder}/sequence", spark)
+        self.fusion.write().save(f"{folder}/fusion")
+        store.commit(folder, "hybrid", {})
+
+    @classmethod
+    def load(cls, path: str, spark: SparkSession) -> HybridDetector:
+        folder, _ = ModelStore(spark, path).latest("hybrid")
+        out = cls(GraphDetector.load(f"{folder}/graph", spark), SequenceDetector.load(f"{folder}/sequence", spark))
+        out.fusion = PipelineModel.load(f"{folder}/fusion")
+        return out
+
 
 # -- parameter search ---------------------------------------------------------------------------
 

@@ -173,6 +173,17 @@ def trailing(
     )
 
 
+def latest_rows(df: DataFrame, rows: int, by: str = CARD, time: str = TIME, key: str = KEY) -> DataFrame:
+    """The latest ``rows`` rows of each card, all columns: what later windows can still reach.
+
+    The limit is applied before the shuffle, so a hot card sends few rows per task. Rows without a
+    card are windows of their own and reach no other row.
+    """
+    latest = Window.partitionBy(by).orderBy(F.desc_nulls_first(time), F.desc_nulls_first(key))
+    known = df.where(F.col(by).isNotNull())
+    return known.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") <= rows).drop("_back")
+
+
 def trailing_sequences(df: DataFrame, length: int = 10, **options) -> DataFrame:
     """Add ``seq``: the trailing (amt, dt) pairs of each transaction in time order."""
     pair = F.struct(F.col(AMOUNT).alias("amt"), F.col(TIME).alias("dt"))
