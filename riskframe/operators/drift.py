@@ -181,6 +181,11 @@ def ks_drift(
         F.count_if(F.col("is_current") == 0).alias("ref_n"),
         F.count_if(F.col("is_current") == 1).alias("cur_n"),
     )
+    return ks_of_counts(per_value, features, level)
+
+
+def ks_of_counts(per_value: DataFrame, features: Sequence[str], level: float = KS_LEVEL) -> DataFrame:
+    """The KS rows from (feature, bucket, value, ref_n, cur_n), one row per distinct value."""
     curve = running_sums(
         per_value, "value", {"ref_cum": "ref_n", "cur_cum": "cur_n"}, "bucket", ["feature"]
     )
@@ -194,7 +199,7 @@ def ks_drift(
     p_value = F.when(
         F.col("statistic").isNotNull(), X.ks_p_value(F.col("statistic"), F.col("n"), F.col("m"))
     )
-    found = _every_feature(reference, features, totals).join(d, "feature", "left")
+    found = _every_feature(per_value, features, totals).join(d, "feature", "left")
     return found.withColumn("p_value", p_value).select(
         "feature", "statistic", "p_value", _drifted(F.col("p_value") < level), "status"
     )
@@ -247,7 +252,7 @@ def psi_drift(
     both = _paired(reference, current, features)
 
     def bin_of(column, inner):
-        out = F.lit(0)
+        out = F.when(column.isNotNull(), 0)
         for e in inner:
             out = out + (column >= F.lit(e)).cast("int")
         return out
@@ -269,6 +274,11 @@ def psi_drift(
         F.count_if(F.col("is_current") == 0).alias("ref_n"),
         F.count_if(F.col("is_current") == 1).alias("cur_n"),
     )
+    return psi_of_counts(counts, features, bins, limit)
+
+
+def psi_of_counts(counts: DataFrame, features: Sequence[str], bins: int = 10, limit: float = PSI_LIMIT) -> DataFrame:
+    """The PSI rows from (feature, bin, ref_n, cur_n)."""
     # one small row per feature: at most `bins` counters each
     packed = counts.groupBy("feature").agg(
         F.sum("ref_n").cast("double").alias("n"),
@@ -284,7 +294,7 @@ def psi_drift(
 
     psi = F.aggregate(F.sequence(F.lit(0), F.lit(bins - 1)), F.lit(0.0), term)
     scored = packed.where("n > 0 and m > 0").select("feature", psi.alias("psi"))
-    found = _every_feature(reference, features, packed.select("feature", "n", "m"))
+    found = _every_feature(counts, features, packed.select("feature", "n", "m"))
     return found.join(scored, "feature", "left").select(
         "feature", "psi", _drifted(F.col("psi") > limit), "status"
     )
@@ -297,6 +307,7 @@ class ModelMonitor:
         self.model_name, self.drift_threshold = model_name, drift_threshold
         self.reference_data: DataFrame | None = None
         self.reference_metrics: dict | None = None
+        self.profile = None
 
     def set_reference_data(
         self,
@@ -305,21 +316,31 @@ class ModelMonitor:
         label: str = "label",
         prediction: str = "prediction",
     ) -> None:
-        """``features`` for drift, ``scored`` (label and prediction columns) for performance."""
+        """``features`` for drift, ``scored`` (label and prediction columns) for performance.
+
+        The reference is read here once; every later check reads its profile.
+        """
+        from riskframe.operators.profiles import ReferenceProfile
+
         self.reference_data = features
+        self.profile = None if features is None else ReferenceProfile.build(features)
         if scored is not None:
             self.reference_metrics = self.track_performance(scored, label, prediction).first(
             ).asDict()
 
+    def set_reference_profile(self, profile) -> None:
+        """A profile built earlier, for instance one that was loaded, in place of the reference data."""
+        self.profile = profile
+
     def detect_data_drift(self, current: DataFrame, method: str = "ks") -> DataFrame:
         """Rows per feature with timestamp, method, score, drifted."""
-        if self.reference_data is None:
+        if self.profile is None:
             raise ValueError("Reference data not set")
         if method == "ks":
-            found = ks_drift(self.reference_data, current, level=self.drift_threshold)
+            found = self.profile.ks(current, self.drift_threshold)
             score = F.col("p_value")
         elif method == "psi":
-            found = psi_drift(self.reference_data, current)
+            found = self.profile.psi(current)
             score = F.col("psi")
         else:
             raise ValueError(f"unknown method: {method}")

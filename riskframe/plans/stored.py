@@ -1,4 +1,4 @@
-"""Queries: detectors that are stored and read again, as versions and as ``pyspark.ml`` pipelines."""
+"""Queries: detectors, reference profiles and stream states that are stored and read again."""
 
 from __future__ import annotations
 
@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators import models, splits, stages
-from riskframe.plans.base import SPLIT, query
+from riskframe.operators.profiles import ReferenceProfile
+from riskframe.plans import evaluation, structure  # noqa: F401  their SQL is used here
+from riskframe.plans.base import ORACLES, SPLIT, query, rounded
 from riskframe.plans.data import train_test
 from riskframe.session import scratch_path
 from riskframe.sources import views
+from riskframe.streaming.trailing import TrailingState
 
 KEY, LABEL, P = models.KEY, models.LABEL, models.PROBABILITY
 #: Small trees: these queries compare a model with its stored copy.
@@ -92,3 +95,47 @@ def hybrid_roundtrip(spark, sf):
     detector.save(path, spark)
     again = models.HybridDetector.load(path, spark)
     return compared(detector.predict_proba(test, history), again.predict_later(test))
+
+
+# -- reference profile --------------------------------------------------------------------------
+
+
+def stored_profile(spark, sf) -> ReferenceProfile:
+    """The profile of the training slice, written and loaded."""
+    train, _ = train_test(spark, sf)
+    path = scratch_path(spark, "profile")
+    ReferenceProfile.build(evaluation._hours(train, early=True), evaluation._KS_FEATURES).save(path, spark)
+    return ReferenceProfile.load(path, spark)
+
+
+@query("drift_ks_stored", ORACLES["drift_ks"])
+def drift_ks_stored(spark, sf):
+    """KS of the latest slice against a stored profile: the reference is not read again."""
+    out = stored_profile(spark, sf).ks(evaluation._hours(train_test(spark, sf)[1]))
+    return rounded(rounded(out, "statistic"), "p_value", places=4)
+
+
+@query("drift_psi_stored", ORACLES["drift_psi"])
+def drift_psi_stored(spark, sf):
+    """PSI of the latest slice against a stored profile."""
+    return rounded(stored_profile(spark, sf).psi(evaluation._hours(train_test(spark, sf)[1])), "psi")
+
+
+# -- stream state -------------------------------------------------------------------------------
+
+SLICES = 4
+
+
+@query("stream_sequence_features", ORACLES["sequence_features"])
+def stream_sequence_features(spark, sf):
+    """Trailing features of all transactions, arriving in four batches: the rows of one batch job."""
+    rows = views.transactions(spark, sf)
+    first, last = rows.agg(F.min("TransactionDT"), F.max("TransactionDT")).first()
+    part = F.floor((F.col("TransactionDT") - (first or 0)) * SLICES / max(1, (last or 0) - (first or 0) + 1))
+    source = scratch_path(spark, "arriving")
+    state = TrailingState(spark, scratch_path(spark, "trailing"))
+    for i in range(SLICES):  # the query stops after each batch and goes on from its checkpoint
+        rows.where(part == i).write.mode("append").parquet(source)
+        found = state.run(spark.readStream.schema(rows.schema).parquet(source))
+    out = found.select("TransactionID", "seq_len", "seq_mean", "seq_std", "seq_min", "seq_max", "seq_gap")
+    return rounded(rounded(out, "seq_mean"), "seq_std", places=4)

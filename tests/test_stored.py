@@ -77,3 +77,51 @@ def test_latest_rows_replace_the_history(spark, slices):
     assert windows[0] == windows[1]
 
 
+
+
+def test_profile_reads_the_reference_once(spark, slices, tmp_path):
+    from riskframe.operators import drift
+    from riskframe.operators.profiles import ReferenceProfile
+
+    train, test = (df.select("TransactionAmt", F.col("TransactionDT").cast("double").alias("dt"), F.lit(None).cast("double").alias("none")) for df in slices)
+    train.write.parquet(str(tmp_path / "reference"))
+    reference = spark.read.parquet(str(tmp_path / "reference"))
+    ReferenceProfile.build(reference).save(str(tmp_path / "profile"), spark)
+    profile = ReferenceProfile.load(str(tmp_path / "profile"), spark)
+    for found, wanted in ((profile.ks(test), drift.ks_drift(reference, test)), (profile.psi(test), drift.psi_drift(reference, test))):
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+        assert not [f for f in found.inputFiles() if "/reference/" in f]
+    assert profile.edges["TransactionAmt"] == drift.decile_edges(reference, ["TransactionAmt"])["TransactionAmt"]
+
+
+def test_profiles_add_up(spark, slices):
+    from riskframe.operators import drift
+    from riskframe.operators.profiles import ReferenceProfile
+
+    train, test = (df.select("TransactionAmt") for df in slices)
+    half = slices[0].where("TransactionID % 2 = 0").select("TransactionAmt")
+    rest = slices[0].where("TransactionID % 2 = 1").select("TransactionAmt")
+    both = ReferenceProfile.build(half).merged(rest)
+    assert both.edges == drift.decile_edges(train, ["TransactionAmt"])
+    assert both.ks(test).collect() == drift.ks_drift(train, test).collect()
+    empty = ReferenceProfile.build(train.limit(0))
+    assert [r.status for r in empty.ks(test).collect()] == ["no reference values"]
+
+
+def test_repeated_batch_changes_nothing(spark, sf_dir, tmp_path):
+    from riskframe.streaming.trailing import TrailingState
+
+    rows = views.transactions(spark, sf_dir).withColumn("card1", F.when(F.col("TransactionID") % 9 > 0, F.col("card1")))
+    cuts = rows.approxQuantile("TransactionDT", [0.0, 0.3, 0.31, 0.8, 1.0], 0.0)
+    state = TrailingState(spark, str(tmp_path), length=4, buckets=5)
+    parts = [rows.where((F.col("TransactionDT") >= lo) & (F.col("TransactionDT") < hi)) for lo, hi in zip(cuts, [*cuts[1:-1], cuts[-1] + 1])]
+    seen = lambda: sorted(map(str, state.rows().collect()))
+    for i, part in enumerate(parts):
+        state.process(part, i)
+        before, versions = seen(), state.versions()
+        state.process(part, i)  # the driver died before the batch was committed
+        assert seen() == before and state.versions() == versions
+    assert seen() == sorted(map(str, sequences.sequence_features(rows, 4).collect()))
+    assert all(len(v) <= 2 for v in versions.values())
+    state.process(rows.limit(0), 9)
+    assert seen() == before
