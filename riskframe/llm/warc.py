@@ -393,5 +393,7 @@ def archive_pages(spark: SparkSession, pages: DataFrame, seconds: Column | None
     folder = shared_folder(spark, "warc")
     archives = write_archives(pages, folder, key, url, html, seconds)
     history = captures(merge_runs(archives, f"{folder}/captures")).select("archive", "offset", "position", "url_key", "captured_at")
-    read = read_archives(archives).join(history, ["archive", "offset"])
+    # both sides are written: Spark would take the size of a task's output for that of its few file names
+    history, records = materialise(history, "history"), materialise(read_archives(archives), "records")
+    read = records.join(history, ["archive", "offset"])
     return read.withColumnRenamed("page_id", key)

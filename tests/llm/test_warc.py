@@ -93,3 +93,15 @@ def test_query(spark, sf_dir):
     rows = QUERIES["op8_warc_captures"](spark, sf_dir).collect()
     assert {tuple(r)[:5] for r in rows} == want and len(rows) == len(want)
     assert sorted(r.position for r in rows) == list(range(len(rows)))
+
+
+def test_records_are_never_broadcast_unmeasured(spark, sf_dir):
+    """The last join knows the sizes of both sides; with a small limit it sorts and merges."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+    try:
+        plan = warc.archive_pages(spark, pages)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
