@@ -225,9 +225,9 @@ class Mixture:
 
     def blocks(self, documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
         """The mixed blocks themselves: shard, s, t, block, text (its words joined by blanks)."""
-        marked, sized = self._marked(documents, key, text, source)
+        marked, sized, number = self._marked(documents, key, text, source)
         targets = self.targets(sized)
-        words = marked.select("_mixrow", F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+"), "").alias("words"))
+        words = marked.select(F.col(number).alias("_mixrow"), F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+"), "").alias("words"))
         packed = (
             self.pieces(sized, targets).where("block IS NOT NULL").join(words, F.col("row") == F.col("_mixrow"))
             .select("s", "block", "lo", F.slice("words", F.col("word").cast("int") + 1, (F.col("hi") - F.col("lo")).cast("int")).alias("part"))
@@ -239,12 +239,14 @@ class Mixture:
         )
 
     def _marked(self, documents: DataFrame, key: str, text: str, source: str):
-        marked = with_row_ids(documents, "_mixrow", "marked")
+        """(rows with a number, their sizes, the name of the number)."""
+        number = free_name(documents, "_mixrow")
+        marked = with_row_ids(documents, number, "marked")
         sized = materialise(
-            marked.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.col("_mixrow").alias("row")),
+            marked.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.col(number).alias("row")),
             "sized",
         )
-        return marked, sized
+        return marked, sized, number
 
     def documents(
         self, documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars"
@@ -254,23 +256,24 @@ class Mixture:
         A document taken whole keeps its text; otherwise the text holds the words taken, parts of
         different blocks on lines of their own, and ``length`` its characters. Other columns stay.
         """
-        if free_name(documents, "_mixrow") != "_mixrow":
-            raise ValueError("a column is named _mixrow")
-        marked, sized = self._marked(documents, key, text, source)
+        marked, sized, number = self._marked(documents, key, text, source)
         targets = self.targets(sized)
         taken = (
             self.pieces(sized, targets).where("block IS NOT NULL").join(self.placed(targets), ["s", "block"])
             .withColumn("n", F.least("hi", F.coalesce("cut", "hi")) - F.col("lo")).where("n > 0")
             .groupBy("row", "pass", "size")
             .agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct(F.col("word").cast("int").alias("word"), F.col("n").cast("int").alias("n")))).alias("parts"))
-            .select("row", "pass", F.when(F.col("n") < F.col("size"), F.col("parts")).alias("parts"))
+            .select(F.col("row").alias(number), F.when(F.col("n") < F.col("size"), F.col("parts")).alias("parts"))
         )
-        words = F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+"), "")
-        lines = F.transform(F.col("parts"), lambda p: F.array_join(F.slice(F.col("_words"), p["word"] + 1, p["n"]), " "))
+        # beside the columns of the table, whatever their names are
+        parts, words, new = (free_name(marked, c) for c in ("_parts", "_words", "_text"))
+        split = F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+"), "")
+        lines = F.transform(F.col(parts), lambda p: F.array_join(F.slice(F.col(words), p["word"] + 1, p["n"]), " "))
+        whole = F.col(parts).isNull()
         joined = (
-            marked.join(taken.withColumnsRenamed({"row": "_row", "parts": "parts", "pass": "_pass"}), F.col("_mixrow") == F.col("_row"))
-            .withColumn("_words", F.when(F.col("parts").isNotNull(), words))
-            .withColumn("_text", F.when(F.col("parts").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n")))
+            marked.join(taken.withColumnRenamed("parts", parts), number)
+            .withColumn(words, F.when(~whole, split))
+            .withColumn(new, F.when(whole, F.col(text)).otherwise(F.array_join(lines, "\n")))
         )
-        changed = {text: F.col("_text"), length: F.when(F.col("parts").isNull(), F.col(length)).otherwise(F.length("_text"))}
+        changed = {text: F.col(new), length: F.when(whole, F.col(length)).otherwise(F.length(new))}
         return joined.select(*[(changed[c].cast(kind) if c in changed else F.col(f"`{c}`")).alias(c) for c, kind in documents.dtypes])

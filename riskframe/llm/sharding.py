@@ -57,11 +57,12 @@ class Tree:
 
 def placed(documents: DataFrame, tree: Tree, grown: Tree | None = None, key: str = "doc_id") -> DataFrame:
     """All rows with region, rack, shard, and grown_shard: the shard in the tree ``grown`` (else NULL)."""
-    out = documents.withColumn("_place", tree.place(F.col(key))).withColumns(
-        {c: F.col("_place")[c] for c in ("region", "rack", "shard")}
+    place = free_name(documents, "_place")
+    out = documents.withColumn(place, tree.place(F.col(key))).withColumns(
+        {c: F.col(place)[c] for c in ("region", "rack", "shard")}
     )
     later = grown.place(F.col(key))["shard"] if grown else F.lit(None).cast("int")
-    return out.withColumn("grown_shard", later).drop("_place")
+    return out.withColumn("grown_shard", later).drop(place)
 
 
 def sharded(documents: DataFrame, tree: Tree, grown: Tree | None = None, key: str = "doc_id", order: tuple = ()) -> DataFrame:
@@ -79,8 +80,8 @@ def sharded(documents: DataFrame, tree: Tree, grown: Tree | None = None, key: st
     by = [F.col("k").asc_nulls_last(), *(F.col(f"o{i}") for i in range(len(order))), F.col("row")]
     numbered = running(placed(keys, tree, grown, "k"), "shard", by, None, "slot", "slots")
     columns = ("region", "rack", "shard", "grown_shard", "slot")
-    found = numbered.select(F.col("row").alias("_of"), *columns)
-    return marked.join(found, F.col(row) == F.col("_of")).drop(row, "_of")
+    found = numbered.select(F.col("row").alias(row), *columns)
+    return marked.join(found, row).drop(row)
 
 
 def write_shards(sharded_rows: DataFrame, path: str) -> None:

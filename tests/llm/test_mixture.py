@@ -133,3 +133,12 @@ def test_reruns_agree_on_the_query_table(spark, sf_dir):
 
     a, b = (sorted(map(tuple, QUERIES["op6_mixture"](spark, sf_dir).collect())) for _ in range(2))
     assert a == b
+
+
+def test_columns_named_like_the_operators_own(spark):
+    rows = [(i, f"a{i} b c d " * (i % 5), "s%d" % (i % 2), 3, 7, 8, 9, [1], "keep", "x", 1) for i in range(40)]
+    names = ["doc_id", "text", "source", "n_chars", "_row", "_pass", "_mixrow", "parts", "_text", "_words", "_of"]
+    df = spark.createDataFrame(rows, names)
+    got = Mixture(block_words=8).documents(df)
+    assert got.columns == names and got.count() > 0
+    assert got.where("_row <> 7 or _pass <> 8 or _mixrow <> 9 or parts[0] <> 1 or _text <> 'keep' or _words <> 'x'").count() == 0

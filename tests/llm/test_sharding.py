@@ -76,3 +76,10 @@ def test_query(spark, sf_dir):
         assert 0 <= r.shard < 40 and r.grown_shard in (r.shard, 40)
     again = QUERIES["op4_sharding"](spark, sf_dir).agg(F.sum(F.xxhash64("doc_id", "shard", "slot") % 1000)).first()
     assert again == QUERIES["op4_sharding"](spark, sf_dir).agg(F.sum(F.xxhash64("doc_id", "shard", "slot") % 1000)).first()
+
+
+def test_columns_named_like_the_operators_own(spark):
+    df = spark.createDataFrame([(i, "t", 5, "p", 6) for i in range(30)], ["doc_id", "text", "_of", "_place", "_row"])
+    got = sharded(df, Tree.uniform(4))
+    assert got.columns == [*df.columns, "region", "rack", "shard", "grown_shard", "slot"]
+    assert got.count() == 30 and got.where("_of <> 5 or _place <> 'p' or _row <> 6").count() == 0
