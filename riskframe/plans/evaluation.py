@@ -222,6 +222,8 @@ def drift_mean_shift(spark, sf):
            round(avg(CAST(coalesce(drift_score > 2.0, false) AS INTEGER)), 6) AS drift_share,
            string_agg(feature, ',' ORDER BY feature) FILTER (drift_score > 2.0)
              AS drifted_features,
+           array_to_string(list_slice(list(feature ORDER BY feature) FILTER (drift_score > 2.0), 1, 5), ',')
+             AS first_drifted,
            CAST(count(drift_score) AS INTEGER) AS n_scores
     FROM shift""",
 )
@@ -231,6 +233,7 @@ def drift_summary(spark, sf):
         "drift_detected",
         r6("drift_share").alias("drift_share"),
         F.array_join("drifted_features", ",").alias("drifted_features"),
+        F.array_join("first_drifted", ",").alias("first_drifted"),
         F.size("drift_scores").alias("n_scores"),
     )
 
