@@ -36,7 +36,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 16).alias("size"),
         F.coalesce(F.crc32("text"), F.lit(0)).cast("bigint").alias("text_crc32"),
     )
-    found = sharding.sharded(documents, sharding.Tree.uniform(40), sharding.Tree.uniform(41), order=("text_crc32", "size"))
+    tree = sharding.Tree.uniform(40)
+    found = sharding.sharded(documents, tree, tree.with_shard(40), order=("text_crc32", "size"))
     return found.withColumn("law", F.lit("key")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "region", "rack"
     )

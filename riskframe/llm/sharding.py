@@ -1,11 +1,13 @@
 """Sharding by a hierarchical weighted hash tree: regions hold racks, racks hold shards.
 
-Every shard draws ``-ln(u) / weight`` with u from a hash of key and shard. The draw of a rack is the
-least of its shards' draws, that of a region the least of its racks'. So a subtree's draw is itself
-a weighted draw with the subtree's total weight, and a row descends to the region, rack and shard of
-the least draw. A draw changes only if a weight beneath it does: a shard that is added or gains
-weight takes rows only into itself, one that loses weight only gives rows away, and in all other
-subtrees no row moves. Key and tree alone decide; slots inside a shard follow the key order.
+At each level every child of the node reached draws ``-ln(u) / weight``, u from a hash of key and child
+and weight being the sum beneath the child; the least draw wins and only the winner is descended. So a
+row hashes the children along one path, not all leaves, and chances are the weights. A draw depends on
+key, child and the child's weight alone: where a weight changes, rows move between the children on its
+path and their siblings only, and never within a subtree whose weights stay. A shard in a region of
+its own (:meth:`Tree.with_shard`) therefore takes rows only into itself. A shard added inside a rack
+also draws rows into its region and rack, whose siblings below get their share of them; that is the
+price of the descent. Key and tree alone decide; slots inside a shard follow the key order.
 """
 
 from __future__ import annotations
@@ -32,27 +34,38 @@ class Tree:
         rows = [tuple(leaves[i : i + per_rack]) for i in range(0, shards, per_rack)]
         return cls(tuple(tuple(rows[i : i + racks]) for i in range(0, len(rows), racks)), seed)
 
+    def with_shard(self, shard: int, weight: float = 1.0) -> Tree:
+        """The tree with one more shard, in a region of its own: all other rows stay."""
+        return Tree((*self.regions, (((shard, weight),),)), self.seed)
+
     def place(self, key: Column) -> Column:
-        """struct(draw, region, rack, shard) that the key descends to; a missing key is a key too."""
+        """struct(region, rack, shard) that the key descends to; a missing key is a key too."""
+
+        def node(at: str, weight: float, **more: Column) -> Column:
+            values = {"draw": F.lit(0.0), "at": F.lit(at), "weight": F.lit(float(weight)), **more}
+            return F.struct(*(c.alias(name) for name, c in values.items()))
+
+        def drawn(child: Column) -> Column:
+            bits = F.shiftrightunsigned(F.xxhash64(key, child["at"], F.lit(self.seed)), 11)
+            draw = -F.log((bits.cast("double") + 1) * F.lit(2.0**-53)) / child["weight"]
+            return child.withField("draw", F.when(child["weight"] > 0, draw).otherwise(F.lit(float("inf"))))
+
+        def winner(children: Column) -> Column:
+            return F.array_min(F.transform(children, drawn))  # by draw, then place
 
-        def leaf(s: Column) -> Column:
-            bits = F.shiftrightunsigned(F.xxhash64(key, s["shard"], F.lit(self.seed)), 11)
-            u = (bits.cast("double") + 1) * F.lit(2.0**-53)
-            draw = F.when(s["weight"] > 0, -F.log(u) / s["weight"]).otherwise(F.lit(float("inf")))
-            return F.struct(draw.alias("draw"), s["region"].alias("region"), s["rack"].alias("rack"), s["shard"].alias("shard"))
+        def below(rack: tuple) -> float:
+            return sum(w for _, w in rack)
 
         tree = F.array(*(
-            F.array(*(
-                F.array(*(
-                    F.struct(F.lit(i).alias("region"), F.lit(j).alias("rack"), F.lit(int(n)).alias("shard"), F.lit(float(w)).alias("weight"))
-                    for n, w in rack
-                ))
+            node(f"{i}", sum(map(below, region)), below=F.array(*(
+                node(f"{i}/{j}", below(rack), below=F.array(*(
+                    node(f"{i}/{j}/{n}", w, region=F.lit(i), rack=F.lit(j), shard=F.lit(int(n))) for n, w in rack
+                )))
                 for j, rack in enumerate(region)
-            ))
+            )))
             for i, region in enumerate(self.regions)
         ))
-        least = F.array_min  # of structs: by draw, then position
-        return least(F.transform(tree, lambda region: least(F.transform(region, lambda rack: least(F.transform(rack, leaf))))))
+        return winner(winner(winner(tree)["below"])["below"])
 
 
 def placed(documents: DataFrame, tree: Tree, grown: Tree | None = None, key: str = "doc_id") -> DataFrame:

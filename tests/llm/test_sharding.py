@@ -1,5 +1,6 @@
 """Hash tree: chances, movement, slots, odd rows."""
 
+import math
 import zlib
 
 from pyspark.sql import functions as F
@@ -28,30 +29,61 @@ def test_weights_are_met_at_every_level(spark):
     assert not any(p[2] == 4 for p in got)
 
 
-def test_only_changed_subtrees_move(spark):
-    base = ((((0, 1.0), (1, 1.0)), ((2, 1.0),)), (((3, 1.0), (4, 1.0)),))
-    before = shards(spark, Tree(base))
-    grown = shards(spark, Tree(((((0, 1.0), (1, 1.0), (9, 1.0)), ((2, 1.0),)), base[1])))
-    moved = {k for k in before if before[k][2] != grown[k][2]}
-    assert moved and all(grown[k][2] == 9 for k in moved)
-    heavier = shards(spark, Tree(((((0, 1.0), (1, 2.5)), ((2, 1.0),)), base[1])))
-    moved = {k for k in before if before[k][2] != heavier[k][2]}
-    assert moved and all(heavier[k][2] == 1 for k in moved)
-    lighter = shards(spark, Tree(((((0, 1.0), (1, 0.2)), ((2, 1.0),)), base[1])))
-    moved = {k for k in before if before[k][2] != lighter[k][2]}
-    assert moved and all(before[k][2] == 1 for k in moved)
+def expected(tree, key, draw):
+    """The descent in plain Python, from the draws' uniforms."""
+    level, path = tree.regions, ""
+    weight = lambda node: node[1] if isinstance(node[0], int) else sum(map(weight, node))
+    while True:
+        names = [f"{path}{child[0] if isinstance(child[0], int) else i}" for i, child in enumerate(level)]
+        best = min(range(len(level)), key=lambda i: -math.log(draw(key, names[i])) / weight(level[i]))
+        if isinstance(level[best][0], int):
+            return level[best][0]
+        path, level = names[best] + "/", level[best]
+
+
+def test_descent_equals_plain_python(spark):
+    names = ["0", "1", "0/0", "0/1", "1/0", "1/1", "0/0/0", "0/0/1", "0/1/2", "1/0/3", "1/0/4", "1/1/5"]
+    tree = Tree((((((0, 1.0), (1, 3.0))), ((2, 4.0),)), (((3, 8.0), (4, 2.0)), ((5, 1.0),))))
+    uniform = lambda n: (F.shiftrightunsigned(F.xxhash64("id", F.lit(n), F.lit(tree.seed)), 11).cast("double") + 1) * F.lit(2.0**-53)
+    us = {r["id"]: r for r in spark.range(500).select("id", *(uniform(n).alias(n) for n in names)).collect()}
+    got = shards(spark, tree, 500)
+    assert {k: p[2] for k, p in got.items()} == {k: expected(tree, k, lambda k, n: us[k][n]) for k in got}
 
 
-def test_every_count_grows_into_the_new_shard(spark):
-    for n in (4, 5, 6, 20, 21, 40):
-        a, b = shards(spark, Tree.uniform(n), 600), shards(spark, Tree.uniform(n + 1), 600)
-        assert {b[k][2] for k in a if a[k][2] != b[k][2]} <= {n}
+def test_nesting_decides(spark):
+    leaves = [(i, 1.0) for i in range(8)]
+    flat, nested = Tree(((tuple(leaves),),)), Tree(((tuple(leaves[:4]),), (tuple(leaves[4:]),)))
+    a, b = shards(spark, flat), shards(spark, nested)
+    assert sum(a[k][2] != b[k][2] for k in a) > len(a) / 4
+
+
+def test_movement_stays_on_the_changed_path(spark):
+    base = ((((0, 1.0), (1, 1.0)), ((2, 1.0), (6, 1.0))), (((3, 1.0), (4, 1.0)), ((5, 1.0),)))
+    before = shards(spark, Tree(base))
+    for rack, into in ((((0, 1.0), (1, 1.0), (9, 1.0)), True), (((0, 1.0), (1, 2.5)), True), (((0, 1.0), (1, 0.2)), False)):
+        after = shards(spark, Tree(((rack, base[0][1]), base[1])))
+        moved = [(before[k], after[k]) if into else (after[k], before[k]) for k in before if before[k] != after[k]]
+        assert moved
+        for old, new in moved:  # towards the grown path, seen from the lighter tree
+            assert new[0] == 0
+            if old[0] == 0:
+                assert new[1] == 0
+                if old[1] == 0:
+                    assert new[2] in (1, 9)
+
+
+def test_a_shard_in_a_region_of_its_own_takes_rows_only_into_itself(spark):
+    for n in (1, 4, 5, 7, 21, 40):
+        tree = Tree.uniform(n)
+        a, b = shards(spark, tree, 600), shards(spark, tree.with_shard(n), 600)
+        moved = [k for k in a if a[k][2] != b[k][2]]
+        assert moved and {b[k][2] for k in moved} == {n}
 
 
 def test_slots_and_odd_rows(spark):
     rows = [(i, f"t{i}") for i in range(300)] + [(7, "again")] * 150 + [(None, "x"), (None, "y"), (8, None)]
     df = spark.createDataFrame([(*r, "old", 1.5) for r in rows], "doc_id long, text string, shard string, _row double")
-    out = sharded(df, Tree.uniform(40), Tree.uniform(41)).collect()
+    out = sharded(df, Tree.uniform(40), Tree.uniform(40).with_shard(40)).collect()
     assert len(out) == len(rows) and "_row" in out[0].asDict()
     by = {}
     for r in out:
