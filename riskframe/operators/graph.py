@@ -84,6 +84,19 @@ class NodeStats:
     value: str
     label: str | None
 
+    def of(self, kind: str) -> DataFrame:
+        """One row per node of a type: its key ``_k_<type>``, means of all hops, degree, label counts."""
+        first, *later = [tables[kind] for tables in self.hops]
+        table = first.withColumnsRenamed(
+            {"node": f"_k_{kind}", "mean": f"{kind}_mean_1", "degree": f"{kind}_degree",
+             "labels": f"_l_{kind}", "labelled": f"_n_{kind}"}
+        )
+        if not later:
+            return table
+        for hop, found in enumerate(later, start=2):  # every hop holds the same nodes
+            table = table.join(found.select(F.col("node").alias(f"_k_{kind}"), F.col("mean").alias(f"{kind}_mean_{hop}")), f"_k_{kind}")
+        return materialise(table, f"{kind}-hops")
+
 
 def _state(df: DataFrame, value: str, label: str | None) -> DataFrame:
     extra = [F.col(label).cast("double").alias("_label")] if label else []
@@ -148,9 +161,14 @@ def apply_node_stats(df: DataFrame, stats: NodeStats, leave_one_out: bool = Fals
     statistics were learnt on. Later rows must not use it.
     """
     label = stats.label if leave_one_out else None
-    state = _state(df, stats.value, label)
-    for hop, tables in enumerate(stats.hops, start=1):
-        state = _hop(state, tables, hop, bool(stats.label) and hop == 1)
+    state = keys = _state(df, stats.value, label)
+    for kind in LINKS:  # one join per node type, for all hops
+        state = lookup_join(state, stats.of(kind), f"_k_{kind}", probe=keys)
+    per_hop = [f"{kind}_mean_{hop}" for hop in range(1, len(stats.hops) + 1) for kind in LINKS]
+    degrees = [f"{kind}_degree" for kind in LINKS]
+    first = [c for pair in zip(per_hop, degrees) for c in pair]
+    added = [*first, *per_hop[len(degrees):]]
+    state = state.select(*[c for c in state.columns if c not in added], *added)
     if stats.label:
         for kind in LINKS:
             hits, rows = F.col(f"_l_{kind}"), F.col(f"_n_{kind}")

@@ -48,21 +48,22 @@ class BoostedTrees:
     seed: int = 42
     max_memory_mb: int = 512
 
-    def fit(self, df: DataFrame, features: Sequence[str], label: str = LABEL) -> BoostedModel:
-        assembler = _assembler(features)
-        # read once per tree level: written as vectors, so no pass repeats the feature work
-        rows = materialise(
-            assembler.transform(
-                df.select(*[F.col(f"`{c}`") for c in features], F.col(label).cast("double").alias(
-                    "_label"))
-            ).select("_features", "_label"),
-            "matrix",
+    @staticmethod
+    def matrix(df: DataFrame, features: Sequence[str], label: str = LABEL, keep: Sequence[str] = ()) -> DataFrame:
+        """(``_features``, ``_label``, ``keep``): what learning reads, ready to be written."""
+        rows = df.select(
+            *[F.col(f"`{c}`") for c in features], F.col(label).cast("double").alias("_label"),
+            *[F.col(c) for c in keep if c not in features],
         )
+        return _assembler(features).transform(rows).select("_features", "_label", *keep)
+
+    def learn(self, rows: DataFrame, n_rows: int | None = None):
+        """The trees of a written matrix; it is read once per tree level."""
         # a tree level is one job: no more tasks than the rows are worth
-        worth = max(1, rows.count() // FIT_ROWS)
+        worth = max(1, (rows.count() if n_rows is None else n_rows) // FIT_ROWS)
         if worth < rows.rdd.getNumPartitions():
             rows = rows.coalesce(worth)
-        learner = GBTClassifier(
+        return GBTClassifier(
             featuresCol="_features",
             labelCol="_label",
             maxIter=self.max_iter,
@@ -72,14 +73,21 @@ class BoostedTrees:
             featureSubsetStrategy="all" if self.column_share >= 1 else str(self.column_share),
             seed=self.seed,
             maxMemoryInMB=self.max_memory_mb,
-        )
-        return BoostedModel(PipelineModel([assembler, learner.fit(rows)]), list(features))
+        ).fit(rows)
+
+    def fit(self, df: DataFrame, features: Sequence[str], label: str = LABEL) -> BoostedModel:
+        return BoostedModel.of(self.learn(materialise(self.matrix(df, features, label), "matrix")), features)
 
 
 @dataclass
 class BoostedModel:
     model: PipelineModel
     features: list[str]
+    kind: str = "boosted_trees"
+
+    @classmethod
+    def of(cls, trees, features: Sequence[str]) -> BoostedModel:
+        return cls(PipelineModel([_assembler(features), trees]), list(features))
 
     @property
     def trees(self):
@@ -102,14 +110,14 @@ class BoostedModel:
 
     def save(self, path: str, spark: SparkSession) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        model_summary(spark, "boosted_trees", self.features).write.mode("overwrite").parquet(
+        model_summary(spark, self.kind, self.features).write.mode("overwrite").parquet(
             f"{path}/summary"
         )
 
     @classmethod
     def load(cls, path: str, spark: SparkSession) -> BoostedModel:
         row = spark.read.parquet(f"{path}/summary").first()
-        return cls(PipelineModel.load(f"{path}/model"), list(row["features"]))
+        return cls(PipelineModel.load(f"{path}/model"), list(row["features"]), row["model_type"])
 
 
 def model_summary(spark: SparkSession, kind: str, features: Sequence[str]) -> DataFrame:
@@ -345,6 +353,7 @@ class GraphDetector:
 class SequenceDetector:
     """Boosted trees on trailing-window features of the card's past."""
 
+    KIND = "sequence"
     FEATURES = ("seq_len", "seq_mean", "seq_std", "seq_min", "seq_max", "seq_gap")
 
     def __init__(self, max_seq_len: int = 10, boosted: BoostedTrees | None = None):
@@ -377,11 +386,11 @@ class SequenceDetector:
         folder = store.begin()
         self.recent.write.parquet(f"{folder}/recent")
         self.model.save(f"{folder}/trees", spark)
-        store.commit(folder, "sequence", {"max_seq_len": self.max_seq_len})
+        store.commit(folder, self.KIND, {"max_seq_len": self.max_seq_len})
 
     @classmethod
     def load(cls, path: str, spark: SparkSession) -> SequenceDetector:
-        folder, settings = ModelStore(spark, path).latest("sequence")
+        folder, settings = ModelStore(spark, path).latest(cls.KIND)
         out = cls(settings["max_seq_len"])
         out.model, out.recent = BoostedModel.load(f"{folder}/trees", spark), spark.read.parquet(f"{folder}/recent")
         return out
@@ -508,12 +517,18 @@ class ParameterSearch:
     def run(
         self, train: DataFrame, validation: DataFrame, features: Sequence[str], label: str = LABEL
     ) -> tuple[BoostedModel, DataFrame]:
-        """The best model and the rows (trial, parameters, score)."""
+        """The best model and the rows (trial, parameters, score); one matrix serves all trials."""
         trials = self.draws()
+        rows = materialise(BoostedTrees.matrix(train, features, label), "matrix")
+        n_rows = rows.count()
+
+        def tried(params: BoostedTrees) -> tuple[float, BoostedModel]:
+            model = BoostedModel.of(params.learn(rows, n_rows), features)
+            area = metrics.roc_auc(model.score(validation), label, PROBABILITY).first()["auroc"]
+            return (0.5 if area is None else area), model
+
         with ThreadPool(min(self.parallelism, len(trials))) as pool:
-            results = pool.map(
-                lambda p: self.objective(p, train, validation, features, label), trials
-            )
+            results = pool.map(tried, trials)
         rows = [
             (i, p.max_depth, p.step_size, p.row_share, p.column_share, float(score))
             for i, (p, (score, _)) in enumerate(zip(trials, results))

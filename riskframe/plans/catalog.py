@@ -1,4 +1,4 @@
 """All named queries."""
 
-from riskframe.plans import data, detectors, evaluation, stored, structure  # noqa: F401
+from riskframe.plans import arriving, data, detectors, evaluation, learning, stored, structure  # noqa: F401
 from riskframe.plans.base import ORACLES, QUERIES  # noqa: F401

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +15,8 @@ from riskframe.sources.schemas import FEATURE_OUTPUT, TRANSACTION_INPUT
 CORRUPT = "_corrupt_record"
 
 
-def parse_transactions(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """(valid rows in the input schema, error rows) from a JSON text column.
+def checked_transactions(df: DataFrame, body: str = "body") -> DataFrame:
+    """(body, position, t, error): every object of a JSON text column in the input schema, one read.
 
     A body is one object or an array of objects. Empty bodies, bad JSON and empty arrays are errors,
     and so are objects whose amount is missing, not a number, or not finite; in an array the other
@@ -56,9 +56,21 @@ def parse_transactions(df: DataFrame, body: str = "body") -> tuple[DataFrame, Da
         .when(amount.isNull(), "amount missing")
         .when(F.isnan(amount) | (F.abs(amount) == float("inf")), "amount is not finite")
     )
-    checked = rows.withColumn("error", error)
-    valid = checked.where(F.col("error").isNull()).select("t.*")
-    return valid, checked.where(F.col("error").isNotNull()).select(body, F.coalesce("position", F.lit(0)).alias("position"), "error")
+    return rows.select(body, F.coalesce("position", F.lit(0)).alias("position"), "t", error.alias("error"))
+
+
+def valid_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("error").isNull()).select("t.*")
+
+
+def error_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("error").isNotNull()).drop("t")
+
+
+def parse_transactions(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(valid rows in the input schema, error rows) from a JSON text column."""
+    checked = checked_transactions(df, body)
+    return valid_rows(checked), error_rows(checked)
 
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -82,6 +94,51 @@ def score_transactions(df: DataFrame, scorer: Scorer, threshold: float = 0.5) ->
     )
 
 
+class OutcomeSink:
+    """Scored rows and error rows of a JSON stream, from one read of each micro-batch.
+
+    Both go into one folder per batch id by one write, so neither is seen without the other; a batch
+    that failed and is run again replaces both. ``scorer`` sees valid rows only.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, scorer: Scorer, threshold: float = 0.5, body: str = "body"):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.scorer, self.threshold, self.body = scorer, threshold, body
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        checked = checked_transactions(batch, self.body).persist()  # parsed once, read by both outputs
+        try:
+            scored = score_transactions(valid_rows(checked), self.scorer, self.threshold)
+            both = scored.withColumn("outcome", F.lit("scored")).unionByName(
+                error_rows(checked).withColumn("outcome", F.lit("error")), allowMissingColumns=True
+            )
+            both.write.mode("overwrite").partitionBy("outcome").parquet(f"{self.path}/data/batch_id={batch_id}")
+        finally:
+            checked.unpersist()
+
+    def run(self, stream: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Process what the source has; (scored rows, error rows) of all batches so far."""
+        query = (
+            stream.writeStream.foreachBatch(self.process)
+            .option("checkpointLocation", f"{self.path}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return self.outcomes()
+
+    def outcomes(self) -> tuple[DataFrame, DataFrame]:
+        found = [T.StructField(self.body, T.StringType()), T.StructField("position", T.IntegerType()), T.StructField("error", T.StringType())]
+        kept = [T.StructField("batch_id", T.LongType()), T.StructField("outcome", T.StringType())]
+        schema = T.StructType([*FEATURE_OUTPUT.fields, *found, *kept])
+        rows = self.spark.read.schema(schema).parquet(f"{self.path}/data")
+        columns = [f.name for f in FEATURE_OUTPUT]
+        return (
+            rows.where(F.col("outcome") == "scored").select(*columns),
+            rows.where(F.col("outcome") == "error").select(self.body, "position", "error"),
+        )
+
+
 def run_to_parquet(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
     """Process all available input into Parquet files and return them as a batch frame.
 
@@ -100,11 +157,18 @@ def run_to_parquet(stream: DataFrame, path: str, mode: str = "append") -> DataFr
 
 
 def prediction_counts(
-    scored: DataFrame, time: str = "ts", window: str = "1 hour", delay: str = "1 hour"
+    scored: DataFrame, time: str = "ts", window: str = "1 hour", delay: str = "1 hour", key: str | None = None
 ) -> DataFrame:
-    """Predictions per window and outcome; rows later than the watermark are dropped."""
+    """Predictions per window and outcome; rows later than the watermark are dropped.
+
+    With ``key``, a row that arrives again (same key and time) counts once. What is known of a key
+    is forgotten once the watermark has passed it, since from then on its copies are late.
+    """
+    marked = scored.withWatermark(time, delay)
+    if key is not None:
+        marked = marked.dropDuplicates([key, time])
     return (
-        scored.withWatermark(time, delay)
+        marked
         .groupBy(F.window(time, window).alias("w"), "is_fraud")
         .agg(F.count(F.lit(1)).alias("predictions"))
         .select(
