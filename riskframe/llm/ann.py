@@ -136,24 +136,26 @@ def usable(vector: Column) -> Column:
 @dataclass(frozen=True)
 class Search:
     """``sample``: vectors the partitions are learnt from at most, a quarter of them for the
-    measurement of ``recall``; ``rows_per_part``: aimed at, up to ``most_parts``; ``chunk`` and
-    ``block``: candidates and queries compared in one task, about."""
+    measurement of ``recall``. There are about half the square root of the vectors' number of
+    partitions, at most ``most_parts`` (what the sample can tell apart; beyond that they grow and are
+    cut into chunks) and at least two, but one alone for fewer than ``least`` vectors, of which no
+    graph can be cut. ``chunk`` and ``block``: candidates and queries compared in one task, about."""
 
     k: int = 5
     sample: int = 8_000
     graph_k: int = 10
-    rows_per_part: int = 1_000
     most_parts: int = 128
+    least: int = 40
     recall: float = 0.95
     chunk: int = 8_192
     block: int = 2_048
     seed: int = 42
 
     def learn(self, folded: DataFrame, n: int) -> Router | None:
-        """A router from the sample with the smallest hashes; None where one partition will do."""
-        parts = min(self.most_parts, n // self.rows_per_part)
-        if parts < 2:
+        """A router from the sample with the smallest hashes; None below ``least`` vectors."""
+        if n < self.least:
             return None
+        parts = max(2, min(self.most_parts, round(n**0.5 / 2)))
         drawn = folded.orderBy(F.xxhash64("vector", F.lit(self.seed)), "vector").limit(self.sample).select("vector")
         x = unit(np.array([r[0] for r in drawn.collect()], np.float64))
         x, kept = x[len(x) // 4 :], x[: len(x) // 4]
