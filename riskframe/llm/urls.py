@@ -10,6 +10,7 @@ is blocked if distrust is at least ``threshold`` of distrust, trust and ``neutra
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ from riskframe.session import materialise
 
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ADDRESS = r"^(?s:.*?)://([^/?#]*)([^?#]*)"
+#: Links of one host that one piece holds.
+HUB_LINKS = 200_000
+#: Rounds whose written tables are summed at once.
+ROUNDS_HELD = 20
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -34,15 +39,19 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, ADDRESS, 2), F.lit(""))
 
 
+def _summed(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
+
+
 @dataclass(frozen=True)
 class Filter:
     """Rules are (verdict, host and path); a rule fits its host and all hosts below it."""
 
     rules: tuple
     damping: float = 0.85
-    rounds: int = 12
     neutral: float = 0.5
     threshold: float = 0.5
+    precision: float = 1e-6
 
     def rule_for(self, host: Column, path: Column) -> Column:
         """struct(rule, verdict) of the longest rule that fits, else NULL."""
@@ -61,46 +70,66 @@ class Filter:
             .where("src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("n"))
         )
 
+    def enough(self, mass: float) -> float:
+        """What is on its way (in pages) when propagation may end.
+
+        A round passes on at most ``damping`` of it, and scaling multiplies by at most
+        1 / (1 - ``damping``), so all later rounds together move the share that a verdict compares
+        by less than ``precision`` (or by rounding errors).
+        """
+        return max(self.precision * self.neutral, 1e-13 * mass) * (1 - self.damping) ** 2 / self.damping
+
     def propagate(self, seeds: DataFrame, links: DataFrame) -> DataFrame:
         """(host, trust, distrust) in pages, from seeds (host, allowed, blocked) and folded links.
 
-        What a host without links would pass on goes back to the seeds. Rounds end early once
-        nothing changes. Each round is written, so lineage stays short.
+        Each round passes on only what arrived in the round before; ranks are the sums over rounds,
+        which go on until too little is on its way, however long the chains are. What a host without
+        links would pass on goes back to the seeds: that scales all ranks alike, to the pages of the
+        seeds. Each round is written, so lineage stays short. The links of a hub are cut into pieces
+        of about ``HUB_LINKS``, each met by a copy of its one row.
         """
-        out = links.groupBy("src").agg(F.sum("n").alias("all"))
-        into = links.groupBy("dst").agg(F.sum("n").alias("all"))
-        forward = links.join(out, "src").select(F.col("src").alias("at"), F.col("dst").alias("to"), (F.col("n") / F.col("all")).alias("t"), F.lit(0.0).alias("d"))
-        back = links.join(into, "dst").select(F.col("dst").alias("at"), F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("n") / F.col("all")).alias("d"))
-        steps = materialise(forward.unionByName(back), "host-steps")
-        known = steps.select(F.col("to").alias("host")).distinct().join(seeds, "host", "full")
-        nodes = materialise(known.select("host", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("allowed", "blocked"))), "hosts")
-        sums = nodes.agg(F.sum("allowed"), F.sum("blocked")).first()
-        all_t, all_d = (float(x or 0) for x in sums)
-        state = nodes.withColumns({"trust": F.col("allowed"), "distrust": F.col("blocked")})
+        both = links.select(F.col("src").alias("at"), F.col("dst").alias("to"), F.col("n").alias("nt"), F.lit(0.0).alias("nd")).unionByName(
+            links.select(F.col("dst").alias("at"), F.col("src").alias("to"), F.lit(0.0).alias("nt"), F.col("n").alias("nd"))
+        )
+        totals = materialise(
+            both.groupBy("at").agg(
+                F.sum("nt").alias("all_t"), F.sum("nd").alias("all_d"),
+                (1 + F.floor(F.count(F.lit(1)) / HUB_LINKS)).cast("int").alias("pieces"),
+            ),
+            "host-totals",
+        )
+        share = lambda n, total: F.when(F.col(total) > 0, F.col(n) / F.col(total)).otherwise(F.lit(0.0))
+        steps = materialise(
+            both.join(totals, "at").select(
+                "at", "to", F.pmod(F.xxhash64("to"), F.col("pieces")).cast("int").alias("piece"),
+                share("nt", "all_t").alias("t"), share("nd", "all_d").alias("d"),
+            ),
+            "host-steps",
+        )
         a = self.damping
-        for _ in range(self.rounds):
-            passed = state.join(steps, state["host"] == steps["at"]).groupBy("to").agg(
-                F.sum(F.col("trust") * F.col("t")).alias("pt"), F.sum(F.col("distrust") * F.col("d")).alias("pd")
+        pieces = totals.select(F.col("at").alias("host"), "pieces")
+        begin = seeds.select("host", ((1 - a) * F.col("allowed")).alias("t"), ((1 - a) * F.col("blocked")).alias("d"))
+        sums = [F.sum(c) for c in ("t", "d")]
+        moving = materialise(begin, "moving")
+        mass_t, mass_d = (float(x or 0) / (1 - a) for x in moving.agg(*sums).first())
+        ranks, held = None, [moving]
+        while sum(float(x or 0) for x in moving.agg(*sums).first()) > self.enough(mass_t + mass_d):
+            sent = moving.join(pieces, "host").select(
+                F.col("host").alias("at"), F.col("t").alias("mt"), F.col("d").alias("md"),
+                F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
             )
-            passed = materialise(passed, "passed")
-            got_t, got_d = (float(x or 0) for x in passed.agg(F.sum("pt"), F.sum("pd")).first())
-            left_t = (all_t - got_t) / all_t if all_t else 0.0
-            left_d = (all_d - got_d) / all_d if all_d else 0.0
-            moved = state.join(passed, state["host"] == passed["to"], "left")
-            new = materialise(
-                moved.select(
-                    "host", "allowed", "blocked",
-                    ((1 - a) * F.col("allowed") + a * (F.coalesce("pt", F.lit(0.0)) + left_t * F.col("allowed"))).alias("trust"),
-                    ((1 - a) * F.col("blocked") + a * (F.coalesce("pd", F.lit(0.0)) + left_d * F.col("blocked"))).alias("distrust"),
-                    F.col("trust").alias("was_t"), F.col("distrust").alias("was_d"),
-                ),
-                "ranks",
+            passed = sent.join(steps, ["at", "piece"]).groupBy(F.col("to").alias("host")).agg(
+                (a * F.sum(F.col("mt") * F.col("t"))).alias("t"), (a * F.sum(F.col("md") * F.col("d"))).alias("d")
             )
-            state = new.drop("was_t", "was_d")
-            change = new.agg(F.max(F.abs(F.col("trust") - F.col("was_t")) + F.abs(F.col("distrust") - F.col("was_d")))).first()[0]
-            if not change or change < 1e-12 * (all_t + all_d):
-                break
-        return state.select("host", "trust", "distrust")
+            moving = materialise(passed.where("t > 0 or d > 0"), "moving")
+            held.append(moving)
+            if len(held) == ROUNDS_HELD:
+                ranks = materialise(_summed(held + ([ranks] if ranks else [])), "ranks")
+                held = []
+        ranks = materialise(_summed(held + ([ranks] if ranks else [])), "ranks")
+        got_t, got_d = (float(x or 0) for x in ranks.agg(*sums).first())
+        scale = lambda c, mass, got: (F.col(c) * (mass / got if got else 0.0))
+        return ranks.select("host", scale("t", mass_t, got_t).alias("trust"), scale("d", mass_d, got_d).alias("distrust"))
 
     def judge(self, pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
         """Per page: key, host, path, rule (NULL if none fits), verdict, trust, distrust.
@@ -131,7 +160,7 @@ class Filter:
 
 
 def equivalent_sql(f: Filter) -> str:
-    """The same verdicts over ``pages`` in SQL, with the rounds written out."""
+    """The same verdicts over ``pages`` in SQL; the rounds are a recursive table."""
     quoted = lambda text: "'" + text.replace("'", "''") + "'"
     address = quoted(r"(?s)^.*?://([^/?#]*)([^?#]*)")
     lower = lambda c: f"translate({c}, '{UPPER}', '{LOWER}')"
@@ -141,18 +170,11 @@ def equivalent_sql(f: Filter) -> str:
         fits = f"(host = {quoted(name)} OR ends_with(host, {quoted('.' + name)})) AND starts_with(path, {quoted('/' + rest)})"
         tests.append((fits, quoted(rule), quoted(verdict)))
     case = lambda i: "CASE " + " ".join(f"WHEN {t[0]} THEN {t[i]}" for t in tests) + " END"
-    a, parts = f.damping, []
-    for i in range(f.rounds):
-        back = lambda seed, got: f"coalesce(((SELECT sum({seed}) FROM r0) - coalesce((SELECT sum({got}) FROM g{i}), 0)) / nullif((SELECT sum({seed}) FROM r0), 0), 0)"  # noqa: E731, B023
-        parts.append(f"""
-g{i} AS MATERIALIZED (
-  SELECT s.goal AS host, sum(r.t * s.t) AS pt, sum(r.d * s.d) AS pd
-  FROM r{i} r JOIN steps s ON r.host = s.start GROUP BY 1),
-r{i + 1} AS MATERIALIZED (
-  SELECT r.host, a, b, {1 - a}::DOUBLE * a + {a}::DOUBLE * (coalesce(pt, 0) + {back("a", "pt")} * a) AS t,
-         {1 - a}::DOUBLE * b + {a}::DOUBLE * (coalesce(pd, 0) + {back("b", "pd")} * b) AS d
-  FROM r{i} r LEFT JOIN g{i} ON r.host = g{i}.host)""")
-    return f"""WITH raw AS (
+    a = f.damping
+    enough = (
+        f"greatest({f.precision * f.neutral}::DOUBLE, 1e-13::DOUBLE * (SELECT sum(a + b) FROM seeds)) * {(1 - a) ** 2 / a}::DOUBLE"
+    )
+    return f"""WITH RECURSIVE raw AS (
   SELECT page_id, html, coalesce({lower(f"regexp_extract(url, {address}, 1)")}, '') AS host,
          coalesce(regexp_extract(url, {address}, 2), '') AS path
   FROM pages),
@@ -169,14 +191,23 @@ links AS MATERIALIZED (SELECT src, dst, count(*)::DOUBLE AS n FROM found WHERE s
 steps AS MATERIALIZED (
   SELECT src AS start, dst AS goal, n / sum(n) OVER (PARTITION BY src) AS t, 0::DOUBLE AS d FROM links
   UNION ALL SELECT dst, src, 0::DOUBLE, n / sum(n) OVER (PARTITION BY dst) FROM links),
-seeds AS (SELECT host, a, b FROM counted WHERE a + b > 0
-          UNION ALL SELECT DISTINCT goal, 0, 0 FROM steps),
-r0 AS MATERIALIZED (SELECT host, sum(a) AS a, sum(b) AS b, sum(a) AS t, sum(b) AS d FROM seeds GROUP BY 1),
-{",".join(parts)},
+seeds AS MATERIALIZED (SELECT host, a, b FROM counted WHERE a + b > 0),
+moving AS (
+  SELECT 0 AS i, host, {1 - a}::DOUBLE * a AS t, {1 - a}::DOUBLE * b AS d, {1 - a}::DOUBLE * sum(a + b) OVER () AS mass FROM seeds
+  UNION ALL
+  SELECT i + 1, goal, t, d, sum(t + d) OVER () FROM (
+    SELECT i, goal, {a}::DOUBLE * sum(m.t * s.t) AS t, {a}::DOUBLE * sum(m.d * s.d) AS d
+    FROM moving m JOIN steps s ON m.host = s.start WHERE mass > {enough} GROUP BY i, goal)
+  WHERE t > 0 OR d > 0),
+summed AS (SELECT host, sum(t) AS t, sum(d) AS d FROM moving GROUP BY host),
+last AS (
+  SELECT host, t * (SELECT sum(a) FROM seeds) / nullif((SELECT sum(t) FROM summed), 0) AS t,
+         d * (SELECT sum(b) FROM seeds) / nullif((SELECT sum(d) FROM summed), 0) AS d
+  FROM summed),
 hosts AS (
   SELECT c.host, coalesce(t, 0) AS t, coalesce(d, 0) AS d,
          round(coalesce(d, 0) / (coalesce(d, 0) + coalesce(t, 0) + {f.neutral}::DOUBLE * pages), 9) >= {f.threshold} AS bad
-  FROM counted c LEFT JOIN r{f.rounds} r ON c.host = r.host)
+  FROM counted c LEFT JOIN last r ON c.host = r.host)
 SELECT page_id, p.host, path, rule, coalesce(v, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict,
        round(coalesce(t, 0), 6) AS trust, round(coalesce(d, 0), 6) AS distrust
 FROM ruled p LEFT JOIN hosts h ON p.host = h.host"""
