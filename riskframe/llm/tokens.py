@@ -26,8 +26,10 @@ from riskframe.llm.common import attempt_name, opened, shared_folder, worker_cac
 from riskframe.session import materialise, shuffle_width
 
 MAGIC = b"RFTOK1\0\0"
-#: The dictionary is trained on at most so many documents of at most so many bytes.
-SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 512, 4096, 65536
+#: The dictionary is trained on one slice each, of at most so many characters, of at most so many documents.
+SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 512, 4096, 65536
+#: A file that has grown to this size is closed and followed by another.
+FILE_BYTES = 256 << 20
 #: Words whose ids a worker keeps, and the longest such word.
 CACHED_WORDS, CACHED_CHARS = 400_000, 48
 _LAST = (1 << 63) - 1
@@ -220,27 +222,27 @@ def write_tokens(
     end: int | None = 2,
     key: str = "doc_id",
     text: str = "text",
+    file_bytes: int = FILE_BYTES,
 ) -> tuple[DataFrame, bytes]:
     """Write all documents in ascending key order; returns (files, dictionary).
 
-    ``files``: file_no int (ascending with the keys), path, n_docs and n_tokens long; it names the
+    ``files``: file_no long (ascending with the keys), path, n_docs and n_tokens long; it names the
     files of the attempts that counted, others are left unread. Missing texts are empty, missing
     keys come last, repeated keys stand side by side in any order; an empty table gives no file.
     """
     spark = documents.sparkSession
-    rows = documents.select(F.coalesce(F.col(key), F.lit(_LAST)).alias("k"), F.col(text).alias("t"))
-    short = (
-        rows.where(F.octet_length("t") <= SAMPLE_BYTES)
-        .orderBy(F.xxhash64("k", F.lit(9)), F.xxhash64("t"))
-        .limit(SAMPLE_DOCUMENTS)
-    )
+    rows = documents.select(F.coalesce(F.col(key), F.lit(_LAST)).alias("k"), F.col(key).isNull().alias("m"), F.col(text).alias("t"))
+    drawn = rows.where(F.octet_length("t") > 0).select(F.xxhash64("k", F.lit(9)).alias("h"), F.xxhash64("t").alias("h2"), "t")
+    room = F.greatest(F.length("t") - SAMPLE_CHARS, F.lit(0)) + 1  # starts that a slice of the text may have
+    cut = F.substring(F.col("t"), F.pmod("h2", room).cast("int") + 1, F.lit(SAMPLE_CHARS))
+    slices = drawn.select("h", "h2", cut.alias("t")).orderBy("h", "h2").limit(SAMPLE_DOCUMENTS).select("t")
 
     def samples(batches):
         for b in batches:
             got = Encoder.of(vocabulary).encode(b["t"].to_pylist(), end)
             yield pa.RecordBatch.from_pydict({"ids": pa.array(got, pa.binary())})
 
-    dictionary = train_dictionary([bytes(r.ids) for r in short.mapInArrow(samples, "ids binary").collect()])
+    dictionary = train_dictionary([bytes(r.ids) for r in slices.mapInArrow(samples, "ids binary").collect()])
 
     width = shuffle_width(spark)
     shares = [i / width for i in range(1, width)]
@@ -249,28 +251,35 @@ def write_tokens(
     system.create_dir(inside, recursive=True)
 
     def write(batches):
-        encoder, out, path, number = Encoder.of(vocabulary), None, None, 0
+        encoder, out, path, part = Encoder.of(vocabulary), None, None, 0
+
+        def closed():
+            n, tokens = out.close()
+            row = {"file_no": (number << 32) + part, "path": path, "n_docs": n, "n_tokens": tokens}
+            return pa.RecordBatch.from_pylist([row], schema=files_schema)
+
         for b in batches:
+            number = b["b"][0].as_py()
             for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                for k, ids in zip(part["k"].to_pylist(), encoder.encode(part["t"].to_pylist(), end)):
+                rows = b.slice(at, 256)
+                encoded = encoder.encode(rows["t"].to_pylist(), end)
+                for k, missing, ids in zip(rows["k"].to_pylist(), rows["m"].to_pylist(), encoded):
                     if out is None:
-                        number = part["b"][0].as_py()
-                        path = f"{folder}/{attempt_name('tokens')}.rft"
+                        path = f"{folder}/{attempt_name('tokens')}-{part}.rft"
                         out = Writer(path, dictionary)
-                    out.add(None if k == _LAST else k, ids)
+                    out.add(None if missing else k, ids)
+                    if out.at >= file_bytes:
+                        yield closed()
+                        out, part = None, part + 1
         if out is not None:
-            n, tokens = out.close()
-            yield pa.RecordBatch.from_pylist(
-                [{"file_no": number, "path": path, "n_docs": n, "n_tokens": tokens}], schema=files_schema
-            )
+            yield closed()
 
-    files_schema = pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
+    files_schema = pa.schema([("file_no", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
     files = (
         rows.withColumn("b", _bucket(bounds or [], F.col("k"), F.coalesce(F.crc32("t"), F.lit(0)) + F.spark_partition_id()))
         .repartitionById(width, "b")
-        .sortWithinPartitions("k")
-        .mapInArrow(write, "file_no int, path string, n_docs long, n_tokens long")
+        .sortWithinPartitions("k", "m")
+        .mapInArrow(write, "file_no long, path string, n_docs long, n_tokens long")
     )
     return materialise(files, "token-files"), dictionary
 

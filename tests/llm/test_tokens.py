@@ -80,6 +80,26 @@ def test_round_trip_of_odd_rows(spark):
     check(spark, spark.createDataFrame(hot, "doc_id long, text string"))
 
 
+def test_dictionary_where_all_texts_are_long(spark):
+    rng = random.Random(3)
+    words = [f"word{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(3000))) for i in range(80)]
+    assert min(len(t) for _, t in rows) > tokens.SAMPLE_CHARS
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, dictionary = tokens.write_tokens(df, tokens.shared_folder(spark, "long"), WORDS)
+    assert dictionary[:4] == b"\x37\xa4\x30\xec"  # trained, not raw bytes
+
+
+def test_files_end_at_their_size_and_the_largest_key_is_a_key(spark):
+    rows = [(i, f"text number {i} " * 9) for i in range(200)] + [((1 << 63) - 1, "last"), (None, "none"), (-(1 << 63), "first")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    files, dictionary = tokens.write_tokens(df, tokens.shared_folder(spark, "cut"), WORDS, file_bytes=400)
+    assert files.count() > 16 and files.select("file_no").distinct().count() == files.count()
+    got = sorted(tokens.read_tokens(files, dictionary).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [-(1 << 63), *range(200), (1 << 63) - 1, None]
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(len(got))]
+
+
 def test_empty_table(spark):
     assert tokens.encode_documents(spark, spark.createDataFrame([], "doc_id long, text string"), WORDS).count() == 0
 
