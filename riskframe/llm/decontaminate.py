@@ -1,19 +1,23 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Test items are few beside the corpus but may grow, so they are taken in blocks of bounded size, each
 sent to all tasks; a block is a stated query set against all rows. Per block the corpus is read
-once. Every n-gram of an item is a seed, however often the corpus holds it: counts can't tell a
-common phrase from an item that was copied often. Seeds of one item that lie near one diagonal are
-gathered, and the words around them are aligned with the whole item, unless the words that both
-share cannot reach the threshold in any order. The score is the local
-alignment score over that of the item with itself, so edited, shortened or reordered copies score in
-proportion. Nothing but findings leaves a task.
+twice: to count the two-word runs of its items over all documents, and to search.
+
+An alignment that reaches the threshold by words replaced or lost holds at least :func:`least_runs`
+two-word runs of the item. The runs most frequent in the corpus are no seeds as long as they stand
+for at most half of that number, so at least the other half must be hit close together: whatever
+the counts are, and however often an item was copied, such a copy has its seeds. Only copies with
+foreign words pushed in between nearly all words of the item can have too few. Around the hits, the
+words are aligned with the whole item, unless the words that both share cannot reach the threshold
+in any order. The score is the local alignment score over that of the item with itself, so edited,
+shortened or reordered copies score in proportion. Nothing but findings leaves a task.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +31,26 @@ _WORDS = re.compile(r"[^\W_]+")
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bound of one block of items, in words.
 BLOCK_WORDS = 1_000_000
+#: Items of fewer words are found by three-word runs: two words identify nothing.
+LONG = 9
+#: Words of windows that wait for their alignment, of one aligned batch with padding, of one window.
+HELD_WORDS, BATCH_WORDS, WINDOW_WORDS = 2_000_000, 1_000_000, 16_384
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORDS.findall(text.lower()) if text else []
 
 
+def least_runs(size: int, threshold: float) -> int:
+    """Two-word runs of an item of ``size`` words in any alignment of that score.
+
+    m words in r unbroken runs score at most 2 m - (r - 1), and r - 1 words of the item at least are
+    replaced or lost between the runs, so m + r - 1 <= size; m - r is least where both are equal.
+    """
+    reach = MATCH * threshold * size
+    return max(1, math.ceil((2 * reach - size - 3) / 3 - 1e-9))
+
+
 def _padded(windows: list[np.ndarray]) -> np.ndarray:
     table = np.full((len(windows), max(map(len, windows))), -1, np.int64)
     for i, w in enumerate(windows):
@@ -75,34 +93,24 @@ def local_scores(windows: list[np.ndarray], item: np.ndarray) -> list[tuple[int,
     return list(zip(best.tolist(), end.tolist()))
 
 
-@dataclass
 class Items:
-    """A block of test items as word numbers, with an index of their n-grams.
+    """A block of test items as word numbers, with an index of their n-grams: pairs, in short items triples.
 
     Words that no item has are number 0. An n-gram is held as one number below 2**63 as long as
-    the vocabulary of a block allows, else as numbers of its halves looked up once more.
+    the vocabulary of a block allows, else as a mixing number.
     """
 
-    ids: list
-    texts: list
-    n: int
-    vocabulary: dict = field(default_factory=dict)
-
-    def __post_init__(self):
-        self.words = []
-        for text in self.texts:
-            self.words.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)], np.int64))
-        self.texts = None
-        size = len(self.vocabulary) + 1
-        self.base = np.int64(size)
-        self.fits = size**self.n < 1 << 63
-        grams = [self.grams(w) for w in self.words]
-        items = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, int)
-        every = np.concatenate(grams) if grams else np.zeros(0, np.int64)
-        order = np.argsort(every, kind="stable")
-        self.gram, self.item, self.at = every[order], items[order], at[order]
-        self.distinct = np.unique(self.gram)
+    def __init__(self, ids: list, texts: list, threshold: float):
+        self.ids, self.vocabulary, self.words = ids, {}, []
+        number = self.vocabulary
+        for text in texts:
+            self.words.append(np.array([number.setdefault(w, len(number) + 1) for w in words_of(text)], np.int64))
+        self.base = np.int64(len(number) + 1)
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        least = [least_runs(len(w), threshold) if len(w) >= LONG else 1 for w in self.words]
+        self.spare = np.array(least, np.int64) // 2  # positions that may go without a seed
+        self.needed = np.array(least, np.int64) - self.spare
+        self.parts = {n: self._index(n) for n in (2, 3)}
 
     @classmethod
     def of(cls, state: dict) -> Items:
@@ -110,56 +118,108 @@ class Items:
         items.__dict__.update(state)
         return items
 
+    def _index(self, n: int) -> dict:
+        """Distinct (gram, item) in order, with the first and last position and their number."""
+        rows = []
+        for i, words in enumerate(self.words):
+            if (len(words) >= LONG) == (n == 2):
+                gram, first, times = np.unique(self.grams(words, n), return_index=True, return_counts=True)
+                last = len(words) - min(n, len(words)) - np.unique(self.grams(words, n)[::-1], return_index=True)[1]
+                rows.append((gram, np.full(len(gram), i), first, last, times))
+        columns = [np.concatenate(c).astype(np.int64) for c in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 5
+        return self._sorted(dict(zip(("gram", "item", "first", "last", "times"), columns)))
+
+    @staticmethod
+    def _sorted(index: dict) -> dict:
+        order = np.argsort(index["gram"], kind="stable")
+        index = {c: v[order] for c, v in index.items() if c != "distinct"}
+        index["distinct"] = np.unique(index["gram"])
+        return index
+
+    def keep_rare(self, counts: np.ndarray) -> None:
+        """Leave out the most frequent pairs of each long item; ``counts`` go with the distinct pairs."""
+        index = self.parts[2]
+        often = counts[np.searchsorted(index["distinct"], index["gram"])]
+        order = np.lexsort((index["gram"], -often, index["item"]))
+        item, times = index["item"][order], index["times"][order]
+        so_far = np.cumsum(times)
+        begin = np.flatnonzero(np.r_[True, item[1:] != item[:-1]]) if len(item) else np.zeros(0, int)
+        before = np.repeat((so_far - times)[begin], np.diff(np.r_[begin, len(item)]))
+        kept = np.sort(order[so_far - before > self.spare[item]])
+        self.parts[2] = self._sorted({c: v[kept] for c, v in index.items() if c != "distinct"})
+
     def numbers(self, text: str | None) -> np.ndarray:
         get = self.vocabulary.get
         return np.array([get(w, 0) for w in words_of(text)], np.int64)
 
-    def grams(self, words: np.ndarray) -> np.ndarray:
+    def grams(self, words: np.ndarray, n: int) -> np.ndarray:
         """One number per position; -1 where a word is foreign to all items.
 
         A text shorter than ``n`` words has one n-gram, itself; no number means both.
         """
-        n = min(self.n, len(words))
+        n = min(n, len(words))
         if n == 0:
             return np.zeros(0, np.int64)
         parts = [words[i : len(words) - n + 1 + i] for i in range(n)]
         foreign = np.logical_or.reduce([p == 0 for p in parts])
+        fits = int(self.base) ** 3 < 1 << 63
         out = np.zeros(len(parts[0]), np.int64)
         for p in parts:  # exact below 2**63, else a mixing number whose rare clashes only add candidates
-            out = out * self.base + p if self.fits else (out * np.int64(0x5851F42D4C957F2D) + p) & np.int64((1 << 62) - 1)
+            out = out * self.base + p if fits else (out * np.int64(0x5851F42D4C957F2D) + p) & np.int64((1 << 62) - 1)
         out[foreign] = -1
         return out
 
+    def hits(self, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(position, number of the distinct gram) of each n-gram of a text that an item holds."""
+        distinct = self.parts[n]["distinct"]
+        if not len(distinct) or not len(words):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        grams = self.grams(words, n)
+        hit = np.flatnonzero(grams >= 0)
+        at = np.minimum(np.searchsorted(distinct, grams[hit]), len(distinct) - 1)
+        found = distinct[at] == grams[hit]
+        return hit[found], at[found]
+
 
 def _spots(items: Items, words: np.ndarray):
-    """(item, first, last) word windows of one document that hold n-grams of the item."""
-    grams = items.grams(words)
-    hit = np.flatnonzero(grams >= 0)
-    if not len(hit) or not len(items.distinct):
-        return []
-    at = np.searchsorted(items.distinct, grams[hit])
-    at[at == len(items.distinct)] = 0
-    hit = hit[items.distinct[at] == grams[hit]]
-    if not len(hit):
-        return []
-    lo, hi = np.searchsorted(items.gram, grams[hit], "left"), np.searchsorted(items.gram, grams[hit], "right")
-    n = hi - lo
-    index = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    item, start = items.item[index], np.repeat(hit, n) - items.at[index]
-    order = np.lexsort((start, item))
-    item, start = item[order], start[order]
-    size = np.array([len(items.words[i]) for i in item])
-    slack = size // 2 + 4  # how far inserted or lost words may move the copy
-    new = np.r_[True, (item[1:] != item[:-1]) | (start[1:] - start[:-1] > slack[1:])]
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(item)] - 1
-    return [
-        (int(item[a]), max(0, int(start[a] - slack[a])), min(len(words), int(start[b] + size[b] + slack[b])))
-        for a, b in zip(first, last)
-    ]
-
-
-def _findings(items: Items, threshold: float, batches, flush: int = 256):
+    """(item, first, last) word windows of one document around enough seeds of the item."""
+    out = []
+    for n, index in items.parts.items():
+        hit, at = items.hits(words, n)
+        if not len(hit):
+            continue
+        gram = index["distinct"][at]
+        lo, hi = np.searchsorted(index["gram"], gram, "left"), np.searchsorted(index["gram"], gram, "right")
+        k = hi - lo
+        row = np.repeat(lo - (np.cumsum(k) - k), k) + np.arange(k.sum())
+        item, place = index["item"][row], np.repeat(hit, k)
+        order = np.lexsort((place, item))
+        item, place, row = item[order], place[order], row[order]
+        size = items.size[item]
+        new = np.r_[True, (item[1:] != item[:-1]) | (place[1:] - place[:-1] > size[1:])]
+        first = np.flatnonzero(new)
+        enough = np.diff(np.r_[first, len(item)]) >= items.needed[item[first]]
+        slack = size // 2 + 4  # how far inserted or lost words may move the copy
+        start = np.minimum.reduceat(place - index["last"][row] - slack, first)[enough]
+        stop = np.maximum.reduceat(place - index["first"][row] + size + slack, first)[enough]
+        for i, a, b in zip(item[first][enough].tolist(), start.tolist(), stop.tolist()):
+            a, b, own = max(0, a), min(len(words), b), len(items.words[i])
+            step = max(WINDOW_WORDS, 8 * own)  # an alignment spans at most twice the item
+            out.extend((i, x, min(b, x + step + 2 * own)) for x in range(a, b, step))
+    return out
+
+
+def _counted(items: Items, batches):
+    """How often the texts hold each distinct pair of the items, one row per pair that occurs."""
+    counts = np.zeros(len(items.parts[2]["distinct"]), np.int64)
+    for b in batches:
+        for text in b[0].to_pylist():
+            np.add.at(counts, items.hits(items.numbers(text), 2)[1], 1)
+    seen = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_pydict({"at": pa.array(seen, pa.int64()), "n": pa.array(counts[seen], pa.int64())})
+
+
+def _findings(items: Items, threshold: float, batches):
     schema = pa.schema(
         [("doc", pa.int64()), ("item", pa.int64()), ("score", pa.float64()), ("from_word", pa.int64()), ("to_word", pa.int64())]
     )
@@ -175,14 +235,23 @@ def _findings(items: Items, threshold: float, batches, flush: int = 256):
         return pa.RecordBatch.from_pylist(rows, schema=schema)
 
     held: dict[int, list] = {}
+    widest: dict[int, int] = {}
+    total = 0
     for b in batches:
         for doc, text in zip(b[0].to_pylist(), b[1].to_pylist()):
             words = items.numbers(text)
             for item, first, last in _spots(items, words):
-                waiting = held.setdefault(item, [])
-                waiting.append((doc, first, words[first:last]))
-                if len(waiting) >= flush:
+                width = max(widest.get(item, 0), last - first)
+                if item in held and width * (len(held[item]) + 1) > BATCH_WORDS:
+                    total -= sum(len(h[2]) for h in held[item])
                     yield scored(item, held.pop(item))
+                    width = last - first
+                held.setdefault(item, []).append((doc, first, words[first:last].copy()))
+                widest[item], total = width, total + last - first
+                if total > HELD_WORDS:
+                    for waiting in list(held):
+                        yield scored(waiting, held.pop(waiting))
+                    widest, total = {}, 0
     for item in list(held):
         yield scored(item, held.pop(item))
 
@@ -211,7 +280,6 @@ def find_leaks(
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
-    n: int = 3,
     threshold: float = 0.5,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
@@ -219,15 +287,22 @@ def find_leaks(
 
     ``score`` is the best alignment as a share of a full match (1: the whole item, word by word);
     ``from_word`` and ``to_word`` bound its last words in the document. Defined results: missing or
-    empty texts and items hold nothing, an item of fewer than ``n`` words is found only in documents
-    just as short (a word or two identify nothing in a longer one), repeated items are found as often as they occur, repeated documents are reported once per row, rows with
+    empty texts and items hold nothing, an item of one or two words is found only in documents just as
+    short (they identify nothing in a longer one), one of fewer than ``LONG`` by three of its words in
+    a row, repeated items are found as often as they occur, repeated documents are reported once per row, rows with
     a missing key can't be named and are left to :func:`drop_leaks`; empty tables find nothing.
     """
     spark = documents.sparkSession
     docs = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     found = None
     for ids, texts in _blocks(benchmark, item, item_text, block_words):
-        items = Items(ids, texts, n)
+        items = Items(ids, texts, threshold)
+        every = spark.sparkContext.broadcast(items.__dict__)
+        counted = docs.select("text").mapInArrow(lambda bs, every=every: _counted(Items.of(every.value), bs), "at long, n long")
+        counts = np.zeros(len(items.parts[2]["distinct"]), np.int64)
+        for r in counted.groupBy("at").agg(F.sum("n").alias("n")).collect():  # at most block_words rows
+            counts[r["at"]] = r["n"]
+        items.keep_rare(counts)
         sent = spark.sparkContext.broadcast(items.__dict__)
         part = docs.mapInArrow(
             lambda bs, sent=sent: _findings(Items.of(sent.value), threshold, bs),

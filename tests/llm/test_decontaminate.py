@@ -103,3 +103,68 @@ def test_odd_rows(spark):
     assert kept.columns == d.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 5]
     assert D.find_leaks(d.limit(0), b).count() == 0 and D.find_leaks(d, b.limit(0)).count() == 0
+
+
+def test_query_equals_alignment_of_all_pairs(spark, sf_dir):
+    """Every document against every item of the given tables, no seeds."""
+    from riskframe.llm.queries import QUERIES
+
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet").collect()
+    number, items = {}, [(r.item_id, D.words_of(r.text)) for r in read("benchmark")]
+    for _, words in items:
+        for w in words:
+            number.setdefault(w, len(number) + 1)
+    want = set()
+    for r in read("documents"):
+        words = np.array([number.get(w, 0) for w in D.words_of(r.text)], np.int64)
+        for item, of in items:
+            if not of or not len(words):
+                continue
+            ((best, _),) = D.local_scores([words], np.array([number[w] for w in of]))
+            if best >= D.MATCH * len(of) / 2:
+                want.add((r.doc_id, item, best / (D.MATCH * len(of))))
+    got = QUERIES["op1_decontaminate"](spark, sf_dir).select("doc_id", "item_id", "score").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_repeats_of_a_run_are_not_multiplied():
+    items = D.Items([1], ["z " * 2000], 0.5)
+    words = items.numbers("z " * 20_000)
+    spots = D._spots(items, words)
+    assert [(i, a) for i, a, _ in spots] == [(0, 0), (0, D.WINDOW_WORDS)] and spots[-1][2] == 20_000
+
+
+def test_least_runs_by_trying_all_patterns():
+    """Words of an item kept (1) or replaced (0): no pattern of that score holds fewer pairs."""
+    import itertools
+
+    for size in range(D.LONG, 14):
+        item, fewest = np.arange(1, size + 1), size
+        patterns = np.array(list(itertools.product((0, 1), repeat=size)))
+        for lot in np.array_split(patterns, 8):
+            scores = D.local_scores(list(item * lot), item)
+            for kept, (best, _) in zip(lot, scores):
+                if best >= size:
+                    fewest = min(fewest, int((kept[1:] & kept[:-1]).sum()))
+        assert fewest >= D.least_runs(size, 0.5)
+
+
+def test_every_third_word_replaced_and_copied_often(spark):
+    item = [f"s{i}" for i in range(41)]
+    copy = [f"new{i}" if i % 3 == 2 else w for i, w in enumerate(item)]
+    docs = [(i, " ".join([f"x{i}", *(copy if i % 3 == 0 else item[5:8] * 4), f"y{i}"])) for i in range(600)]
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), b).collect()
+    assert {r.doc_id for r in found} == set(range(0, 600, 3))
+    assert {r.score for r in found} == {plain_score(item, copy) / 82}
+
+
+def test_long_windows_are_cut_with_an_overlap(monkeypatch):
+    monkeypatch.setattr(D, "WINDOW_WORDS", 30)
+    item = " ".join(f"s{i}" for i in range(12))
+    items = D.Items([1], [item], 0.5)
+    words = items.numbers(("s1 s2 x " * 100) + item + (" s1 s2 x" * 100))
+    spots = D._spots(items, words)
+    assert len(spots) > 3 and max(b - a for _, a, b in spots) <= 8 * 12 + 24
+    best = max(D.local_scores([words[a:b]], items.words[0])[0][0] for _, a, b in spots)
+    assert best == 24
