@@ -33,6 +33,8 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 1_000_000
 #: Items of fewer words are found by three-word runs: two words identify nothing.
 LONG = 9
+#: Characters of texts that are looked through together.
+JOINED_CHARS = 200_000
 #: Words of windows that wait for their alignment, of one aligned batch with padding, of one window.
 HELD_WORDS, BATCH_WORDS, WINDOW_WORDS = 2_000_000, 1_000_000, 16_384
 
@@ -148,9 +150,16 @@ class Items:
         kept = np.sort(order[so_far - before > self.spare[item]])
         self.parts[2] = self._sorted({c: v[kept] for c, v in index.items() if c != "distinct"})
 
-    def numbers(self, text: str | None) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.array([get(w, 0) for w in words_of(text)], np.int64)
+    def joined(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word numbers of all texts, each followed by a 0; where each begins; its number of words)."""
+        get, words, sizes = self.vocabulary.get, [], []
+        for text in texts:
+            before = len(words)
+            words += [get(w, 0) for w in words_of(text)]
+            sizes.append(len(words) - before)
+            words.append(0)
+        size = np.array(sizes, np.int64)
+        return np.array(words, np.int64), np.cumsum(size + 1) - size - 1, size
 
     def grams(self, words: np.ndarray, n: int) -> np.ndarray:
         """One number per position; -1 where a word is foreign to all items.
@@ -169,23 +178,39 @@ class Items:
         out[foreign] = -1
         return out
 
-    def hits(self, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(position, number of the distinct gram) of each n-gram of a text that an item holds."""
+    def hits(self, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(position, number of the distinct gram) of each n-gram of joined texts that an item holds."""
         distinct = self.parts[n]["distinct"]
         if not len(distinct) or not len(words):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        grams = self.grams(words, n)
+        grams = np.full(len(words), -1, np.int64)
+        whole = self.grams(words, n)  # a gram that spans two texts holds a 0
+        grams[: len(whole)] = whole
+        for i in np.flatnonzero((sizes > 0) & (sizes < n)):
+            grams[starts[i]] = self.grams(words[starts[i] : starts[i] + sizes[i]], n)[0]
         hit = np.flatnonzero(grams >= 0)
         at = np.minimum(np.searchsorted(distinct, grams[hit]), len(distinct) - 1)
         found = distinct[at] == grams[hit]
         return hit[found], at[found]
 
 
-def _spots(items: Items, words: np.ndarray):
-    """(item, first, last) word windows of one document around enough seeds of the item."""
+def _chunks(columns: list[list]):
+    """Rows of equally long columns (the last holds texts) in runs of about ``JOINED_CHARS``."""
+    begin = chars = 0
+    for i, text in enumerate(columns[-1]):
+        chars += len(text or "")
+        if chars >= JOINED_CHARS:
+            yield [c[begin : i + 1] for c in columns]
+            begin, chars = i + 1, 0
+    if begin < len(columns[-1]):
+        yield [c[begin:] for c in columns]
+
+
+def _spots(items: Items, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+    """(text, item, first, last) windows, in words of that text, around enough seeds of the item."""
     out = []
     for n, index in items.parts.items():
-        hit, at = items.hits(words, n)
+        hit, at = items.hits(words, starts, sizes, n)
         if not len(hit):
             continue
         gram = index["distinct"][at]
@@ -193,19 +218,20 @@ def _spots(items: Items, words: np.ndarray):
         k = hi - lo
         row = np.repeat(lo - (np.cumsum(k) - k), k) + np.arange(k.sum())
         item, place = index["item"][row], np.repeat(hit, k)
+        text = np.searchsorted(starts, place, "right") - 1
         order = np.lexsort((place, item))
-        item, place, row = item[order], place[order], row[order]
+        text, item, place, row = text[order], item[order], place[order], row[order]
         size = items.size[item]
-        new = np.r_[True, (item[1:] != item[:-1]) | (place[1:] - place[:-1] > size[1:])]
-        first = np.flatnonzero(new)
+        new = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (place[1:] - place[:-1] > size[1:])
+        first = np.flatnonzero(np.r_[True, new])
         enough = np.diff(np.r_[first, len(item)]) >= items.needed[item[first]]
         slack = size // 2 + 4  # how far inserted or lost words may move the copy
         start = np.minimum.reduceat(place - index["last"][row] - slack, first)[enough]
         stop = np.maximum.reduceat(place - index["first"][row] + size + slack, first)[enough]
-        for i, a, b in zip(item[first][enough].tolist(), start.tolist(), stop.tolist()):
-            a, b, own = max(0, a), min(len(words), b), len(items.words[i])
+        for t, i, a, b in zip(text[first][enough].tolist(), item[first][enough].tolist(), start.tolist(), stop.tolist()):
+            a, b, own = max(0, a - int(starts[t])), min(int(sizes[t]), b - int(starts[t])), len(items.words[i])
             step = max(WINDOW_WORDS, 8 * own)  # an alignment spans at most twice the item
-            out.extend((i, x, min(b, x + step + 2 * own)) for x in range(a, b, step))
+            out.extend((t, i, x, min(b, x + step + 2 * own)) for x in range(a, b, step))
     return out
 
 
@@ -213,8 +239,8 @@ def _counted(items: Items, batches):
     """How often the texts hold each distinct pair of the items, one row per pair that occurs."""
     counts = np.zeros(len(items.parts[2]["distinct"]), np.int64)
     for b in batches:
-        for text in b[0].to_pylist():
-            np.add.at(counts, items.hits(items.numbers(text), 2)[1], 1)
+        for (texts,) in _chunks([b[0].to_pylist()]):
+            np.add.at(counts, items.hits(*items.joined(texts), 2)[1], 1)
     seen = np.flatnonzero(counts)
     yield pa.RecordBatch.from_pydict({"at": pa.array(seen, pa.int64()), "n": pa.array(counts[seen], pa.int64())})
 
@@ -238,15 +264,15 @@ def _findings(items: Items, threshold: float, batches):
     widest: dict[int, int] = {}
     total = 0
     for b in batches:
-        for doc, text in zip(b[0].to_pylist(), b[1].to_pylist()):
-            words = items.numbers(text)
-            for item, first, last in _spots(items, words):
+        for docs, texts in _chunks([b[0].to_pylist(), b[1].to_pylist()]):
+            words, starts, sizes = items.joined(texts)
+            for text, item, first, last in _spots(items, words, starts, sizes):
                 width = max(widest.get(item, 0), last - first)
                 if item in held and width * (len(held[item]) + 1) > BATCH_WORDS:
                     total -= sum(len(h[2]) for h in held[item])
                     yield scored(item, held.pop(item))
                     width = last - first
-                held.setdefault(item, []).append((doc, first, words[first:last].copy()))
+                held.setdefault(item, []).append((docs[text], first, words[starts[text] + first : starts[text] + last].copy()))
                 widest[item], total = width, total + last - first
                 if total > HELD_WORDS:
                     for waiting in list(held):

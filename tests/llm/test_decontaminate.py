@@ -129,9 +129,8 @@ def test_query_equals_alignment_of_all_pairs(spark, sf_dir):
 
 def test_repeats_of_a_run_are_not_multiplied():
     items = D.Items([1], ["z " * 2000], 0.5)
-    words = items.numbers("z " * 20_000)
-    spots = D._spots(items, words)
-    assert [(i, a) for i, a, _ in spots] == [(0, 0), (0, D.WINDOW_WORDS)] and spots[-1][2] == 20_000
+    spots = D._spots(items, *items.joined(["z", "z " * 20_000]))
+    assert [s[:3] for s in spots] == [(1, 0, 0), (1, 0, D.WINDOW_WORDS)] and spots[-1][3] == 20_000
 
 
 def test_least_runs_by_trying_all_patterns():
@@ -163,8 +162,8 @@ def test_long_windows_are_cut_with_an_overlap(monkeypatch):
     monkeypatch.setattr(D, "WINDOW_WORDS", 30)
     item = " ".join(f"s{i}" for i in range(12))
     items = D.Items([1], [item], 0.5)
-    words = items.numbers(("s1 s2 x " * 100) + item + (" s1 s2 x" * 100))
-    spots = D._spots(items, words)
-    assert len(spots) > 3 and max(b - a for _, a, b in spots) <= 8 * 12 + 24
-    best = max(D.local_scores([words[a:b]], items.words[0])[0][0] for _, a, b in spots)
+    words, starts, sizes = items.joined(["a b", ("s1 s2 x " * 100) + item + (" s1 s2 x" * 100)])
+    spots = D._spots(items, words, starts, sizes)
+    assert len(spots) > 3 and max(b - a for _, _, a, b in spots) <= 8 * 12 + 24
+    best = max(D.local_scores([words[starts[1] + a : starts[1] + b]], items.words[0])[0][0] for _, _, a, b in spots)
     assert best == 24
