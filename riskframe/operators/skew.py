@@ -108,6 +108,19 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width).alias("b")).first()["b"] or 0
 
 
+def measured_join(left: DataFrame, right: DataFrame, key: str, null_safe: bool = False) -> DataFrame:
+    """Left join to a table whose keys may repeat: broadcast if measured small, else salted.
+
+    Only the right side is read to decide. Nested columns can't be measured that way: salted.
+    """
+    flat = not any(kind.startswith(("array", "map", "struct", "binary", "variant")) for _, kind in right.dtypes)
+    if flat and table_bytes(right) <= BROADCAST_BYTES:
+        found = F.broadcast(right.withColumnRenamed(key, "_right_key"))
+        same = F.col(key).eqNullSafe(F.col("_right_key")) if null_safe else F.col(key) == F.col("_right_key")
+        return left.join(found, same, "left").drop("_right_key")
+    return salted_join(left, right, key, "left", null_safe)
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,16 @@ from riskframe.operators.ordering import order_cuts, slice_rows, total_order, wi
 TIME, KEY = "TransactionDT", "TransactionID"
 
 
+def part_ends(test_size: float, validation_size: float) -> Callable[[int], list[int]]:
+    """From a number of rows to the ranks at which train (and validation) end."""
+
+    def ends(n: int) -> list[int]:
+        last = int(n * (1 - test_size))
+        return [int(n * (1 - test_size - validation_size)), last] if validation_size > 0 else [last]
+
+    return ends
+
+
 def temporal_train_test_split(
     df: DataFrame,
     time_col: str = TIME,
@@ -22,12 +34,8 @@ def temporal_train_test_split(
     Rows without a time come last. The cut is exact, so train never holds a later row than test.
     """
 
-    def ends(n: int) -> list[int]:
-        last = int(n * (1 - test_size))
-        return [int(n * (1 - test_size - validation_size)), last] if validation_size > 0 else [last]
-
     order = total_order(df, time_col, id_col)
-    edges = [None, *order_cuts(df, order, ends), None]
+    edges = [None, *order_cuts(df, order, part_ends(test_size, validation_size)), None]
     return tuple(slice_rows(df, order, lo, hi) for lo, hi in zip(edges, edges[1:]))
 
 

@@ -9,7 +9,7 @@ from riskframe.operators import quality, splits
 from riskframe.operators.features import FeatureEngineer, fit_amount_stats
 from riskframe.plans.base import MERGED, SPLIT, TXN, query, rounded
 from riskframe.session import scratch_path
-from riskframe.sources import views
+from riskframe.sources import layout, views
 from riskframe.sources.payments import prepare_payments
 from riskframe.sources.transactions import TransactionLoader, left_merge
 
@@ -22,6 +22,23 @@ def train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return splits.temporal_train_test_split(views.transactions(spark, sf))
 
 
+@query(
+    "split_by_day",
+    f"""WITH {SPLIT}
+    SELECT "TransactionID", 'train' AS part FROM train
+    UNION ALL SELECT "TransactionID", 'test' FROM test""",
+)
+def split_by_day(spark, sf):
+    """The split by time, over events stored by day: each part reads the days it needs."""
+    path = scratch_path(spark, "days")
+    layout.write_by_day(views.table(spark, sf, "events"), path, "ts", "event_id")
+    train, test = layout.split_by_time(
+        spark.read.parquet(path), "ts", views.events_as_transactions, views.origin_seconds(spark)
+    )
+    part = lambda df, name: df.select("TransactionID", F.lit(name).alias("part"))
+    return part(train, "train").unionByName(part(test, "test"))
+
+
 @query("scan_transactions", f"WITH {TXN} SELECT * FROM txn")
 def scan_transactions(spark, sf):
     return views.transactions(spark, sf)
@@ -67,6 +84,12 @@ def label_summary(spark, sf):
     return rounded(quality.label_summary(views.transactions(spark, sf)), "fraud_rate")
 
 
+_TXN_MISSING = ", ".join(
+    f'1 - count("{c}") / count(*)'
+    for c in ("TransactionID", "TransactionDT", "TransactionAmt", "card1", "ProductCD", "DeviceInfo", "isFraud")
+)
+
+
 @query(
     "quality_report",
     f"""WITH {TXN}, s AS (
@@ -74,8 +97,10 @@ def label_summary(spark, sf):
              CAST(count(*) - count(DISTINCT "TransactionID") AS DOUBLE) AS dupes
       FROM txn)
     SELECT 'rows' AS check_name, n AS value, 'ok' AS status FROM s
-    UNION ALL SELECT 'columns', CAST(7 AS DOUBLE), 'ok' FROM s
-    UNION ALL SELECT 'high_missing_columns', CAST(0 AS DOUBLE), 'ok' FROM s
+    UNION ALL SELECT 'columns', CAST(max(json_array_length(json_keys(to_json(txn)))) AS DOUBLE), 'ok' FROM txn
+    UNION ALL SELECT 'high_missing_columns', CAST(sum(CAST(share > 0.5 AS INTEGER)) AS DOUBLE),
+      CASE WHEN max(share) > 0.5 THEN 'warning' ELSE 'ok' END
+      FROM (SELECT unnest([{_TXN_MISSING}]) AS share FROM txn)
     UNION ALL SELECT 'label_rate', round(rate, 6),
       CASE WHEN rate < 0.01 OR rate > 0.5 THEN 'warning' ELSE 'ok' END FROM s
     UNION ALL SELECT 'duplicates', dupes, CASE WHEN dupes > 0 THEN 'warning' ELSE 'ok' END FROM s
@@ -354,9 +379,9 @@ pay AS (
               < CASE WHEN value > 100 THEN 15 ELSE 1 END AS INTEGER) AS fraud_bool,
          n_regionkey > 1 AS is_international, event_type AS source, p_type AS device_os,
          p_brand AS browser, c_mktsegment AS merchant_category, n_name AS country_code,
-         substr(md5(CAST(user_id % 100 AS VARCHAR)), 1, 3) AS zip_code
+         substr(md5(CAST(user_id AS VARCHAR)), 1, 3) AS zip_code
   FROM events
-  LEFT JOIN customer ON c_custkey = user_id % 100
+  LEFT JOIN customer ON c_custkey = user_id
   LEFT JOIN nation ON n_nationkey = c_nationkey
   LEFT JOIN part ON p_partkey = CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER))"""
 

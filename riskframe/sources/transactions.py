@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions.expressions import nan_to_null
 from riskframe.operators import quality
-from riskframe.operators.skew import salted_join
+from riskframe.operators.skew import measured_join
 from riskframe.sources.schemas import REQUIRED_COLUMNS, known_type
 
 KEY = "TransactionID"
@@ -47,7 +47,7 @@ def left_merge(left: DataFrame, right: DataFrame, key: str = KEY) -> DataFrame:
     shared = [c for c in left.columns if c in right.columns and c != key]
     left = left.withColumnsRenamed({c: f"{c}_x" for c in shared})
     right = right.withColumnsRenamed({c: f"{c}_y" for c in shared})
-    return salted_join(left, right, key, "left", null_safe=True)
+    return measured_join(left, right, key, null_safe=True)
 
 
 class TransactionLoader:

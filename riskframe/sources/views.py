@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def origin_seconds(spark: SparkSession) -> int:
+    """The second from which ``TransactionDT`` counts, in session time."""
+    return spark.range(1).select(F.unix_seconds(F.lit(ORIGIN).cast("timestamp"))).first()[0]
+
+
 def _label(event_id, user_id, value):
     limit = F.when(value > 100, F.lit(15)).otherwise(F.lit(1))
     return ((event_id * 7919 + user_id * 104729) % 100 < limit).cast("int")
@@ -59,12 +64,12 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as payments: the payer from ``customer`` and ``nation``, the goods from ``part``."""
     k = F.get_json_object("props", "$.k").cast("int")
     digest = lambda *parts: F.md5(F.concat_ws("/", *[p.cast("string") for p in parts]))
-    events = table(spark, sf_dir, "events").withColumn("payer", F.col("user_id") % 100).withColumn("goods", k)
+    events = table(spark, sf_dir, "events").withColumn("goods", k)
     payer = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     goods = table(spark, sf_dir, "part")
-    rows = events.join(payer, F.col("payer") == F.col("c_custkey"), "left").join(
+    rows = events.join(payer, F.col("user_id") == F.col("c_custkey"), "left").join(
         goods, F.col("goods") == F.col("p_partkey"), "left"
     )
     device = digest(F.col("user_id"), F.col("p_brand"))
@@ -80,7 +85,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("merchant_category"),
         (F.col("n_regionkey") > 1).alias("is_international"),
         F.col("n_name").alias("country_code"),
-        F.substring(digest(F.col("payer")), 1, 3).alias("zip_code"),
+        F.substring(digest(F.col("user_id")), 1, 3).alias("zip_code"),
         F.concat_ws(".", *[F.conv(F.substring(device, i, 2), 16, 10) for i in (1, 3, 5, 7)]).alias("ip_address"),
         digest(F.col("user_id"), F.to_date("ts")).alias("session_id"),
         device.alias("device_fingerprint"),
