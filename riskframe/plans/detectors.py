@@ -13,7 +13,7 @@ from riskframe.plans.base import SPLIT, query, rounded
 from riskframe.plans.data import train_test
 from riskframe.session import balanced, materialise, scratch_path
 from riskframe.sources import views
-from riskframe.sources.payments import prepare_payments
+from riskframe.sources.payments import split_payments
 from riskframe.sources.schemas import TRANSACTION_INPUT
 from riskframe.streaming import scoring
 
@@ -200,10 +200,7 @@ def hybrid_scores(spark, sf):
 )
 def tune_gbt(spark, sf):
     """Ten trials over the payments features, judged on a later slice."""
-    rows, features = prepare_payments(views.payments(spark, sf))
-    train, validation, _ = splits.temporal_train_test_split(
-        materialise(rows, "payments"), "timestamp", 0.2, 0.2, "transaction_id"
-    )
+    (train, validation, _), features = split_payments(views.payments(spark, sf), 0.2)
     best, trials = models.ParameterSearch().run(train, validation, features, "fraud_bool")
     area = metrics.roc_auc(best.score(validation), "fraud_bool", P).first()["auroc"]
     top = trials.agg(F.max("score")).scalar()

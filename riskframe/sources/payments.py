@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions import expressions as X
 from riskframe.operators import models, splits
-from riskframe.operators.features import FeatureEngineer
+from riskframe.operators.features import FeatureEngineer, FeatureState, category_table
 from riskframe.session import materialise
 from riskframe.sources.schemas import PAYMENTS
 
@@ -21,10 +21,19 @@ def read_payments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(PAYMENTS).csv(path)
 
 
-def prepare_payments(df: DataFrame) -> tuple[DataFrame, list[str]]:
+def payment_codes(train: DataFrame) -> FeatureEngineer:
+    """The category codes of a training slice."""
+    codes, sizes = category_table(train, list(CATEGORIES))
+    return FeatureEngineer(FeatureState(codes=codes, code_bytes=sizes))
+
+
+def prepare_payments(
+    df: DataFrame, engineer: FeatureEngineer | None = None
+) -> tuple[DataFrame, list[str]]:
     """(rows with key, target, time and numeric features; sorted feature names).
 
-    The category codes are learnt on the rows given.
+    Category codes are those of ``engineer`` (:func:`payment_codes` of a training slice; what it
+    hasn't seen is -1), without one those of the rows given.
     """
     day = F.weekday("timestamp")
     wide = df.select(
@@ -40,13 +49,24 @@ def prepare_payments(df: DataFrame) -> tuple[DataFrame, list[str]]:
         *CATEGORIES,
     )
     own = (KEY, TARGET, "timestamp")
-    ready = FeatureEngineer().prepare_for_model(
-        wide, drop_cols=own, keep=own, mode="per_frame"
+    mode = "fitted" if engineer else "per_frame"
+    ready = (engineer or FeatureEngineer()).prepare_for_model(
+        wide, drop_cols=own, keep=own, mode=mode
     )
     names = sorted(c for c in ready.columns if c not in own)
     return ready.select(*own, *names), names
 
 
+def split_payments(raw: DataFrame, test_size: float) -> tuple[list[DataFrame], list[str]]:
+    """([train, validation, test], feature names): split by time, codes learnt on train alone."""
+    parts = splits.temporal_train_test_split(
+        materialise(raw, "payments"), "timestamp", test_size, test_size, KEY
+    )
+    engineer = payment_codes(parts[0])
+    ready = [prepare_payments(part, engineer) for part in parts]
+    return [materialise(rows, "payments-part") for rows, _ in ready], ready[0][1]
+
+
 class PaymentTrainer:
     """Reads payments, searches parameters on a time-ordered slice, reports on the last slice."""
 
@@ -74,10 +94,9 @@ class PaymentTrainer:
 
     def train(self) -> dict:
         started = time.time()
-        rows = materialise(self.load_and_prepare_data(), "payments")
-        train, validation, test = splits.temporal_train_test_split(
-            rows, "timestamp", self.test_size, self.test_size, KEY
-        )
+        raw = read_payments(self.spark or SparkSession.active(), self.data_path)
+        parts, self.feature_columns = split_payments(raw, self.test_size)
+        train, validation, test = parts
         search = models.ParameterSearch(self.n_trials, self.random_state, base=self.base)
         self.model, self.trials = search.run(train, validation, self.feature_columns, TARGET)
         return models.train_report(self.model, test, started, TARGET)

@@ -273,3 +273,18 @@ def test_validation_warns(spark, tmp_path):
     (tmp_path / "train_transaction.csv").write_text("TransactionID,isFraud,TransactionDT,TransactionAmt,ProductCD\n" + rows)
     with pytest.warns(UserWarning, match="duplicates"):
         assert quick_load_and_validate(spark, str(tmp_path)).count() == 40
+
+
+def test_payment_codes_come_from_the_training_slice(spark, sf_dir):
+    from riskframe.sources import views
+    from riskframe.sources.payments import CATEGORIES, split_payments
+
+    parts, names = split_payments(views.payments(spark, sf_dir), 0.2)
+    raw = {r.transaction_id: r for r in views.payments(spark, sf_dir).collect()}
+    rows = [part.collect() for part in parts]
+    assert sum(map(len, rows)) == len(raw) and set(CATEGORIES) < set(names)
+    for c in CATEGORIES:
+        seen = sorted({raw[r.transaction_id][c] for r in rows[0]} - {None})
+        for r in rows[0] + rows[1] + rows[2]:
+            value = raw[r.transaction_id][c]
+            assert r[c] == (seen.index(value) if value in seen else -1)
