@@ -12,7 +12,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.expressions import binarise, either
 from riskframe.operators import graph, metrics, sequences
+from riskframe.operators.boosting import Binned, TreesModel, boost
 from riskframe.operators.features import MISSING
 from riskframe.operators.forest import IsolationForest, IsolationForestModel
 from riskframe.operators.ordering import exact_quantiles
@@ -29,7 +30,6 @@ from riskframe.session import materialise
 PROBABILITY = "fraud_probability"
 LABEL, KEY = "isFraud", "TransactionID"
 MODEL_VERSION = "1.0"
-FIT_ROWS = 20_000  # least rows per task of a boosting job
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -38,7 +38,7 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 
 @dataclass
 class BoostedTrees:
-    """Gradient-boosted trees of ``pyspark.ml``; row and column sampling as fractions."""
+    """Gradient-boosted trees (``boosting``); row and column sampling as fractions."""
 
     max_iter: int = 100
     max_depth: int = 6
@@ -57,23 +57,12 @@ class BoostedTrees:
         )
         return _assembler(features).transform(rows).select("_features", "_label", *keep)
 
-    def learn(self, rows: DataFrame, n_rows: int | None = None):
-        """The trees of a written matrix; it is read once per tree level."""
-        # a tree level is one job: no more tasks than the rows are worth
-        worth = max(1, (rows.count() if n_rows is None else n_rows) // FIT_ROWS)
-        if worth < rows.rdd.getNumPartitions():
-            rows = rows.coalesce(worth)
-        return GBTClassifier(
-            featuresCol="_features",
-            labelCol="_label",
-            maxIter=self.max_iter,
-            maxDepth=self.max_depth,
-            stepSize=self.step_size,
-            subsamplingRate=self.row_share,
-            featureSubsetStrategy="all" if self.column_share >= 1 else str(self.column_share),
-            seed=self.seed,
-            maxMemoryInMB=self.max_memory_mb,
-        ).fit(rows)
+    def learn(self, rows: DataFrame | Binned, n_rows: int | None = None) -> TreesModel:
+        """The trees of a written matrix, or of its blocks; the blocks are read once per tree level."""
+        data = rows if isinstance(rows, Binned) else Binned.of(rows, n_rows)
+        return boost(
+            data, self.max_iter, self.max_depth, self.step_size, self.row_share, self.column_share, self.seed, self.max_memory_mb << 20
+        )
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str = LABEL) -> BoostedModel:
         return BoostedModel.of(self.learn(materialise(self.matrix(df, features, label), "matrix")), features)
@@ -517,13 +506,12 @@ class ParameterSearch:
     def run(
         self, train: DataFrame, validation: DataFrame, features: Sequence[str], label: str = LABEL
     ) -> tuple[BoostedModel, DataFrame]:
-        """The best model and the rows (trial, parameters, score); one matrix serves all trials."""
+        """The best model and the rows (trial, parameters, score); one binned matrix serves all trials."""
         trials = self.draws()
-        rows = materialise(BoostedTrees.matrix(train, features, label), "matrix")
-        n_rows = rows.count()
+        rows = Binned.of(materialise(BoostedTrees.matrix(train, features, label), "matrix"))
 
         def tried(params: BoostedTrees) -> tuple[float, BoostedModel]:
-            model = BoostedModel.of(params.learn(rows, n_rows), features)
+            model = BoostedModel.of(params.learn(rows), features)
             area = metrics.roc_auc(model.score(validation), label, PROBABILITY).first()["auroc"]
             return (0.5 if area is None else area), model
 
