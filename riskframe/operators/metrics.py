@@ -23,6 +23,7 @@ from riskframe.operators.ordering import (
     with_buckets,
 )
 from riskframe.operators.quality import _as_rows
+from riskframe.session import materialise
 
 
 
@@ -124,6 +125,15 @@ def roc_auc(df: DataFrame, label: str = "isFraud", score: str = "score") -> Data
     return _area(score_curve(df, label, score)).select("auroc")
 
 
+def area_of_model(scored: DataFrame, label: str, score: str) -> float:
+    """The area of rows that a model has yet to score, 0.5 if a class is absent.
+
+    They are written before they are ranked, since a ranking reads its rows several times.
+    """
+    area = roc_auc(materialise(scored.select(label, score), "scores"), label, score).first()["auroc"]
+    return 0.5 if area is None else float(area)
+
+
 def auprc(df: DataFrame, label: str = "isFraud", score: str = "score") -> DataFrame:
     """Average precision over the distinct thresholds; NULL without positives."""
     return _area(score_curve(df, label, score)).select("auprc")

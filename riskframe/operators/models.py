@@ -500,8 +500,7 @@ class ParameterSearch:
         label: str = LABEL,
     ) -> tuple[float, BoostedModel]:
         model = params.fit(train, features, label)
-        area = metrics.roc_auc(model.score(validation), label, PROBABILITY).first()["auroc"]
-        return (0.5 if area is None else area), model
+        return metrics.area_of_model(model.score(validation), label, PROBABILITY), model
 
     def run(
         self, train: DataFrame, validation: DataFrame, features: Sequence[str], label: str = LABEL
@@ -512,8 +511,7 @@ class ParameterSearch:
 
         def tried(params: BoostedTrees) -> tuple[float, BoostedModel]:
             model = BoostedModel.of(params.learn(rows), features)
-            area = metrics.roc_auc(model.score(validation), label, PROBABILITY).first()["auroc"]
-            return (0.5 if area is None else area), model
+            return metrics.area_of_model(model.score(validation), label, PROBABILITY), model
 
         with ThreadPool(min(self.parallelism, len(trials))) as pool:
             results = pool.map(tried, trials)

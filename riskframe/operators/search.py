@@ -1,7 +1,9 @@
 """Parameter search over walk-forward folds, halved as trees are added.
 
 All trials of all folds learn from one written matrix, cut into folders at the ranks of the folds: a
-fold's training and test rows are filters on the folder, so a fit reads its own folders only.
+fold's training and test rows are filters on the folder, so a fit reads its own folders only. A fold's
+training rows are binned once for all its trials, and the scores of a trial are written before they are
+ranked.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics
+from riskframe.operators.boosting import Binned
 from riskframe.operators.models import LABEL, PROBABILITY, BoostedModel, BoostedTrees, ParameterSearch
 from riskframe.operators.ordering import order_cuts, total_order, with_segment
 from riskframe.operators.splits import KEY, TIME, walk_forward_plan
@@ -78,12 +81,11 @@ class FoldSearch:
     parallelism: int = 2
     base: BoostedTrees = field(default_factory=BoostedTrees)
 
-    def score(self, params: BoostedTrees, matrix: FoldedMatrix, fold: int) -> float:
-        model = params.learn(*matrix.part(fold, "train"))
-        test, _ = matrix.part(fold, "test")
-        scored = model.transform(test).select(F.col("_label").cast("int").alias("label"), vector_to_array("probability")[1].alias(PROBABILITY))
-        area = metrics.roc_auc(scored, "label", PROBABILITY).first()["auroc"]
-        return 0.5 if area is None else float(area)
+    def score(self, params: BoostedTrees, train: Binned, test: DataFrame) -> float:
+        scored = params.learn(train).transform(test).select(
+            F.col("_label").cast("int").alias("label"), vector_to_array("probability")[1].alias(PROBABILITY)
+        )
+        return metrics.area_of_model(scored, "label", PROBABILITY)
 
     def run(
         self, df: DataFrame, features: Sequence[str], label: str = LABEL, time_col: str = TIME, id_col: str = KEY
@@ -91,12 +93,14 @@ class FoldSearch:
         """The best model, and a row per (rung, trial, fold) with parameters, rows and score."""
         draws = ParameterSearch(n_trials=self.n_trials, seed=self.seed, base=self.base).draws()
         matrix = FoldedMatrix.write(df, features, label, self.folds, self.test_size, time_col, id_col)
+        binned = [Binned.of(*matrix.part(fold, "train")) for fold in range(self.folds)]
+        tests = [matrix.part(fold, "test")[0] for fold in range(self.folds)]
         left, out = list(range(len(draws))), []
         for rung, share in enumerate(self.rungs):
             trees = max(1, round(self.base.max_iter * share))
             tasks = [(i, fold) for i in left for fold in range(self.folds)]
             with ThreadPool(min(self.parallelism, len(tasks))) as pool:
-                found = pool.map(lambda t: self.score(replace(draws[t[0]], max_iter=trees), matrix, t[1]), tasks)
+                found = pool.map(lambda t: self.score(replace(draws[t[0]], max_iter=trees), binned[t[1]], tests[t[1]]), tasks)
             mean = {i: sum(s for (j, _), s in zip(tasks, found) if i == j) / self.folds for i in left}
             ranked = sorted(left, key=lambda i: (-mean[i], i))
             last = rung + 1 == len(self.rungs)

@@ -53,6 +53,21 @@ def test_search_halves_trials_and_writes_one_matrix(spark, rows, monkeypatch):
     assert sorted(again) == sorted(found)
 
 
+def test_search_bins_each_fold_once_and_ranks_written_scores(spark, rows, monkeypatch):
+    binned, ranked = [], []
+    of, area = search_module.Binned.of, search_module.metrics.roc_auc
+    monkeypatch.setattr(search_module.Binned, "of", staticmethod(lambda part, n=None: binned.append(n) or of(part, n)))
+
+    def roc_auc(scored, *names):
+        ranked.append(scored._jdf.queryExecution().toString())
+        return area(scored, *names)
+
+    monkeypatch.setattr(search_module.metrics, "roc_auc", roc_auc)  # also called by area_of_model
+    FoldSearch(n_trials=4, folds=2, rungs=(0.5, 1.0), base=TINY).run(rows, ["x", "y"])
+    assert sorted(binned) == [220, 280, 400]  # training rows of the folds, and all rows
+    assert len(ranked) == 12 and not any("ArrowEvalPython" in plan for plan in ranked)
+
+
 def test_folds_without_a_class_count_a_half(spark, rows):
     _, trials = FoldSearch(n_trials=1, folds=2, rungs=(1.0,), base=TINY).run(
         rows.withColumn("isFraud", (F.col("TransactionDT") < 100).cast("int")), ["x", "y"])
