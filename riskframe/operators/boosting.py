@@ -23,7 +23,7 @@ from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.session import materialise
@@ -322,6 +322,13 @@ def boost(
     return TreesModel(data.cuts, found)
 
 
+def _probability(x: np.ndarray, trees: Sequence[tuple[float, Tree]]) -> np.ndarray:
+    """The probability of class 1 of rows of bin numbers."""
+    margin = sum(w * tree.predict(x) for w, tree in trees)
+    with np.errstate(over="ignore"):
+        return 1.0 / (1.0 + np.exp(-2.0 * margin))
+
+
 class _Writer(MLWriter):
     def __init__(self, model: TreesModel):
         super().__init__()
@@ -377,14 +384,32 @@ class TreesModel(Model, MLReadable, MLWritable):
         def probability(rows: pd.Series) -> pd.Series:
             if not len(rows):
                 return pd.Series([], dtype="float64")
-            x = bin_rows(np.stack(rows.to_numpy()), cuts)
-            margin = sum(w * tree.predict(x) for w, tree in trees)
-            with np.errstate(over="ignore"):
-                return pd.Series(1.0 / (1.0 + np.exp(-2.0 * margin)))
+            return pd.Series(_probability(bin_rows(np.stack(rows.to_numpy()), cuts), trees))
 
         p = probability(vector_to_array("_features"))
         return df.withColumn("_p1", p).withColumn("probability", array_to_vector(F.array(1 - F.col("_p1"), F.col("_p1")))).drop("_p1")
 
+    def replaced(self, features: Column, values: Sequence[float]) -> Column:
+        """Per row of ``features`` (an array), the probabilities with each feature in turn set to its value."""
+        cuts, trees = self.cuts, self.trees
+        bins = bin_rows(np.array([values], np.float64), cuts)[:, 0]
+
+        @F.pandas_udf("array<double>")
+        def probabilities(rows: pd.Series) -> pd.Series:
+            out: list[np.ndarray] = []
+            for at in range(0, len(rows), BLOCK_ROWS):
+                x = bin_rows(np.array(rows.iloc[at : at + BLOCK_ROWS].tolist(), np.float64), cuts)
+                found = np.empty((x.shape[1], len(x)))
+                for j, b in enumerate(bins):
+                    own = x[j].copy()
+                    x[j] = b
+                    found[:, j] = _probability(x, trees)
+                    x[j] = own
+                out.extend(found)
+            return pd.Series(out, dtype=object)
+
+        return probabilities(features)
+
     def write(self) -> MLWriter:
         return _Writer(self)
 

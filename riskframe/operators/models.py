@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -235,32 +235,21 @@ class EnhancedDetector:
         """Add fraud_probability, is_fraud, model_type and ``explanation``.
 
         ``explanation`` lists the features whose replacement by the training median moves the
-        probability most. A row is repeated once per feature, with that feature replaced, and all
-        repeats are scored in one pass, whatever the number of features.
+        probability most. The task that holds a row scores it once more per feature, with that
+        feature replaced: rows are neither repeated between tasks nor shuffled.
         """
         scored = self.score(df)
         if self.explain:
-            scored = materialise(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
-            names, places = self.feature_names, F.sequence(F.lit(0), F.lit(len(self.feature_names) - 1))
-            medians = F.array(*[F.lit(float(self.medians[c])) for c in names])
+            names = self.feature_names
             given = F.array(*[F.col(f"`{c}`").cast("double") for c in names])
-            swapped = F.transform(
-                places, lambda i: F.transform(places, lambda j: F.when(i == j, medians[j]).otherwise(F.col("_given")[j]))
+            changed = self._boosted_model.trees.replaced(given, [float(self.medians[c]) for c in names])
+            scored = materialise(scored.withColumn("_p", changed), "scored")
+            deltas = [(F.col(PROBABILITY) - F.col("_p")[i]) for i in range(len(names))]
+            ranked = F.array_sort(
+                F.array(*[F.struct((-F.abs(d)).alias("rank"), F.lit(c).alias("feature"), d.alias("delta")) for c, d in zip(names, deltas)])
             )
-            variants = (
-                scored.select("_row", F.col(PROBABILITY).alias("_p"), given.alias("_given"))
-                .select("_row", "_p", F.posexplode(swapped).alias("_i", "_x"))
-                .withColumn("_features", array_to_vector("_x"))
-            )
-            changed = self._boosted_model.trees.transform(variants).withColumn(
-                "_d", F.col("_p") - vector_to_array("probability")[1]
-            )
-            feature = F.array(*map(F.lit, names))[F.col("_i")]
-            best = F.slice(F.array_sort(F.collect_list(F.struct((-F.abs("_d")).alias("rank"), feature.alias("feature"), F.col("_d").alias("delta")))), 1, top_n)
-            top = changed.groupBy("_row").agg(
-                F.transform(best, lambda x: F.struct(x["feature"].alias("feature"), x["delta"].alias("delta"))).alias("explanation")
-            )
-            scored = scored.join(top, "_row").drop("_row")
+            top = F.transform(F.slice(ranked, 1, top_n), lambda x: F.struct(x["feature"].alias("feature"), x["delta"].alias("delta")))
+            scored = scored.withColumn("explanation", top).drop("_p")
         return scored.withColumns(
             {
                 "is_fraud": F.col(PROBABILITY) > self.fraud_threshold,

@@ -89,6 +89,26 @@ def test_ensemble_is_the_or_of_both(spark, matrix, tmp_path):
     assert again.predict(test).select("prediction").collect() == rows.select("prediction").collect()
 
 
+def test_explanations_move_no_rows_between_tasks(spark, matrix, monkeypatch):
+    """Equal to a rescoring per feature; neither the written rows nor the result pass an exchange."""
+    train, test, names = matrix
+    detector = models.EnhancedDetector(boosted=TINY)
+    detector.train(train, names)
+    plans, real = [], models.materialise
+    monkeypatch.setattr(models, "materialise", lambda df, name: plans.append(df) or real(df, name))
+    explained = detector.predict_with_explanation(test, len(names))
+    plain = detector.score(test)._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    for df in (*plans, explained):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") <= plain
+    found = {r["TransactionID"]: r for r in explained.collect()}
+    assert len(found) == test.count()
+    for name in names:
+        again = detector.score(test.withColumn(name, F.lit(float(detector.medians[name]))))
+        for r in again.select("TransactionID", models.PROBABILITY).collect():
+            row = found[r[0]]
+            assert {e.feature: e.delta for e in row.explanation}[name] == row[models.PROBABILITY] - r[1]
+
+
 def test_enhanced_detector(spark, matrix, tmp_path):
     train, test, names = matrix
     detector = models.EnhancedDetector(boosted=TINY)
