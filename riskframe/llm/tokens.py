@@ -14,10 +14,12 @@ import re
 import string
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,6 +32,8 @@ MAGIC = b"RFTOK1\0\0"
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 512, 4096, 65536
 #: A file that has grown to this size is closed and followed by another.
 FILE_BYTES = 256 << 20
+#: Texts that are encoded at once: of this many bytes, or one.
+SLICE_BYTES = 2 << 20
 #: Words whose ids a worker keeps, and the longest such word.
 CACHED_WORDS, CACHED_CHARS = 400_000, 48
 _LAST = (1 << 63) - 1
@@ -37,15 +41,38 @@ _LAST = (1 << 63) - 1
 _PROBE = "It's a test, 12 tests!\nThé end\t.."
 # Latin letters with a tail of marks: two matches of the pattern at least, and lower-casing letter by
 # letter is what the tokenizer does, so that case and tail need no encoding of their own.
-_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LATIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+_LETTERS = "".join(c for c in map(chr, range(256)) if re.match(_LATIN, c))
 _MARKS = string.punctuation
 
 
+def runs(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The runs between blanks, tabs and line ends, in order, and their number per text; NULL has none."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    inside = (data != 32) & (data != 10) & (data != 9) & (data != 13)
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    filled = bounds[1:] > bounds[:-1]
+    for edge, at in ((first, bounds[:-1][filled]), (last, bounds[1:][filled] - 1)):
+        edge[at] = inside[at]
+    starts = np.flatnonzero(first)
+    ends = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(np.flatnonzero(last) + 1 - starts, out=ends[1:])
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data[inside]))
+    return words, np.diff(np.searchsorted(starts, bounds))
+
+
 class Encoder:
     """Ids of whole texts, as bytes.
 
     Where the vocabulary drops white space, its pattern never crosses it, nor does a normal form:
-    the text is then encoded run by run, and ids of runs seen before are looked up. Other
+    the distinct runs of a slice of texts are then split into lower-cased letters and marks behind
+    them, ids of parts seen before are looked up, and those of the texts gathered from them. Other
     vocabularies encode each text as it is.
     """
 
@@ -75,40 +102,58 @@ class Encoder:
             cache["encoder", path] = cls(path)
         return cache["encoder", path]
 
-    def encode(self, texts: list[str | None], end: int | None = None) -> list[bytes]:
+    def encode(self, texts: list[str | None] | pa.Array, end: int | None = None) -> list[bytes]:
         tail = b"" if end is None else struct.pack("<I", end)
         if not self.by_run:
+            texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
             return [ids + tail for ids in self._texts([t or "" for t in texts])]
-        runs = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        if not len(texts):
+            return []
+        words, counts = runs(texts)
+        words = words.dictionary_encode()  # each run of these texts is taken apart and looked up once
+        whole = words.dictionary
+        cores = pc.utf8_rtrim(whole, _MARKS)
+        latin = pc.match_substring_regex(cores, _LATIN)
+        cores = pc.if_else(latin, pc.utf8_lower(cores), whole).dictionary_encode()
+        marks = pc.if_else(latin, pc.utf8_ltrim(whole, _LETTERS), "").dictionary_encode()
+        plain = pc.match_substring_regex(cores.dictionary, _LATIN).to_pylist()
+        ids = self._ids(cores.dictionary.to_pylist(), plain)
+        ids += self._ids(marks.dictionary.to_pylist())
+        ids.append(tail)
+        pairs = np.stack([cores.indices.to_numpy(), marks.indices.to_numpy() + len(cores.dictionary)], 1)
+        order = pairs.take(words.indices.to_numpy(), 0).reshape(-1)
+        order = np.insert(order, 2 * np.cumsum(counts), len(ids) - 1)  # texts, each with its end
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        n = lengths.take(order)
+        stops = np.cumsum(n)
+        at = np.repeat((np.cumsum(lengths) - lengths).take(order) - (stops - n), n)
+        at += np.arange(len(at))
+        out = np.frombuffer(b"".join(ids), "<u4").take(at).tobytes()
+        cuts = (4 * stops[np.cumsum(2 * counts + 1) - 1]).tolist()
+        return [out[lo:hi] for lo, hi in zip([0, *cuts], cuts)]
+
+    def _ids(self, words: list[str], plain: list[bool] | None = None) -> list[bytes]:
+        """Ids of distinct words; ``plain`` ones are lower-case Latin letters only."""
         if len(self.known) > CACHED_WORDS:  # words of the last generation come back when seen again
             self.known, self.old = {"": b""}, self.known
-        known, old, long = self.known, self.old, {}
-        new = set().union(*runs).difference(known)
-        again = new.intersection(old)
-        known.update((w, old[w]) for w in again)
-        new -= again
-        plain, cores, others = [], set(), []
-        for word in new:
-            core = word.rstrip(_MARKS)
-            if core.isalpha() and (core.isascii() or _LATIN.fullmatch(core)):
-                if core != word or not core.islower():
-                    plain.append((word, core := core.lower(), word[len(core) :]))
-                cores.add(core)
-            else:
-                others.append(word)
-        marks = {tail for _, _, tail in plain}.difference(known)
-        cores = [w for w in cores if w not in known]
-        for words, encode in ((cores, self._matches), (others, self._texts), (list(marks), self._texts)):
-            for at in range(0, len(words), 4096):
-                part = words[at : at + 4096]
-                known.update(zip(part, encode(part)))
-        known.update((word, known[core] + known[tail]) for word, core, tail in plain)
-        for word in new.union(cores):
-            if len(word) > CACHED_CHARS:
-                long[word] = known.pop(word)
-        if long:
-            return [b"".join([known[w] if w in known else long[w] for w in r]) + tail for r in runs]
-        return [b"".join(map(known.__getitem__, r)) + tail for r in runs]
+        known, old = self.known, self.old
+        found = list(map(known.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for i in new:
+            found[i] = known[words[i]] = old.get(words[i])
+        new = [i for i in new if found[i] is None]
+        for encode, kind, step in ((self._matches, True, 256), (self._texts, False, 4096)):
+            chosen = [i for i in new if (plain is not None and plain[i]) is kind]
+            for at in range(0, len(chosen), step):
+                part = chosen[at : at + step]
+                for i, ids in zip(part, encode([words[i] for i in part])):
+                    found[i] = known[words[i]] = ids
+        for i in new:
+            if len(words[i]) > CACHED_CHARS:
+                del known[words[i]]
+        return found
 
     def _texts(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -202,6 +247,14 @@ class Reader:
         return self.frames.decompress(self.file.read_at(int(self.length[i]), int(self.offset[i])))
 
 
+def slices_of(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``SLICE_BYTES`` of text."""
+    sizes = pc.binary_length(batch[text]).fill_null(0).to_numpy().astype(np.int64)
+    starts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // SLICE_BYTES, prepend=-1)).tolist()
+    for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(lo, hi - lo)
+
+
 def _bucket(bounds: list[int], key: Column, spread: Column) -> Column:
     """Range of each key; keys that fill several ranges are spread over them."""
 
@@ -239,7 +292,7 @@ def write_tokens(
 
     def samples(batches):
         for b in batches:
-            got = Encoder.of(vocabulary).encode(b["t"].to_pylist(), end)
+            got = Encoder.of(vocabulary).encode(b["t"], end)
             yield pa.RecordBatch.from_pydict({"ids": pa.array(got, pa.binary())})
 
     dictionary = train_dictionary([bytes(r.ids) for r in slices.mapInArrow(samples, "ids binary").collect()])
@@ -260,9 +313,8 @@ def write_tokens(
 
         for b in batches:
             number = b["b"][0].as_py()
-            for at in range(0, b.num_rows, 256):
-                rows = b.slice(at, 256)
-                encoded = encoder.encode(rows["t"].to_pylist(), end)
+            for rows in slices_of(b, "t"):
+                encoded = encoder.encode(rows["t"], end)
                 for k, missing, ids in zip(rows["k"].to_pylist(), rows["m"].to_pylist(), encoded):
                     if out is None:
                         path = f"{folder}/{attempt_name('tokens')}-{part}.rft"

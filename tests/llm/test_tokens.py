@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -34,6 +35,21 @@ def test_words_return_from_the_last_generation(monkeypatch):
         assert encoder.encode([text], 2) == [plain(tokenizer, text)]
 
 
+def test_case_and_marks_take_no_place_among_known_words():
+    encoder, tokenizer = tokens.Encoder(WORDS), Tokenizer.from_file(WORDS)
+    texts = pa.array(["skipped", None, "\t Alpha, alpha. ALPHA! Über\n\nüber\r", "", "can't", "Alpha"]).slice(1)
+    assert encoder.encode(texts, 2) == [plain(tokenizer, t) for t in texts.to_pylist()]
+    assert set(encoder.known) == {"", "alpha", "über", "can't", ",", ".", "!"}
+    assert encoder.encode([], 2) == [] and encoder.encode(["", None]) == [b"", b""]
+
+
+def test_slices_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 10)
+    batch = pa.RecordBatch.from_pydict({"t": ["four", None, "sixsix", "a" * 50, "b", "", "c"]})
+    assert [x["t"].to_pylist() for x in tokens.slices_of(batch, "t")] == [["four", None, "sixsix"], ["a" * 50], ["b", "", "c"]]
+    assert list(tokens.slices_of(batch.slice(0, 0), "t")) == []
+
+
 def test_dictionary_of_few_and_many_samples(tmp_path):
     many = [np.arange(i, i + 400, dtype="<u4").tobytes() for i in range(300)]
     for samples in ([], many[:2], many):
