@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import quality, splits
 from riskframe.operators.features import FeatureEngineer, fit_amount_stats
 from riskframe.plans.base import MERGED, SPLIT, TXN, query, rounded
-from riskframe.session import scratch_path
+from riskframe.session import scratch_path, spread
 from riskframe.sources import layout, views
 from riskframe.sources.payments import prepare_payments
 from riskframe.sources.transactions import TransactionLoader, left_merge
@@ -19,7 +19,8 @@ def merged_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return splits.temporal_train_test_split(views.transactions(spark, sf))
+    """Both slices of the transactions, read evenly also where the table lies in one row group."""
+    return splits.temporal_train_test_split(spread(views.transactions(spark, sf), "transactions"))
 
 
 @query(

@@ -13,7 +13,7 @@ from riskframe.plans.base import SPLIT, query
 from riskframe.plans.data import train_test
 from riskframe.plans.detectors import _JUDGED, judged
 from riskframe.plans.stored import _SAME, FEW, compared
-from riskframe.session import materialise, scratch_path
+from riskframe.session import materialise, scratch_path, spread
 from riskframe.sources import views
 
 KEY, LABEL, TIME = models.KEY, models.LABEL, "TransactionDT"
@@ -84,7 +84,7 @@ def _judged_again(spark, trained: dict, again: dict):
 @query("workflow_train_evaluate", _JOB)
 def workflow_train_evaluate(spark, sf):
     """Train and store; load model and feature state; evaluate: the metrics of training again."""
-    df, out = views.transactions(spark, sf), scratch_path(spark, "trained")
+    df, out = spread(views.transactions(spark, sf), "transactions"), scratch_path(spark, "trained")
     trained = workflows.train_model(df, out, FEW)
     model = models.BoostedModel.load(f"{out}/fraud_model", spark)
     engineer = FeatureEngineer.load(f"{out}/feature_engineer", spark)
@@ -94,7 +94,7 @@ def workflow_train_evaluate(spark, sf):
 @query("workflow_ensemble", _JOB)
 def workflow_ensemble(spark, sf):
     """Train and store the ensemble; load both parts; evaluate the probability again."""
-    df, out = views.transactions(spark, sf), scratch_path(spark, "trained")
+    df, out = spread(views.transactions(spark, sf), "transactions"), scratch_path(spark, "trained")
     trained = workflows.train_ensemble(df, out, FEW)
     model = models.EnsembleDetector.load(f"{out}/ensemble", spark).boosted_model
     engineer = FeatureEngineer.load(f"{out}/feature_engineer", spark)

@@ -210,6 +210,32 @@ def test_scratch_lies_in_the_named_folder(spark):
     assert session.balanced(table).count() == 5
 
 
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from riskframe import session
+
+    path, n = str(tmp_path / "one.parquet"), 40_000
+    pq.write_table(pa.table({"a": list(range(n)), "b": [f"{i:0>40}" for i in range(n)]}), path, row_group_size=n)
+    monkeypatch.setattr(session, "SPREAD_ROWS", 1000)
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        table = spark.read.parquet(path)
+        assert table.rdd.getNumPartitions() >= 8  # by bytes the file has splits enough
+        assert session._most_rows(table) == (n, n)
+        for dealt in (session.balanced(table), session.spread(table, "dealt")):
+            total, most = session._most_rows(dealt)
+            assert total == n and most <= n / 4
+            assert dealt.agg(F.sum("a")).first()[0] == n * (n - 1) // 2
+        even = table.repartition(16)
+        assert session.balanced(even) is even and session.spread(even, "even") is even
+        assert session.spread(table.limit(0), "none").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+
+
 # -- payments -----------------------------------------------------------------------------------
 
 
