@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.components import connected
 from riskframe.llm.simhash import Forest, hashes_of
-from riskframe.session import materialise, shuffle_width
+from riskframe.session import arrow_batches, materialise, shuffle_width
 
 #: Sets whose prefixes hold a shingle, above which it counts as frequent.
 HOT = 512
@@ -45,6 +45,8 @@ PIECE = 128
 SAMPLE, NAMED = 4_096, 50_000
 #: Names of sets (24 bytes each) that are broadcast to fetch their texts; more are joined by a shuffle.
 FETCHED = 500_000
+#: Bytes of rows that go to Python at once, and of those that a task gathers beyond its open group.
+BATCH, HELD = 1 << 20, 1 << 23
 CLASSES = 64
 #: DivideSkip: long lists are T / (MU * log2(longest list) + 1).
 MU = 0.01
@@ -108,22 +110,24 @@ def _sets(batches, width: int):
 
 
 def _whole_keys(batches, keys: list[str], rows: int):
-    """Tables of whole groups from batches sorted by ``keys``; the last, open group is carried on."""
-    carried = None
+    """Tables of whole groups from batches sorted by ``keys``; the last, open group is carried on.
+
+    A table ends with the first whole group after ``rows`` rows or ``HELD`` bytes.
+    """
+    held = []
     for batch in batches:
-        t = pa.Table.from_batches([batch])
-        if carried is not None:
-            t = pa.concat_tables([carried, t]).combine_chunks()
-        cut = 0
-        if t.num_rows >= rows:
-            ends = [t[c].to_numpy() for c in keys]
-            other = np.flatnonzero(np.logical_or.reduce([e != e[-1] for e in ends]))
-            cut = int(other[-1]) + 1 if len(other) else 0
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows and sum(b.nbytes for b in held) < HELD:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks()
+        ends = [t[c].to_numpy() for c in keys]
+        other = np.flatnonzero(np.logical_or.reduce([e != e[-1] for e in ends]))
+        cut = int(other[-1]) + 1 if len(other) else 0
         if cut:
             yield t.slice(0, cut)
-        carried = t.slice(cut)
-    if carried is not None and carried.num_rows:
-        yield carried
+        held = t.slice(cut).to_batches()
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def _links(u, v) -> pa.RecordBatch:
@@ -322,6 +326,10 @@ class JaccardJoin:
         stays missing and names no component unless no row of it has a key. Empty tables give empty
         results; further columns are ignored. Shingles are compared by 64-bit hashes.
         """
+        with arrow_batches(documents.sparkSession, BATCH):
+            return self._components(documents, key, text)
+
+    def _components(self, documents: DataFrame, key: str, text: str) -> DataFrame:
         # a text is known again by two hashes, so that no copy of the texts is written
         texts = documents.select(F.col(key).alias("k"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"), F.col(text).alias("t"))
         width, percent, frequent = self.width, self.percent, self.frequent(texts)
@@ -377,8 +385,7 @@ class JaccardJoin:
         if hot.isEmpty():
             return listed
         again = materialise(listed.join(hot, "token", "left_semi").select("id").distinct(), "to-order-again")
-        spark = folded.sparkSession
-        named = spark.createDataFrame([(int(t),) for t in frequent], "token long")  # NAMED at most
+        named = folded.sparkSession.createDataFrame(pa.table({"token": frequent}))  # NAMED at most
         last = materialise(named.unionByName(hot).distinct().withColumn("last", F.lit(True)), "last")
         open_ = materialise(folded.select("id", "h1", "h2").join(again, "id", "left_semi"), "open")
         each = self.sets(open_, texts).select("id", F.explode("shingles").alias("token")).join(last, "token", "left")
@@ -439,7 +446,7 @@ class JaccardJoin:
         sizes = materialise(sizes, "large-groups")
         columns = ["root", "id", "n", "fine", "h1", "h2"]
         if sizes.isEmpty():
-            return spark.createDataFrame([], LINKS), members.select(*columns, F.lit(True).alias("asked"))
+            return spark.createDataFrame(_LINKS.empty_table()), members.select(*columns, F.lit(True).alias("asked"))
         large = materialise(members.join(sizes.select("root"), "root", "left_semi"), "large")
         mean = large.groupBy("root").agg(*(F.avg(F.col("classes")[i]).alias(f"c{i}") for i in range(CLASSES)))
         mean = materialise(mean.select("root", F.array(*(f"c{i}" for i in range(CLASSES))).alias("mean")), "group-means")

@@ -2,10 +2,12 @@
 
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 
 from riskframe.llm import jaccard
 from riskframe.llm.jaccard import JaccardJoin
+from riskframe.session import ARROW_BYTES, arrow_batches
 
 JOIN = JaccardJoin()
 
@@ -134,3 +136,40 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "doc_id long, text string, row string, n int, component_id int")
     assert joined(df) == plain(rows)
     assert joined(df.limit(0)) == [] and joined(frame(spark, [(1, None)])) == [(1, 0, 1)]
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    sketches, most = jaccard._sketches, 2 * jaccard.BATCH
+
+    def watched(batches, *rest):
+        for b in batches:
+            if b.nbytes > most:
+                raise ValueError(f"a batch of {b.nbytes} bytes")
+            yield from sketches(iter([b]), *rest)
+
+    monkeypatch.setattr(jaccard, "_sketches", watched)
+    rows = [(i, f"a b c d {i % 200} " * 1000) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert joined(df) == plain(rows)
+    assert spark.conf.get(ARROW_BYTES, None) is None
+    spark.conf.set(ARROW_BYTES, "3m")
+    try:
+        with arrow_batches(spark, jaccard.BATCH):
+            assert spark.conf.get(ARROW_BYTES) == "3m"
+        assert spark.conf.get(ARROW_BYTES) == "3m"
+    finally:
+        spark.conf.unset(ARROW_BYTES)
+
+
+def test_whole_keys_are_bounded_in_bytes():
+    def batches():
+        for i in range(40):
+            sets = pa.array([np.arange(1 << 16)] * 2, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([i // 3, (i + 1) // 3], pa.int64()), sets], ["root", "shingles"])
+
+    tables = list(jaccard._whole_keys(batches(), ["root"], 2_000))
+    roots = [t["root"].to_pylist() for t in tables]
+    assert sum(roots, []) == [r for i in range(40) for r in (i // 3, (i + 1) // 3)]
+    assert all(a[-1] < b[0] for a, b in zip(roots, roots[1:]))
+    assert max(t.nbytes for t in tables) < 2 * jaccard.HELD
+    assert list(jaccard._whole_keys(iter([]), ["root"], 2_000)) == []
